@@ -460,7 +460,9 @@ def part_catalogue(spark: SparkSession, sf_dir: str, active_only: bool = False)
 
 def lead_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lead batch: one JSON body per order."""
-    source = frame(spark, sf_dir, "lead_source")
+    # The small test file is one task; spread it as a real batch would be.
+    tasks = spark.sparkContext.defaultParallelism
+    source = frame(spark, sf_dir, "lead_source").repartition(tasks, "request_id")
     return source.select(
         "request_id",
         F.col("k").alias("arrival_seq"),

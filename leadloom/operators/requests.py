@@ -2,6 +2,8 @@
 
 A request frame has one row per request. Its members and its bound answers are array columns of
 that row, so everything from the JSON text to the wide row is row-local: no explode, no shuffle.
+No lambda here reads an array column other than its own: a filter that Spark pushes down through
+these projections then costs one more evaluation of the arrays, not one per element.
 The long forms (`shred_requests`, `bound_rows`) are the same arrays, one row per element.
 """
 
@@ -14,6 +16,7 @@ from leadloom.constants import LEAD_CODES, NAME_REQUIRED, NAME_UNREGISTERED, SYS
 from leadloom.functions.members import first_value, members
 from leadloom.functions.text import is_blank, key
 from leadloom.operators.catalogue import answer_rules
+from leadloom.session import broadcast_if_small
 
 
 def with_members(requests: DataFrame) -> DataFrame:
@@ -43,7 +46,8 @@ def bind(frame: DataFrame, catalogue: DataFrame) -> DataFrame:
 
     Nested objects do not bind. `row_num` counts the answers of a request in member order.
     """
-    rules = answer_rules(catalogue)
+    # Nearly all requests may name one API: shuffling them on it would be one hot key.
+    rules = broadcast_if_small(answer_rules(catalogue), catalogue)
     matched = frame.join(rules, key("id_name") == F.col("api_key"), "left").drop("api_key")
     answers = F.flatten(
         F.transform(
@@ -99,23 +103,30 @@ def bound_rows(frame: DataFrame) -> DataFrame:
 
 def with_params(frame: DataFrame) -> DataFrame:
     """Add `params`: question code -> greatest value bound to it in that request."""
-    pairs = F.array_sort(
-        F.array_distinct(
-            F.transform(
-                F.col("bound"),
-                lambda b: F.struct(
-                    F.upper(b["question_code"]).alias("code"), b["string_value"].alias("value")
-                ),
-            )
+    pairs = F.sort_array(
+        F.transform(
+            F.col("bound"),
+            lambda b: F.struct(
+                F.upper(b["question_code"]).alias("code"), b["string_value"].alias("value")
+            ),
         )
     )
-    last_of_code = F.filter(
+    # Pairs are sorted by code and value: the last pair of a code holds its greatest value.
+    marked = F.zip_with(
         F.col("pairs"),
-        lambda p, i: (i == F.size("pairs") - 1) | (F.get("pairs", i + 1)["code"] != p["code"]),
+        F.slice("pairs", 2, F.greatest(F.size("pairs"), F.lit(0))),
+        lambda pair, following: F.struct(
+            pair["code"].alias("code"),
+            pair["value"].alias("value"),
+            (~following["code"].eqNullSafe(pair["code"])).alias("is_last"),
+        ),
+    )
+    entries = F.transform(
+        F.filter(marked, lambda m: m["is_last"]), lambda m: F.struct(m["code"], m["value"])
     )
     return (
         frame.withColumn("pairs", pairs)
-        .withColumn("params", F.map_from_entries(last_of_code))
+        .withColumn("params", F.map_from_entries(entries))
         .drop("pairs")
     )
 

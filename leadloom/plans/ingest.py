@@ -20,7 +20,6 @@ from leadloom.constants import (
     SUCCESS,
     SYSTEM_ERROR,
 )
-from leadloom.functions.text import flag
 from leadloom.operators import enrich, ids, replies, requests, rules, store
 from leadloom.session import materialise
 
@@ -77,10 +76,7 @@ def read_requests(
     else:
         frame = frame.withColumn("label_error", F.lit(None).cast("string"))
     frame = rules.check_answers(requests.with_params(frame), options.date_formats)
-    missing = F.filter(
-        F.array(*[F.lit(c) for c in LEAD_CODES]),
-        lambda c: ~flag(F.map_contains_key("params", c)),
-    )
+    missing = F.array_except(F.array(*[F.lit(c) for c in LEAD_CODES]), F.map_keys("params"))
     no_body = F.col("members").isNull()
     parameter_error = F.when(
         F.col("id_name").isNotNull() & ~F.col("registered"), LEAD_NAME_UNREGISTERED
@@ -128,8 +124,13 @@ def judge_requests(
     leads: DataFrame,
     options: IntakeOptions = IntakeOptions(),
 ) -> DataFrame:
-    """Add `own_code`: the outcome of every request before duplicates within the batch."""
-    wide = rules.check_id_number(read_requests(batch, masters, options))
+    """Add `own_code`: the outcome of every request before duplicates within the batch.
+
+    The wide requests are written once: the joins below read some of their columns again, which
+    must not parse the bodies again.
+    """
+    wide = materialise(read_requests(batch, masters, options), "read")
+    wide = rules.check_id_number(wide)
     wide = rules.check_partner(wide, masters.partners, options.partner_kind)
     wide = rules.check_duplicate(wide, leads)
     tables = {"zipcodes": masters.zipcodes, "districts": masters.districts}
