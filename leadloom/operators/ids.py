@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from leadloom.constants import TRANSACTION_FORMAT
 
-# A 63-bit order value is read as three digits of 21 bits. A window never holds more than the
-# 2^21 rows that share all but the last digit, whatever the distribution of the values.
-_DIGIT_BITS = 21
+# A 64-bit order value is read as four digits of 16 bits. A window never holds more than the
+# 2^16 rows that share all but the last digit, whatever the distribution of the values.
+_DIGIT_BITS = 16
+_LEVELS = 3
 
 
 def running_numbers(
@@ -45,7 +46,7 @@ def running_numbers(
     counted = flagged.withColumns({f"{h}_run": F.sum(h).over(in_bucket) for h in hits})
     same_group = [F.col(f"offset_{c}").eqNullSafe(F.col(c)) for c in within]
     located = counted.join(
-        offsets, [F.col("bucket_1") == F.col("offset_bucket_1"), *same_group], "left"
+        offsets, [F.col("bucket_1") == F.col("offset_bucket"), *same_group], "left"
     )
     numbers = {
         name: F.when(F.col(f"{name}_hit") == 1, F.col(f"{name}_hit_run") + F.col(f"{name}_hit_before"))
@@ -55,38 +56,52 @@ def running_numbers(
 
 
 def _bucket_offsets(flagged: DataFrame, within: list[str], hits: list[str]) -> DataFrame:
-    """Hits before each bucket, from two levels of bucket counts."""
-    small = flagged.groupBy(*within, "bucket_1").agg(*[F.sum(h).alias(h) for h in hits])
-    small = small.withColumn("bucket_2", F.shiftright("bucket_1", _DIGIT_BITS))
-    large = small.groupBy(*within, "bucket_2").agg(*[F.sum(h).alias(h) for h in hits])
-    # At most 2^21 buckets of the upper level exist per group, and 2^21 lower ones in each.
-    top = within or [F.lit(0)]
-    before = lambda keys, by: (
-        Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    """Hits before each bucket, added up digit by digit.
+
+    The count table of each level has one row per bucket of that level; a running sum covers the
+    buckets with one upper bucket in common, the sum before that one comes from the level above.
+    """
+    counts = [flagged.groupBy(*within, "bucket_1").agg(*[F.sum(h).alias(h) for h in hits])]
+    for level in range(2, _LEVELS + 1):
+        upper = F.shiftright(f"bucket_{level - 1}", _DIGIT_BITS).alias(f"bucket_{level}")
+        counts[-1] = counts[-1].select("*", upper)
+        counts.append(
+            counts[-1].groupBy(*within, f"bucket_{level}").agg(*[F.sum(h).alias(h) for h in hits])
+        )
+    offsets = _renamed(
+        _summed_before(counts[-1], within, f"bucket_{_LEVELS}", hits), within, _LEVELS, hits
     )
-    large = large.select(
-        *[F.col(c).alias(f"large_{c}") for c in within],
-        F.col("bucket_2").alias("large_bucket_2"),
-        *[
-            F.coalesce(F.sum(h).over(before(top, "bucket_2")), F.lit(0)).alias(f"{h}_large")
-            for h in hits
-        ],
+    for level in range(_LEVELS - 1, 0, -1):
+        lower = _summed_before(
+            counts[level - 1], [*within, f"bucket_{level + 1}"], f"bucket_{level}", hits
+        )
+        same = [F.col(f"offset_{c}").eqNullSafe(F.col(c)) for c in within]
+        joined = lower.join(
+            offsets, [F.col(f"bucket_{level + 1}") == F.col("offset_bucket"), *same]
+        )
+        total = {f"{h}_sum": F.col(f"{h}_sum") + F.col(f"{h}_before") for h in hits}
+        offsets = _renamed(joined.withColumns(total), within, level, hits)
+    return offsets
+
+
+def _summed_before(
+    counts: DataFrame, group: list[str], bucket: str, hits: list[str]
+) -> DataFrame:
+    before = (
+        Window.partitionBy(*(group or [F.lit(0)]))
+        .orderBy(bucket)
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    small = small.withColumns(
-        {
-            f"{h}_small": F.coalesce(
-                F.sum(h).over(before([*within, "bucket_2"], "bucket_1")), F.lit(0)
-            )
-            for h in hits
-        }
+    return counts.withColumns(
+        {f"{h}_sum": F.coalesce(F.sum(h).over(before), F.lit(0)) for h in hits}
     )
-    same_group = [F.col(f"large_{c}").eqNullSafe(F.col(c)) for c in within]
-    return small.join(
-        large, [F.col("bucket_2") == F.col("large_bucket_2"), *same_group]
-    ).select(
+
+
+def _renamed(sums: DataFrame, within: list[str], level: int, hits: list[str]) -> DataFrame:
+    return sums.select(
         *[F.col(c).alias(f"offset_{c}") for c in within],
-        F.col("bucket_1").alias("offset_bucket_1"),
-        *[(F.col(f"{h}_small") + F.col(f"{h}_large")).alias(f"{h}_before") for h in hits],
+        F.col(f"bucket_{level}").alias("offset_bucket"),
+        *[F.col(f"{h}_sum").alias(f"{h}_before") for h in hits],
     )
 
 

@@ -70,18 +70,18 @@ def read_requests(
     `is_unreadable` marks requests that end before the rules: no JSON object (30), an API name
     without questions (02), a label error (02), or a missing lead field (30).
     """
-    frame = requests.bind(requests.with_members(batch), masters.catalogue)
+    parsed = requests.with_members(batch).withColumn("no_body", F.col("members").isNull())
+    frame = requests.bind(parsed, masters.catalogue)
     if options.label_check is not None:
         frame = options.label_check(frame)
     else:
         frame = frame.withColumn("label_error", F.lit(None).cast("string"))
     frame = rules.check_answers(requests.with_params(frame), options.date_formats)
     missing = F.array_except(F.array(*[F.lit(c) for c in LEAD_CODES]), F.map_keys("params"))
-    no_body = F.col("members").isNull()
     parameter_error = F.when(
         F.col("id_name").isNotNull() & ~F.col("registered"), LEAD_NAME_UNREGISTERED
     ).otherwise(F.col("label_error"))
-    lost = F.when(no_body, EMPTY_BODY).when(
+    lost = F.when(F.col("no_body"), EMPTY_BODY).when(
         F.size("missing") > 0, F.concat(F.lit("missing "), F.array_join("missing", ", "))
     )
     return (
