@@ -170,10 +170,11 @@ _STATUSES = (
 )
 
 
-def _prefixed(column: str) -> str:
+def _prefixed(column: str, fault: str) -> str:
     """Address text of a request: partners of kind 2 use their own vocabulary."""
     return (
-        f"CASE WHEN o.o_custkey % 3 = 2 THEN 'px-' || coalesce({column}, 'NONE') "
+        f"CASE WHEN {fault} THEN 'FAULT' "
+        f"WHEN o.o_custkey % 3 = 2 THEN 'px-' || coalesce({column}, 'NONE') "
         f"ELSE coalesce({column}, 'NONE') END"
     )
 
@@ -327,20 +328,19 @@ INPUTS: dict[str, str] = {
             'Street ' || CAST(o.o_orderkey % 100 AS STRING) AS survey_addr,
             CASE WHEN o.o_orderkey % 43 = 10 THEN '0012' ELSE '001' END AS survey_rt,
             '002' AS survey_rw,
-            CASE WHEN o.o_orderkey % 71 = 17 THEN 'PROV-X'
-                ELSE {_prefixed('s.province')} END AS survey_province,
-            {_prefixed('s.city')} AS survey_city,
-            {_prefixed('s.sub_district')} AS survey_sub_district,
-            {_prefixed('s.village')} AS survey_village,
-            {_prefixed('s.zip')} AS survey_city_id,
+            {_prefixed('s.province', 'o.o_orderkey % 71 = 17')} AS survey_province,
+            {_prefixed('s.city', 'o.o_orderkey % 73 = 18')} AS survey_city,
+            {_prefixed('s.sub_district', 'o.o_orderkey % 79 = 19')} AS survey_sub_district,
+            {_prefixed('s.village', 'o.o_orderkey % 83 = 20')} AS survey_village,
+            {_prefixed('s.zip', 'o.o_orderkey % 89 = 21')} AS survey_city_id,
             'Lane ' || CAST(o.o_custkey % 100 AS STRING) AS addr,
             '003' AS rt,
             '004' AS rw,
-            {_prefixed('l.province')} AS province,
-            {_prefixed('l.city')} AS city,
-            {_prefixed('l.sub_district')} AS sub_district,
-            {_prefixed('l.village')} AS village,
-            {_prefixed('l.zip')} AS city_id,
+            {_prefixed('l.province', 'o.o_orderkey % 97 = 22')} AS province,
+            {_prefixed('l.city', 'o.o_orderkey % 101 = 23')} AS city,
+            {_prefixed('l.sub_district', 'o.o_orderkey % 103 = 24')} AS sub_district,
+            {_prefixed('l.village', 'o.o_orderkey % 107 = 25')} AS village,
+            {_prefixed('l.zip', 'o.o_orderkey % 109 = 26')} AS city_id,
             CASE WHEN o.o_orderkey % 41 = 9 THEN '08x' ELSE '0812' END AS phone_number,
             CASE WHEN o.o_orderkey % 47 = 12 THEN NULL ELSE 'Mother' END
                 AS mother_maiden_name

@@ -217,7 +217,8 @@ def check_duplicate(spark, sf_dir):
         F.col("o_orderstatus"),
     )
     stored = frame(spark, sf_dir, "customer").select(
-        F.lit("3-medium").alias("order_id"), F.col("c_custkey").cast("string").alias("partner_id")
+        F.when(F.col("c_custkey") % 3 == 0, "3-medium").otherwise("2-high ").alias("order_id"),
+        F.col("c_custkey").cast("string").alias("partner_id"),
     )
     judged = rules.check_duplicate(batch, stored).withColumns(
         {

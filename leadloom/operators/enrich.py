@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.constants import ADDRESS_COLUMNS, ADDRESS_MAPPING
+from leadloom.functions.joins import lookup
 from leadloom.functions.text import flag, key
 
 
@@ -87,7 +88,7 @@ def master_lookup(
         matches = [
             F.when(needed, key(column)) == F.col(n) for n, (_, column) in zip(names, spec.keys)
         ]
-        requests = requests.join(master, matches, "left").drop(*names)
+        requests = requests.join(lookup(master, *names), matches, "left").drop(*names)
     return requests
 
 
@@ -126,7 +127,10 @@ def map_codes(requests: DataFrame, code_map: DataFrame, only_when: Column) -> Da
     )
     translated = (
         asked.dropna(subset=["value_key", "partner_key"])
-        .join(mappings, ["partner_key", "mapping_key", "value_key"])
+        .join(
+            lookup(mappings, "partner_key", "mapping_key", "value_key"),
+            ["partner_key", "mapping_key", "value_key"],
+        )
         .groupBy("request_id")
         .agg(
             *[
@@ -186,7 +190,7 @@ def resolve_sub_zip(
     }
     matches = [key(column) == F.col(name) for name, column in address.items()]
     return (
-        requests.join(sub_zips, matches, "left")
+        requests.join(lookup(sub_zips, *address), matches, "left")
         .withColumnRenamed("sub_zip_code", output)
         .drop(*address)
     )

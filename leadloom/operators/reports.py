@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.constants import RECAP_COLUMNS, SOURCE_DATA
+from leadloom.functions.joins import lookup
 from leadloom.functions.text import key
 from leadloom.operators.status import latest_status
 
@@ -142,7 +143,7 @@ def _in_branch(rows: DataFrame, offices: DataFrame, report: ReportFilter) -> Dat
     known = offices.groupBy(key("office_code").alias("office_key")).agg(
         F.min("ref_office_id").alias("ref_office_id")
     )
-    rows = rows.join(known, key("office_code") == F.col("office_key"), "left").withColumn(
+    rows = rows.join(lookup(known, "office_key"), key("office_code") == F.col("office_key"), "left").withColumn(
         "ref_office_id", F.coalesce("ref_office_id", F.lit(0))
     )
     if report.branch != 0:

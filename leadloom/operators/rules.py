@@ -21,6 +21,7 @@ from leadloom.constants import (
     UNKNOWN_PARTNER,
 )
 from leadloom.functions.checks import bad_date, bad_id_number, bad_number, too_long
+from leadloom.functions.joins import lookup
 from leadloom.functions.text import fill, flag, is_blank, key, spread_key
 
 
@@ -88,7 +89,7 @@ def check_duplicate(requests: DataFrame, leads: DataFrame) -> DataFrame:
         {"order_key": spread_key("order_id", "request_id"), "partner_key": partner}
     )
     return (
-        keyed.join(stored, ["order_key", "partner_key"], "left")
+        keyed.join(lookup(stored, "order_key", "partner_key"), ["order_key", "partner_key"], "left")
         .drop("order_key", "partner_key")
         .withColumn("is_stored", flag(F.col("is_stored")))
     )
@@ -117,7 +118,9 @@ def check_batch_duplicates(requests: DataFrame) -> DataFrame:
     earlier = F.col("own_code").isin(MANDATORY) | F.col("is_unreadable")
     return (
         keyed.withColumn("order_key", spread_key("order_id", "request_id"))
-        .join(first_accepted, ["order_key", "partner_key"], "left")
+        .join(
+            lookup(first_accepted, "order_key", "partner_key"), ["order_key", "partner_key"], "left"
+        )
         .withColumn(
             "response_code", F.when(late & ~earlier, DUPLICATE_ORDER).otherwise(F.col("own_code"))
         )
@@ -138,7 +141,9 @@ def check_partner(
         )
     )
     return (
-        requests.join(known, key("partner_id") == F.col("known_partner"), "left")
+        requests.join(
+            lookup(known, "known_partner"), key("partner_id") == F.col("known_partner"), "left"
+        )
         .drop("known_partner")
         .withColumn("is_registered", flag(F.col("is_registered")))
     )
@@ -210,9 +215,10 @@ def with_message(requests: DataFrame, response_codes: DataFrame) -> DataFrame:
 
 def message_templates(response_codes: DataFrame) -> DataFrame:
     """`response_code, template`, one row per code."""
-    return response_codes.groupBy(F.rtrim("response_code").alias("response_code")).agg(
+    templates = response_codes.groupBy(F.rtrim("response_code").alias("response_code")).agg(
         F.min("response_message").alias("template")
     )
+    return lookup(templates, "response_code")
 
 
 def response_message(codes: DataFrame, response_codes: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from leadloom.constants import (
     UNKNOWN_ORDER,
     UNKNOWN_PARTNER,
 )
+from leadloom.functions.joins import lookup
 from leadloom.functions.text import flag, key, short, spread_key
 from leadloom.operators.ids import running_numbers
 from leadloom.operators.replies import response_envelope
@@ -76,10 +77,10 @@ def status_inquiry(
         .withColumns(
             {"order_key": spread_key("order_id", "request_id"), "partner_key": key("partner_id")}
         )
-        .join(found, ["order_key", "partner_key"], "left")
+        .join(lookup(found, "order_key", "partner_key"), ["order_key", "partner_key"], "left")
         .withColumn("response_code", code)
         .join(statuses, F.col("lead.id_status") == F.col("status_key"), "left")
-        .join(names, key("lead.partner_id") == F.col("name_key"), "left")
+        .join(lookup(names, "name_key"), key("lead.partner_id") == F.col("name_key"), "left")
         .join(messages, "response_code", "left")
         .select(
             "request_id",
@@ -197,6 +198,7 @@ def status_transition(
     """
     changes = changes.withColumn("change_key", key("transaction_id"))
     changed = changes.select("change_key").dropna().distinct().withColumn("is_changed", F.lit(True))
+    changed = lookup(changed, "change_key")
     lead_key = key("transaction_id")
     new_leads = (
         leads.join(changed, lead_key == F.col("change_key"), "left")
@@ -220,8 +222,10 @@ def status_transition(
     )
     counted = running_numbers(changes, "change_seq", {"nth": F.lit(True)}, within=["change_key"])
     appended = (
-        counted.join(owners, "change_key", "left" if keep_unmatched else "inner")
-        .join(history, "change_key", "left")
+        counted.join(
+            lookup(owners, "change_key"), "change_key", "left" if keep_unmatched else "inner"
+        )
+        .join(lookup(history, "change_key"), "change_key", "left")
         .select(
             F.col("owner.order_id").alias("order_id"),
             "transaction_id",

@@ -21,6 +21,7 @@ from leadloom.constants import (
     SUCCESS,
     SYSTEM_ERROR,
 )
+from leadloom.functions.joins import lookup
 from leadloom.functions.text import key, real_value
 from leadloom.operators.rules import message_templates
 from leadloom.schemas import schema
@@ -108,17 +109,13 @@ def rollback_failed(
         .distinct()
         .withColumn("is_failed", F.lit(True))
     )
+    keys = lookup(keys, *[f"failed_{c}" for c in names])
     matches = [key(c) == F.col(f"failed_{c}") for c in names]
-    keys = (
-        keys.withColumn("response_code", F.lit(SYSTEM_ERROR))
-        .join(message_templates(response_codes), "response_code", "left")
-        .withColumnRenamed("template", "failed_message")
-        .drop("response_code")
-    )
+    templates = message_templates(response_codes).filter(F.col("response_code") == SYSTEM_ERROR)
     failed_row = F.col("is_failed").isNotNull()
     changed = {
         "response_code": F.lit(SYSTEM_ERROR),
-        "message": F.col("failed_message"),
+        "message": templates.select("template").scalar(),
         "dtm_response": _time(as_of),
         "transaction_id": F.lit(None).cast("string"),
     }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.constants import SUCCESS, USER_EXISTS
+from leadloom.functions.joins import lookup
 from leadloom.functions.text import fill, flag, key, spread_key
 from leadloom.operators.rules import message_templates
 from leadloom.operators.store import conform
@@ -38,7 +39,7 @@ def add_users(
     refused = flag(F.col("exists") | (F.col("arrival_seq") > F.col("first_seq")))
     judged = (
         new.withColumn("user_key", spread_key("username", "request_id"))
-        .join(first, "user_key", "left")
+        .join(lookup(first, "user_key"), "user_key", "left")
         .withColumn("response_code", F.when(refused, USER_EXISTS).otherwise(SUCCESS))
         .drop("user_key", "exists", "first_seq")
     )

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from leadloom.operators.store import conform
-from leadloom.schemas import schema
+from leadloom.schemas import columns, schema
 
 # Date column by which the growing tables are partitioned, so day ranges prune files.
 DAY_OF = {
@@ -19,9 +22,26 @@ DAY_OF = {
 }
 
 
-def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Scan one engine table; the schema is given, not inferred."""
-    return spark.read.schema(schema(table)).parquet(path)
+def read_table(
+    spark: SparkSession,
+    path: str,
+    table: str,
+    first_day: date | None = None,
+    last_day: date | None = None,
+) -> DataFrame:
+    """Scan one engine table; the schema is given, not inferred.
+
+    A range of days, both included, reads only their directories.
+    """
+    fields = schema(table).fields
+    if table in DAY_OF:
+        fields = [*fields, StructField("day", DateType())]
+    rows = spark.read.schema(StructType(fields)).parquet(path)
+    if first_day is not None:
+        rows = rows.filter(F.col("day") >= F.lit(first_day))
+    if last_day is not None:
+        rows = rows.filter(F.col("day") <= F.lit(last_day))
+    return rows.select(*columns(table))
 
 
 def append_table(rows: DataFrame, path: str, table: str) -> None:

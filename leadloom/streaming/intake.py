@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from leadloom.constants import SUCCESS
 from leadloom.plans.ingest import Intake, IntakeOptions, Masters, ingest
@@ -101,7 +102,7 @@ def _earlier(spark: SparkSession, state: str, output: str, batch_id: int) -> Dat
     if output == "counters":
         columns = _COUNTERS
     else:
-        columns = schema(_TABLES[output]).add("batch", "long")
+        columns = StructType([*schema(_TABLES[output]).fields, StructField("batch", LongType())])
     root = f"{state}/{output}"
     try:
         stored = spark.read.schema(columns).parquet(root)
