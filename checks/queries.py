@@ -12,6 +12,7 @@ from checks import inputs
 from checks.inputs import catalogue, frame, part_catalogue, table
 from leadloom.constants import ADDRESS_COLUMNS, SUCCESS
 from leadloom.functions.checks import bad_date, bad_id_number
+from leadloom.operators import catalogue as catalogues
 from leadloom.operators import (
     enrich,
     export,
@@ -24,7 +25,6 @@ from leadloom.operators import (
     store,
     users,
 )
-from leadloom.operators.catalogue import rule_catalogue
 from leadloom.plans import gate
 from leadloom.plans.ingest import Masters, ingest, validate_requests
 from leadloom.plans.inquiry import inquire
@@ -163,8 +163,8 @@ def gate_replies(spark, sf_dir):
 
 
 @query
-def rule_catalogue_rows(spark, sf_dir):
-    return rule_catalogue(part_catalogue(spark, sf_dir))
+def rule_catalogue(spark, sf_dir):
+    return catalogues.rule_catalogue(part_catalogue(spark, sf_dir))
 
 
 @query

@@ -19,7 +19,7 @@ def split_by_handler(
 ) -> dict[str | None, DataFrame]:
     """Requests of each handler, and under None those that cannot be routed.
 
-    The routed batch is written once and partitioned by nothing: each part is a filter on it.
+    The routed batch is written once; each part is a filter on it.
     """
     routed = materialise(
         requests.route(requests.with_members(batch), parameters, question_group_h).drop("members"),

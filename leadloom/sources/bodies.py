@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 def read_bodies(spark: SparkSession, path: str) -> DataFrame:
     """Request batch from text files with one JSON body per line.
 
-    A request is named by its file and its place in it, and arrives in the order of the files'
-    times; both are fixed by the files, so a lost task reads the same requests again.
+    A request is named by its file and its place in the scan. Both are fixed by the files and
+    their splits, so a lost task reads the same requests again; `arrival_seq` is unique and
+    increasing, not dense.
     """
     lines = spark.read.text(path).select(
         F.col("value").alias("body"),
