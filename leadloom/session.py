@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 # hot key in such a shuffle is split by the skew rule, which must also act where it costs one more
 # exchange. Only where a small side is itself a join, whose size Spark overestimates, is the size
 # checked here (`broadcast_if_small`).
-_ADAPTIVE = {
+_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
@@ -23,7 +23,7 @@ _ADAPTIVE = {
 
 def tune(spark: SparkSession) -> SparkSession:
     """Turn on adaptive skew handling; timestamps are read and shown in UTC."""
-    for key, value in _ADAPTIVE.items():
+    for key, value in _SETTINGS.items():
         spark.conf.set(key, value)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
