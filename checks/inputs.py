@@ -401,8 +401,17 @@ INPUTS: dict[str, str] = {
 _PLACE = re.compile(r"\{(\w+)\}")
 
 
-# Masters and batches that a deployment has at rest: written once per application.
-STORED = ("address", "zipcodes", "districts", "lead_partners", "code_map", "stored_leads")
+# Tables that a deployment has at rest: derived and written once per application.
+STORED = (
+    "address",
+    "zipcodes",
+    "districts",
+    "lead_partners",
+    "code_map",
+    "stored_leads",
+    "leads",
+    "status_log",
+)
 _written: dict[tuple[str, str, str], DataFrame] = {}
 
 

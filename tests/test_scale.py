@@ -27,7 +27,7 @@ def plan(df) -> str:
 
 def test_report_filters_reach_the_scan(spark):
     text = plan(QUERIES["detail_report_product_dates"](spark, SF))
-    assert "GreaterThanOrEqual(o_orderdate" in text and "LessThan(o_orderdate" in text
+    assert "GreaterThanOrEqual(order_dt" in text and "LessThan(order_dt" in text
 
 
 def test_row_local_part_does_not_shuffle(spark):
