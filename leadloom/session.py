@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,9 +38,14 @@ def broadcast_if_small(df: DataFrame, counted: DataFrame, max_rows: int = 100_00
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder the cluster names for lineage cuts; a temporary one only where none is named."""
+    """Folder for lineage cuts: the one the cluster names, else one in the (shared) warehouse.
+
+    Both are storage that the driver and all executors see; a machine-local folder is never used.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or tempfile.mkdtemp(prefix="leadloom-")
+    if not named:
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+    return named
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
