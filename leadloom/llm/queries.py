@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from leadloom.llm.fingerprint import edited_neighbours
+from leadloom.llm.mixing import contributions
 from leadloom.llm.shared import table
 from leadloom.llm.simhash import near_duplicates
 
@@ -15,12 +16,17 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_neighbours(table(spark, sf_dir, "documents"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contributions(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
+    "op8_mixing": op8_mixing,
     "op10_simhash": op10_simhash,
 }
 
