@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from leadloom.llm import decontaminate, html, language, urls
 from leadloom.llm.fingerprint import edited_neighbours
 from leadloom.llm.mixing import contributions
 from leadloom.llm.shared import table
@@ -16,18 +17,44 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_neighbours(table(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    ).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contributions(table(spark, sf_dir, "documents"))
 
 
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages")).select(
+        "page_id", "host", "path", "rule", "verdict"
+    )
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_decontamination": op2_decontamination,
+    "op3_html": op3_html,
+    "op5_language": op5_language,
     "op8_mixing": op8_mixing,
+    "op9_urls": op9_urls,
     "op10_simhash": op10_simhash,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_urls": urls.oracle(),
+}
