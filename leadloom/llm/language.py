@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from leadloom.llm.shared import fold, pick, rows_of, small_batches, text_of
 
 BINS = 1 << 14
-SCALE = 12.0
+SCALE = 4.0
 AMBIGUOUS = 0.6
 MOST_LANGUAGES = 2000
 UNKNOWN = "und"

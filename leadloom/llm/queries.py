@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadloom.llm import decontaminate, html, language, urls
+from leadloom.llm import decontaminate, html, language, quality, toxicity, urls
 from leadloom.llm.fingerprint import edited_neighbours
 from leadloom.llm.mixing import contributions
 from leadloom.llm.shared import table
@@ -27,10 +27,20 @@ def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop(
+        "similarities"
+    )
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contributions(table(spark, sf_dir, "documents"))
 
@@ -49,7 +59,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_decontamination": op2_decontamination,
     "op3_html": op3_html,
+    "op4_quality": op4_quality,
     "op5_language": op5_language,
+    "op6_toxicity": op6_toxicity,
     "op8_mixing": op8_mixing,
     "op9_urls": op9_urls,
     "op10_simhash": op10_simhash,
