@@ -31,7 +31,9 @@ SAMPLE = 20_000
 HIDDEN = 24
 EPOCHS = 60
 BATCH = 128
-LEAST_STEPS = 2000
+LEAST_STEPS = 1000
+DECAY = 0.01
+RATE = 0.003
 _CLASSES = np.zeros(256, dtype=np.uint8)
 for _byte in range(256):
     _c = chr(_byte)
@@ -181,7 +183,7 @@ class Net(NamedTuple):
 
 
 def _train(
-    positive: np.ndarray, unlabelled: np.ndarray, prior: float | None, seed: int, epochs: int
+    positive: np.ndarray, unlabelled: np.ndarray, prior: float | None, seed: int, epochs: int, least: int
 ) -> Net:
     """A network by the non-negative risk, or, without a prior, of positives against unlabelled."""
     random = np.random.default_rng(seed)
@@ -199,7 +201,7 @@ def _train(
     first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
     steps = max(1, min(len(p_all), len(u_all)) // BATCH)
     t = 0
-    for _ in range(max(epochs, -(-LEAST_STEPS // steps))):
+    for _ in range(max(epochs, -(-least // steps))):
         p_order, u_order = random.permutation(len(p_all)), random.permutation(len(u_all))
         for k in range(steps):
             t += 1
@@ -221,18 +223,18 @@ def _train(
             back = np.outer(d, weights[2]) * (1 - hidden**2)
             grads = [x.T @ back, back.sum(axis=0), hidden.T @ d, np.array([d.sum()])]
             for j, g in enumerate(grads):
-                g = g + 1e-5 * weights[j]
+                g = g + DECAY * weights[j]
                 first[j] = 0.9 * first[j] + 0.1 * g
                 second[j] = 0.999 * second[j] + 0.001 * g * g
                 step = first[j] / (1 - 0.9**t) / (np.sqrt(second[j] / (1 - 0.999**t)) + 1e-8)
-                weights[j] = weights[j] - 0.005 * step
+                weights[j] = weights[j] - RATE * step
     return net._replace(w1=weights[0], b1=weights[1], w2=weights[2], b2=weights[3])
 
 
 def class_prior(positive: np.ndarray, unlabelled: np.ndarray, seed: int = 3) -> float:
     """Share of good texts among the unlabelled ones, within 0.05 and 0.98."""
     half_p, half_u = len(positive) // 2, len(unlabelled) // 2
-    net = _train(positive[:half_p], unlabelled[:half_u], None, seed, 30)
+    net = _train(positive[:half_p], unlabelled[:half_u], None, seed, 20, 150)
     p, u = net.raw(positive[half_p:]), net.raw(unlabelled[half_u:])
     thresholds = np.quantile(p, np.linspace(0, 0.95, 96))
     above_p = np.array([(p >= t).mean() for t in thresholds])
@@ -270,7 +272,7 @@ def fit(
     random.shuffle(good)
     random.shuffle(unknown)
     prior = class_prior(good, unknown)
-    return Model(_train(good, unknown, prior, 5, EPOCHS), prior)
+    return Model(_train(good, unknown, prior, 5, EPOCHS, LEAST_STEPS), prior)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, folds: int, held: int, sample: int):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadloom.llm import decontaminate, html, language, quality, toxicity, urls
+from leadloom.llm import decontaminate, html, language, lm, quality, toxicity, urls
 from leadloom.llm.fingerprint import edited_neighbours
 from leadloom.llm.mixing import contributions
 from leadloom.llm.shared import table
@@ -41,6 +41,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contributions(table(spark, sf_dir, "documents"))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op5_language": op5_language,
     "op6_toxicity": op6_toxicity,
+    "op7_language_model": op7_language_model,
     "op8_mixing": op8_mixing,
     "op9_urls": op9_urls,
     "op10_simhash": op10_simhash,
