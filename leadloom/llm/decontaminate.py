@@ -135,9 +135,11 @@ def _shard(texts: list, tests: Tests) -> tuple[np.ndarray, list[np.ndarray]]:
     which, at = matches(numbers, tests)
     owner = np.searchsorted(begins, at, side="right") - 1
     found = [None] * len(texts)
+    if not len(owner):
+        return sizes, found
     order = np.argsort(owner, kind="stable")
     which, at, owner = which[order], at[order], owner[order]
-    edges = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else []
+    edges = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
     for begin, end in zip(edges, [*edges[1:], len(owner)], strict=True):
         text, w = owner[begin], which[begin:end]
         found[text] = _joined(
