@@ -152,7 +152,8 @@ def schedule(goal: DataFrame, block: int = BLOCK) -> DataFrame:
     ends = F.array(*[F.lit(h) for _, _, h, _ in bounds[:-1]]).cast("array<double>")
     number = F.size(F.filter(ends, lambda end: end <= F.col("u")))
     names = F.array(*[F.lit(p) for p, *_ in bounds])
-    slots = slots.select("slot", F.get(names, number).alias("part"))
+    # Used by three counts and the ranks: the points are computed once.
+    slots = materialise(slots.select("slot", F.get(names, number).alias("part")), "mix-slots")
     # Rank: slots of the source in earlier stretches of the sequence, plus those in the same one.
     stretch = F.floor(F.col("slot") / 4096)
     counts = slots.groupBy("part", stretch.alias("stretch")).agg(F.count("*").alias("n"))
