@@ -6,8 +6,8 @@ are weighted by TF-IDF over these terms, with document frequencies counted over
 
 The labelled texts (a bounded sample) form a block-max inverted index: postings per term, cut into
 blocks of texts, with the largest weight of each term in each block. A query gets an upper bound for
-every block, visits blocks from the highest bound down and stops when no bound reaches its k-th best
-similarity, so the neighbours are exact. They vote with weights that fall with their distance; the
+every block, scores the blocks with the highest bounds, and then only those whose bound reaches the
+k-th best similarity found so far; the neighbours are exact. They vote with weights that fall with their distance; the
 vote is calibrated by a logistic curve fitted to the leave-one-out votes of the labelled texts.
 """
 
@@ -72,31 +72,38 @@ class Index:
         ids = np.fromiter(vector, dtype=np.int64)
         weights = np.fromiter(vector.values(), dtype=np.float64)
         bound = weights @ self.most[ids]
-        order = np.argsort(-bound, kind="stable")
-        texts, values = np.empty(0, dtype=np.int64), np.empty(0)
-        least, at = 0.0, 0
-        while at < len(order):
-            blocks = [b for b in order[at : at + 4] if bound[b] > 0 and bound[b] >= least - 1e-9]
-            if not blocks:
-                break
-            at += 4
-            for b in blocks:
-                score = np.zeros(self.block)
-                for t, w in zip(ids, weights, strict=True):
-                    i, j = self.start[t * self.blocks + b], self.start[t * self.blocks + b + 1]
-                    if j > i:
-                        score[self.text[i:j] - b * self.block] += w * self.weight[i:j]
-                hit = np.flatnonzero(score > 0)
-                hit = hit[hit + b * self.block != leave]
-                texts, values = np.r_[texts, hit + b * self.block], np.r_[values, score[hit]]
-            if len(values) > k:
-                best = np.lexsort((texts, -values.round(12)))[:k]
-                texts, values = texts[best], values[best]
-            if len(values) == k:
-                least = values.min()
+        live = np.flatnonzero(bound > 0)
+        first = live if len(live) <= 4 else live[np.argpartition(-bound[live], 3)[:4]]
+        score = self._scores(ids, weights, first, leave)
+        found = score[score > 0]
+        if len(found) >= k:
+            # No block whose bound is below the k-th best so far can hold a nearer text.
+            live = live[bound[live] >= np.partition(found, -k)[-k] - 1e-9]
+        rest = np.setdiff1d(live, first, assume_unique=True)
+        if len(rest):
+            score = score + self._scores(ids, weights, rest, leave)
+        texts = np.flatnonzero(score > 0)
+        values = score[texts]
+        if len(texts) > k:
+            close = values >= np.partition(values, -k)[-k] - 1e-9
+            texts, values = texts[close], values[close]
         best = np.lexsort((texts, -values.round(12)))[:k]
         return texts[best], np.minimum(values[best], 1.0)
 
+    def _scores(
+        self, ids: np.ndarray, weights: np.ndarray, blocks: np.ndarray, leave: int
+    ) -> np.ndarray:
+        """Similarities to the texts of some blocks, from their postings of the query's terms."""
+        cell = (ids[:, None] * self.blocks + blocks).ravel()
+        begin, count = self.start[cell], self.start[cell + 1] - self.start[cell]
+        inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        place = np.repeat(begin, count) + inside
+        factor = np.repeat(np.repeat(weights, len(blocks)), count)
+        score = np.bincount(self.text[place], factor * self.weight[place], minlength=self.n)
+        if leave >= 0:
+            score[leave] = 0.0
+        return score
+
 
 class Model(NamedTuple):
     vocabulary: dict[str, int]
