@@ -240,6 +240,10 @@ def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
     )
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents without those that hold a window of a test item."""
-    return scan(docs, benchmark, **options).where(F.size("_matches") == 0).select(*docs.columns)
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """The documents without those that hold a window of a test item; any other columns stay."""
+    # Columns of the documents may have the names used here, so they travel under numbers.
+    numbered = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    text = f"c{docs.columns.index(text_col)}"
+    kept = scan(numbered, benchmark, text_col=text, **options).where(F.size("_matches") == 0)
+    return kept.select(*numbered.columns).toDF(*docs.columns)
