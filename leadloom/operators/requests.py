@@ -13,10 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.constants import LEAD_CODES, NAME_REQUIRED, NAME_UNREGISTERED, SYSTEM_ERROR
+from leadloom.functions.joins import lookup
 from leadloom.functions.members import first_value, members
 from leadloom.functions.text import is_blank, key
 from leadloom.operators.catalogue import answer_rules
-from leadloom.session import broadcast_if_small
 
 
 def with_members(requests: DataFrame) -> DataFrame:
@@ -46,8 +46,9 @@ def bind(frame: DataFrame, catalogue: DataFrame) -> DataFrame:
 
     Nested objects do not bind. `row_num` counts the answers of a request in member order.
     """
-    # Nearly all requests may name one API: shuffling them on it would be one hot key.
-    rules = broadcast_if_small(answer_rules(catalogue), catalogue)
+    # Nearly all requests may name one API: where the catalogue is too large for Spark to
+    # broadcast it, the shuffle of that hot key is split.
+    rules = lookup(answer_rules(catalogue), "api_key")
     matched = frame.join(rules, key("id_name") == F.col("api_key"), "left").drop("api_key")
     answers = F.flatten(
         F.transform(
@@ -189,9 +190,11 @@ def route(frame: DataFrame, parameters: DataFrame, question_group_h: DataFrame)
         .groupBy(key("parameter_id").alias("handler_key"))
         .agg(F.max("parameter_value").alias("parameter_value"), F.lit(True).alias("is_parameter"))
     )
+    handlers = lookup(handlers, "handler_key")
     groups = question_group_h.select(
         key("questiongroup_name").alias("group_key"), F.lit(True).alias("is_group")
     ).distinct()
+    groups = lookup(groups, "group_key")
     known = F.col("is_parameter") & F.col("is_group")
     error = F.when(is_blank("id_name"), NAME_REQUIRED).when(known.isNull(), NAME_UNREGISTERED)
     return (

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leadloom.constants import NAME_UNREGISTERED, SYSTEM_ERROR
 from leadloom.operators import replies, requests, rules
 from leadloom.session import materialise
 
@@ -17,7 +18,7 @@ def split_by_handler(
     question_group_h: DataFrame,
     handlers: list[str],
 ) -> dict[str | None, DataFrame]:
-    """Requests of each handler, and under None those that cannot be routed.
+    """Requests of each handler, and under None all others: the parts add up to the batch.
 
     The routed batch is written once; each part is a filter on it.
     """
@@ -28,7 +29,15 @@ def split_by_handler(
     parts: dict[str | None, DataFrame] = {
         name: routed.filter(F.col("handler") == name).select(*batch.columns) for name in handlers
     }
-    parts[None] = routed.filter(F.col("error").isNotNull())
+    # Whatever goes to no named handler is refused: also a registered name without a handler here.
+    taken = F.coalesce(F.col("handler").isin(handlers), F.lit(False)) if handlers else F.lit(False)
+    refused = routed.filter(~taken)
+    parts[None] = refused.withColumns(
+        {
+            "error": F.coalesce("error", F.lit(NAME_UNREGISTERED)),
+            "response_code": F.coalesce("response_code", F.lit(SYSTEM_ERROR)),
+        }
+    )
     return parts
 
 

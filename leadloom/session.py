@@ -5,13 +5,11 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Joins with stored tables carry no broadcast hints: Spark broadcasts a side only after checking
 # its size, at plan time or from the measured shuffle size, and otherwise shuffles both sides. A
 # hot key in such a shuffle is split by the skew rule, which must also act where it costs one more
-# exchange. Only where a small side is itself a join, whose size Spark overestimates, is the size
-# checked here (`broadcast_if_small`).
+# exchange.
 _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -28,15 +26,6 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def broadcast_if_small(df: DataFrame, counted: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """`df` with a broadcast hint when `counted` has at most `max_rows` rows, else as it is.
-
-    `counted` holds the rows `df` is made of, so the check bounds its size also where `df` packs
-    them into fewer rows. Counting stops at the bound.
-    """
-    return F.broadcast(df) if counted.limit(max_rows + 1).count() <= max_rows else df
-
-
 def shared_folder(spark: SparkSession) -> str:
     """Folder for lineage cuts: the one the cluster names, else one in the (shared) warehouse.
 

@@ -165,3 +165,14 @@ def test_gate_splits_a_mixed_batch(spark, batch, codes):
     assert texts["System error - IDNAME is required"] == (
         '{"responseCode":"30","responseMessage":"System error - IDNAME is required"}'
     )
+
+
+def test_gate_loses_no_request(spark, batch, codes):
+    parameters = spark.createDataFrame(
+        [("lead_api", None), ("other", "elsewhere")], "parameter_id string, parameter_value string"
+    )
+    groups = spark.createDataFrame([("lead_api",), ("other",)], "questiongroup_name string")
+    for handlers in (["leads"], []):
+        parts = gate.split_by_handler(batch, parameters, groups, handlers)
+        assert sum(p.count() for p in parts.values()) == batch.count()
+        assert parts[None].filter("response_code IS NULL OR error IS NULL").count() == 0

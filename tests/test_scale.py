@@ -12,7 +12,6 @@ from checks.queries import QUERIES, masters
 from leadloom.operators import enrich, rules, status
 from leadloom.plans.ingest import ingest
 from leadloom.schemas import schema
-from leadloom.session import broadcast_if_small
 from leadloom.sources.bodies import read_bodies
 from leadloom.sources.tables import append_table, read_table, write_version
 from leadloom.streaming.intake import run_batch, start_intake
@@ -102,11 +101,6 @@ def test_shuffled_lookups_give_the_same_codes(shuffled):
     assert rows(out.select("*"), "request_id", "master_code") == found
 
 
-def test_broadcast_only_below_the_bound(spark):
-    df = spark.range(10)
-    assert "ResolvedHint" in broadcast_if_small(df, df, 10)._jdf.queryExecution().analyzed().toString()
-    assert broadcast_if_small(df, df, 9) is df
-
 
 def test_tables_round_trip(spark, tmp_path):
     leads = inputs.table(spark, SF, "leads")
