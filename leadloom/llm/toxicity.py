@@ -7,8 +7,9 @@ are weighted by TF-IDF over these terms, with document frequencies counted over
 The labelled texts (a bounded sample) form a block-max inverted index: postings per term, cut into
 blocks of texts, with the largest weight of each term in each block. A query gets an upper bound for
 every block, scores the blocks with the highest bounds, and then only those whose bound reaches the
-k-th best similarity found so far; the neighbours are exact. They vote with weights that fall with their distance; the
-vote is calibrated by a logistic curve fitted to the leave-one-out votes of the labelled texts.
+k-th best similarity found so far; the neighbours are exact. They vote with weights that fall with
+their distance; the vote is calibrated by a logistic curve fitted to the leave-one-out votes of the
+labelled texts. Whole texts are cut into words once: their known terms are written and read again.
 """
 
 from __future__ import annotations
@@ -67,6 +68,8 @@ class Index:
         self, vector: dict[int, float], k: int, leave: int = -1
     ) -> tuple[np.ndarray, np.ndarray]:
         """The `k` most similar texts (without `leave`), ties by position; similarity above 0."""
+        if leave >= 0:
+            return without(self.nearest(vector, k + 1), leave, k)
         if not vector or not self.blocks:
             return np.empty(0, dtype=np.int64), np.empty(0)
         ids = np.fromiter(vector, dtype=np.int64)
@@ -74,14 +77,14 @@ class Index:
         bound = weights @ self.most[ids]
         live = np.flatnonzero(bound > 0)
         first = live if len(live) <= 4 else live[np.argpartition(-bound[live], 3)[:4]]
-        score = self._scores(ids, weights, first, leave)
+        score = self._scores(ids, weights, first)
         found = score[score > 0]
         if len(found) >= k:
             # No block whose bound is below the k-th best so far can hold a nearer text.
             live = live[bound[live] >= np.partition(found, -k)[-k] - 1e-9]
         rest = np.setdiff1d(live, first, assume_unique=True)
         if len(rest):
-            score = score + self._scores(ids, weights, rest, leave)
+            score = score + self._scores(ids, weights, rest)
         texts = np.flatnonzero(score > 0)
         values = score[texts]
         if len(texts) > k:
@@ -90,23 +93,28 @@ class Index:
         best = np.lexsort((texts, -values.round(12)))[:k]
         return texts[best], np.minimum(values[best], 1.0)
 
-    def _scores(
-        self, ids: np.ndarray, weights: np.ndarray, blocks: np.ndarray, leave: int
-    ) -> np.ndarray:
+    def _scores(self, ids: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> np.ndarray:
         """Similarities to the texts of some blocks, from their postings of the query's terms."""
         cell = (ids[:, None] * self.blocks + blocks).ravel()
         begin, count = self.start[cell], self.start[cell + 1] - self.start[cell]
         inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         place = np.repeat(begin, count) + inside
         factor = np.repeat(np.repeat(weights, len(blocks)), count)
-        score = np.bincount(self.text[place], factor * self.weight[place], minlength=self.n)
-        if leave >= 0:
-            score[leave] = 0.0
-        return score
+        return np.bincount(self.text[place], factor * self.weight[place], minlength=self.n)
+
+
+def without(
+    found: tuple[np.ndarray, np.ndarray], leave: int, k: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The `k` nearest other texts, out of the `k` + 1 nearest of all."""
+    others = found[0] != leave
+    return found[0][others][:k], found[1][others][:k]
 
 
 class Model(NamedTuple):
-    vocabulary: dict[str, int]
+    """What was learned; `weighted` turns the counts of known terms into a unit vector."""
+
+    vocabulary: list[str]
     idf: np.ndarray
     index: Index | None
     toxic: np.ndarray
@@ -116,15 +124,10 @@ class Model(NamedTuple):
     shift: float
     neighbours: int
 
-    def vector(self, found: Counter) -> dict[int, float]:
-        known = {}
-        get = self.vocabulary.get
-        for term, n in found.items():
-            k = get(term)
-            if k is not None:
-                known[k] = (1 + np.log(n)) * self.idf[k]
-        norm = np.sqrt(sum(w * w for w in known.values()))
-        return {k: known[k] / norm for k in sorted(known)} if norm else {}
+    def weighted(self, ids: np.ndarray, counts: np.ndarray) -> dict[int, float]:
+        weights = (1 + np.log(counts)) * self.idf[ids]
+        norm = np.sqrt((weights * weights).sum())
+        return dict(zip(ids.tolist(), (weights / norm).tolist(), strict=True)) if norm else {}
 
     def vote(self, texts: np.ndarray, similarity: np.ndarray) -> float:
         """Log odds of the distance-weighted votes, drawn to the prior by one weak vote."""
@@ -133,10 +136,10 @@ class Model(NamedTuple):
         share = np.clip(share, 1e-4, 1 - 1e-4)
         return float(np.log(share / (1 - share)))
 
-    def score(self, found: Counter) -> tuple[float, list, list]:
+    def score(self, ids: np.ndarray, counts: np.ndarray) -> tuple[float, list, list]:
         if self.index is None:
             return self.prior, [], []
-        texts, similarity = self.index.nearest(self.vector(found), self.neighbours)
+        texts, similarity = self.index.nearest(self.weighted(ids, counts), self.neighbours)
         raw = self.slope * self.vote(texts, similarity) + self.shift
         return float(1 / (1 + np.exp(-raw))), self.ids[texts].tolist(), similarity.tolist()
 
@@ -186,21 +189,44 @@ def _selected(counts: DataFrame, total1: int, total0: int, most: int) -> list[st
     return sorted(r["term"] for r in best)
 
 
-def _frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[np.ndarray, int]:
-    """In how many of all documents each term occurs, and the number of documents."""
+def encode(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """(doc_id, ids, counts): the known terms of every whole text, by ascending number."""
+    small_batches(docs.sparkSession)
+    whole = {t: k for k, t in enumerate(vocabulary) if not t.startswith(_MARK)}
+    starts = {t[len(_MARK) :]: k for k, t in enumerate(vocabulary) if t.startswith(_MARK)}
+
+    def known(text: object) -> list[tuple[int, int]]:
+        found: dict[int, int] = {}
+        for word, n in Counter(_WORD.findall(text_of(text).lower())).items():
+            if word in whole:
+                found[whole[word]] = n
+            if len(word) > START and word[:START] in starts:
+                k = starts[word[:START]]
+                found[k] = found.get(k, 0) + n
+        return sorted(found.items())
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total, n = np.zeros(len(vocabulary), dtype=np.int64), 0
         for frame in rows_of(frames):
-            n += len(frame)
-            for text in frame["text"]:
-                known = vocabulary.keys() & terms(text).keys()
-                total[[vocabulary[t] for t in known]] += 1
-        yield pd.DataFrame({"k": np.r_[-1, np.arange(len(total))], "n": np.r_[n, total]})
+            pairs = [known(t) for t in frame["text"]]
+            yield pd.DataFrame(
+                {
+                    "doc_id": frame["doc_id"],
+                    "ids": [[k for k, _ in p] for p in pairs],
+                    "counts": [[n for _, n in p] for p in pairs],
+                }
+            )
 
-    sums = docs.select("text").mapInPandas(run, "k int, n long").groupBy("k").agg(F.sum("n").alias("n"))
-    found = {r["k"]: r["n"] for r in sums.collect()}
-    return np.array([found.get(k, 0) for k in range(len(vocabulary))]), int(found.get(-1, 0))
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInPandas(
+        run, f"doc_id {id_type}, ids array<int>, counts array<long>"
+    )
+
+
+def _frequencies(encoded: DataFrame, size: int) -> tuple[np.ndarray, int]:
+    """In how many of all documents each term occurs, and the number of documents."""
+    seen = encoded.select(F.explode("ids").alias("k")).groupBy("k").agg(F.count("*").alias("n"))
+    found = {r["k"]: r["n"] for r in seen.collect()}
+    return np.array([found.get(k, 0) for k in range(size)]), encoded.count()
 
 
 def _calibrated(votes: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
@@ -225,18 +251,20 @@ def fit(
     sample: int = SAMPLE,
     most_terms: int = MOST_TERMS,
     neighbours: int = NEIGHBOURS,
-) -> Model:
+) -> tuple[Model, DataFrame]:
     """Learn from rows (doc_id, toxic) and the texts (doc_id, text) they name.
 
+    The model, and the known terms of `docs` (see `encode`), written once: they give the document
+    frequencies and the labelled vectors, and `predict` takes them.
+
     At most about `sample` labelled rows are used, spread by hash; what is gathered on the driver is
     bounded by it and by `most_terms`. Where no labelled text has a telling term, or only one class
     is labelled, every score is the share of toxic labels (0.5 without any label).
     """
-    spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(docs.sparkSession)
     marked = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
     marked = marked.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    chosen = _sampled(marked, sample)
+    chosen = materialise(_sampled(marked, sample), "toxic-labels")
     # The sample is bounded, so it may be broadcast.
     rows = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
     rows = materialise(rows, "toxic-sample")
@@ -244,54 +272,53 @@ def fit(
     total1 = sum(n for t, n in totals.items() if t)
     total0 = sum(n for t, n in totals.items() if not t)
     prior = total1 / (total1 + total0) if total1 + total0 else 0.5
-    chosen_terms = _selected(materialise(_term_counts(rows), "toxic-terms"), total1, total0, most_terms)
-    empty = Model({}, np.empty(0), None, np.empty(0), np.empty(0), prior, 1.0, 0.0, neighbours)
-    if not chosen_terms:
-        return empty
-    vocabulary = {t: k for k, t in enumerate(chosen_terms)}
-    seen, n = _frequencies(docs, vocabulary)
-    model = empty._replace(vocabulary=vocabulary, idf=np.log((n + 1) / (seen + 1)) + 1.0)
-
-    def vectors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in rows_of(frames):
-            found = [model.vector(terms(t)) for t in frame["text"]]
-            yield pd.DataFrame(
-                {
-                    "doc_id": frame["doc_id"],
-                    "toxic": frame["toxic"],
-                    "k": [list(v) for v in found],
-                    "w": [[float(x) for x in v.values()] for v in found],
-                }
-            )
-
-    kinds = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, toxic int"
-    held = rows.mapInPandas(vectors, f"{kinds}, k array<int>, w array<double>").collect()
+    vocabulary = _selected(materialise(_term_counts(rows), "toxic-terms"), total1, total0, most_terms)
+    model = Model([], np.empty(0), None, np.empty(0), np.empty(0), prior, 1.0, 0.0, neighbours)
+    encoded = encode(docs, vocabulary)
+    if not vocabulary:
+        return model, encoded
+    encoded = materialise(encoded, "toxic-encoded")
+    seen, n = _frequencies(encoded, len(vocabulary))
+    model = model._replace(vocabulary=vocabulary, idf=np.log((n + 1) / (seen + 1)) + 1.0)
+    held = encoded.join(F.broadcast(chosen), "doc_id").collect()
     # Similar texts side by side, so that bounds of blocks are tight; a fixed order.
-    held.sort(key=lambda r: (r["k"], r["w"], r["toxic"], str(r["doc_id"])))
-    points = [dict(zip(r["k"], r["w"], strict=True)) for r in held]
+    held.sort(key=lambda r: (r["ids"], r["counts"], r["toxic"], str(r["doc_id"])))
+    points = [model.weighted(np.array(r["ids"], int), np.array(r["counts"], int)) for r in held]
     toxic = np.array([float(r["toxic"] > 0) for r in held])
-    model = model._replace(
-        index=Index(points, len(vocabulary)), toxic=toxic, ids=np.array([r["doc_id"] for r in held])
-    )
-    votes, known = [], {}
+    index = Index(points, len(vocabulary))
+    model = model._replace(index=index, toxic=toxic, ids=np.array([r["doc_id"] for r in held]))
+    slope, shift = _calibrated(np.array(_left_out(model, points)), toxic)
+    return model._replace(slope=slope, shift=shift), encoded
+
+
+def _left_out(model: Model, points: list[dict[int, float]]) -> list[float]:
+    """The vote for each labelled text without itself; equal vectors are searched once."""
+    votes, before, found = [], None, None
     for k, point in enumerate(points):
-        if not point:
-            found = known.setdefault("none", model.vote(*model.index.nearest({}, neighbours)))
-        else:
-            found = model.vote(*model.index.nearest(point, neighbours, leave=k))
-        votes.append(found)
-    slope, shift = _calibrated(np.array(votes), toxic)
-    return model._replace(slope=slope, shift=shift)
+        if point != before:
+            before, found = point, model.index.nearest(point, model.neighbours + 1)
+        votes.append(model.vote(*without(found, k, model.neighbours)))
+    return votes
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score, neighbours, similarities) from columns doc_id and text; row by row."""
-    small_batches(docs.sparkSession)
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+def predict(encoded: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, score, neighbours, similarities) of the rows of `encode`; row by row.
+
+    Rows of one batch with the same known terms are searched once.
+    """
+    small_batches(encoded.sparkSession)
+    id_type = encoded.schema["doc_id"].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in rows_of(frames):
-            found = [model.score(terms(t)) for t in frame["text"]]
+        for frame in frames:
+            done: dict[bytes, tuple] = {}
+            found = []
+            for ids, counts in zip(frame["ids"], frame["counts"], strict=True):
+                ids, counts = np.asarray(ids, dtype=np.int64), np.asarray(counts, dtype=np.int64)
+                same = ids.tobytes() + counts.tobytes()
+                if same not in done:
+                    done[same] = model.score(ids, counts)
+                found.append(done[same])
             yield pd.DataFrame(
                 {
                     "doc_id": frame["doc_id"],
@@ -301,7 +328,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 }
             )
 
-    return docs.select("doc_id", "text").mapInPandas(
+    return encoded.mapInPandas(
         run, f"doc_id {id_type}, score double, neighbours array<{id_type}>, similarities array<double>"
     )
 
@@ -312,7 +339,8 @@ def score(
     """(doc_id, held_out, score, predicted, neighbours, similarities): one row per input row."""
     rows = pick(docs, doc_id="doc_id", text="text")
     marked = pick(labels, doc_id="doc_id", toxic="toxic").where(fold(F.col("doc_id"), folds) != held)
-    found = predict(rows, fit(rows, marked, sample))
+    model, encoded = fit(rows, marked, sample)
+    found = predict(encoded, model)
     return found.select(
         "doc_id",
         (fold(F.col("doc_id"), folds) == held).alias("held_out"),
