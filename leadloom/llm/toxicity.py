@@ -34,6 +34,7 @@ BLOCK = 64
 START = 4
 _WORD = re.compile(r"\w+")
 _MARK = "^"
+_NONE = np.empty(0, dtype=np.int64)
 
 
 def terms(text: object) -> Counter:
@@ -224,9 +225,18 @@ def encode(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
 
 def _frequencies(encoded: DataFrame, size: int) -> tuple[np.ndarray, int]:
     """In how many of all documents each term occurs, and the number of documents."""
-    seen = encoded.select(F.explode("ids").alias("k")).groupBy("k").agg(F.count("*").alias("n"))
-    found = {r["k"]: r["n"] for r in seen.collect()}
-    return np.array([found.get(k, 0) for k in range(size)]), encoded.count()
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(size + 1, dtype=np.int64)
+        for frame in frames:
+            total[size] += len(frame)
+            total[:size] += np.bincount(np.concatenate([_NONE, *frame["ids"]]), minlength=size)
+        present = np.flatnonzero(total)
+        yield pd.DataFrame({"k": present, "n": total[present]})
+
+    sums = encoded.select("ids").mapInPandas(run, "k int, n long").groupBy("k").agg(F.sum("n").alias("n"))
+    found = {r["k"]: r["n"] for r in sums.collect()}
+    return np.array([found.get(k, 0) for k in range(size)]), int(found.get(size, 0))
 
 
 def _calibrated(votes: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
