@@ -47,8 +47,10 @@ def status_inquiry(
     """Outcome and details per inquiry (`request_id, id_name, partner_id, order_id`).
 
     08: the partner is not registered; 07: the order is unknown or belongs to other partners
-    only; else 00. Leads are first cut down to the orders asked for.
+    only; else 00. Leads are first cut down to the orders asked for. An `early_code` of the inquiry,
+    where the column is there, comes before all of these.
     """
+    early = F.col("early_code") if "early_code" in inquiries.columns else F.lit(None)
     order = key("order_id")
     wanted = inquiries.select(order.alias("order_key")).dropna().distinct()
     asked = leads.withColumns({"order_key": order, "partner_key": key("partner_id")}).join(
@@ -67,7 +69,8 @@ def status_inquiry(
         F.max("status").alias("status")
     )
     code = (
-        F.when(~F.col("is_registered"), UNKNOWN_PARTNER)
+        F.when(early.isNotNull(), early)
+        .when(~F.col("is_registered"), UNKNOWN_PARTNER)
         .when(F.col("lead").isNull(), UNKNOWN_ORDER)
         .otherwise(SUCCESS)
     )

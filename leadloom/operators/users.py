@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadloom.constants import SUCCESS, USER_EXISTS
+from leadloom.constants import SUCCESS, SYSTEM_ERROR, USER_EXISTS
 from leadloom.functions.joins import lookup
 from leadloom.functions.text import fill, flag, key, spread_key
 from leadloom.operators.rules import message_templates
@@ -19,7 +19,8 @@ def add_users(
 ) -> tuple[DataFrame, DataFrame]:
     """`(users to append, replies)` for `request_id, arrival_seq, username, password, …`.
 
-    A name that exists, or that an earlier request of the batch adds, is refused. The earliest
+    A request without a name (also one of an unreadable body) is a system error and adds nothing. A
+    name that exists, or that an earlier request of the batch adds, is refused. The earliest
     request per name is aggregated, so many requests for one name meet in no single task.
     """
     wanted = new.select(key("username").alias("user_key")).dropna().distinct()
@@ -40,7 +41,12 @@ def add_users(
     judged = (
         new.withColumn("user_key", spread_key("username", "request_id"))
         .join(lookup(first, "user_key"), "user_key", "left")
-        .withColumn("response_code", F.when(refused, USER_EXISTS).otherwise(SUCCESS))
+        .withColumn(
+            "response_code",
+            F.when(F.col("username").isNull(), SYSTEM_ERROR)
+            .when(refused, USER_EXISTS)
+            .otherwise(SUCCESS),
+        )
         .drop("user_key", "exists", "first_seq")
     )
     inserted = conform(

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadloom.constants import PARTNER_KIND
+from leadloom.constants import PARAMETER_ERROR, PARTNER_KIND, SYSTEM_ERROR
 from leadloom.operators import replies, requests, status
 from leadloom.session import materialise
 
@@ -34,15 +34,18 @@ def inquire(
 ) -> Inquiry:
     """Answer a batch of inquiry bodies.
 
-    The partner and the order come from the bound answers; a body without them asks for nothing
-    known and gets 08.
+    An empty or unreadable body gets 30, an API name without questions 02. The partner and the order
+    come from the bound answers; a body without them asks for nothing known and gets 08.
     """
-    frame = requests.with_params(requests.bind(requests.with_members(batch), catalogue))
+    parsed = requests.with_members(batch).withColumn("no_body", F.col("members").isNull())
+    frame = requests.with_params(requests.bind(parsed, catalogue))
+    unknown = F.col("id_name").isNotNull() & ~F.col("registered")
     asked = frame.select(
         "request_id",
         "id_name",
         requests.param("PARTNER_ID").alias("partner_id"),
         F.coalesce(requests.param("ORDER_ID"), F.col("order_id")).alias("order_id"),
+        F.when(F.col("no_body"), SYSTEM_ERROR).when(unknown, PARAMETER_ERROR).alias("early_code"),
     )
     result = materialise(
         status.status_inquiry(asked, leads, partners, status_master, response_codes, kind),

@@ -247,16 +247,17 @@ def test_add_users(spark, codes):
         is_superuser int""",
     )
     inserted, answered = users.add_users(new, existing, codes, AS_OF)
+    codes_30 = codes.where("rtrim(response_code) = '30'").first()["response_message"]
     assert rows(inserted, "username", "password") == [
-        ("BOB", "first"), ("cid", "p"), (None, "p"), (None, "q")
+        ("BOB", "first"), ("cid", "p")
     ]
     assert mapping(answered, "request_id", "response_code", "response_message") == {
         "1": ("28", "User ann  exists"),
         "2": ("28", "User bob exists"),
         "3": ("00", "Success"),
         "4": ("00", "Success"),
-        "5": ("00", "Success"),
-        "6": ("00", "Success"),
+        "5": ("30", codes_30),
+        "6": ("30", codes_30),
     }
 
 
@@ -286,6 +287,15 @@ def test_user_bodies(spark, codes):
     assert rows(result.response_log, "id_name", "response_code") == [("api", "00"), ("api", "28")]
 
 
+def test_unreadable_user_bodies_add_nobody(spark, codes):
+    catalogue = catalogue_of(spark, ("addUsername", "ADD_USERNAME"))
+    existing = spark.createDataFrame([("old",)], "username string")
+    batch = bodies(spark, "{bad", None, "{}", '{"addUsername":"new"}')
+    result = add_users_from_bodies(batch, catalogue, existing, codes, AS_OF, "api")
+    assert rows(result.users, "username") == [("new",)]
+    assert rows(result.response_log, "response_code") == [("00",), ("30",), ("30",), ("30",)]
+
+
 def test_job_run(spark):
     found = replies.job_run(spark, "job", day(1), day(2))
     assert rows(found, "proc_name", "err_message") == [("job", "END"), ("job", "START")]
