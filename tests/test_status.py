@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from leadloom.operators import export, replies, reports, status, users
 from leadloom.operators.store import conform
 from leadloom.plans.admin import add_users_from_bodies
+from leadloom.plans.inquiry import inquire
 from tests.conftest import mapping, rows
 from tests.test_requests import bodies, catalogue_of
 
@@ -287,6 +288,13 @@ def test_user_bodies(spark, codes):
     assert rows(result.response_log, "id_name", "response_code") == [("api", "00"), ("api", "28")]
 
 
+def test_unreadable_inquiries(spark, leads, partners, statuses, codes):
+    catalogue = catalogue_of(spark, ("partnerId", "PARTNER_ID"), ("orderId", "ORDER_ID"))
+    batch = bodies(spark, "{bad", None, '{"idName":"nobody knows it"}')
+    result = inquire(batch, catalogue, leads, partners, statuses, codes, AS_OF)
+    assert rows(result.response_log, "response_code") == [("02",), ("30",), ("30",)]
+
+
 def test_unreadable_user_bodies_add_nobody(spark, codes):
     catalogue = catalogue_of(spark, ("addUsername", "ADD_USERNAME"))
     existing = spark.createDataFrame([("old",)], "username string")
