@@ -388,7 +388,7 @@ def ingest_leads(spark, sf_dir):
         acq_start=1001,
         transaction_start=501,
     )
-    return result.replies.drop("reply", "response_message", "mtType", "id_name")
+    return result.replies.drop("reply", "response_message", "mtType", "id_name", "error_detail")
 
 
 @query

@@ -25,10 +25,12 @@ def members(body: Column) -> Column:
 
     Member order and repeated names are kept, a JSON null has the text `null`. A body that is
     not a JSON object gives NULL. No row leaves its partition: the array stays in the row.
+    Of a name repeated inside a nested value the last one counts; that takes the setting of
+    `session.tune`. In a session without it such a body is read as texts, whose kinds are guessed.
     """
     typed = F.map_entries(F.from_json(body, "map<string,variant>"))
     plain = F.map_entries(F.from_json(body, "map<string,string>"))
-    # The typed reading refuses a repeated name inside a nested value; the plain one does not.
+    # Without the setting the typed reading refuses a repeated name inside a nested value.
     return F.coalesce(F.transform(typed, _typed_member), F.transform(plain, _plain_member))
 
 

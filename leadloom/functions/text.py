@@ -39,9 +39,10 @@ def real_value(value: Column | str) -> Column:
     return F.when(key(value) != "null", _col(value))
 
 
-def short(value: Column, length: int = 30) -> Column:
-    """Text form of a value, cut at `length` characters."""
-    return F.substring(value.cast("string"), 1, length)
+def short(value: Column, width: int | None = None) -> Column:
+    """Text form of a value, cut at `width` characters where one is given."""
+    text = value.cast("string")
+    return text if width is None else F.substring(text, 1, width)
 
 
 def fill(template: Column, **values: Column) -> Column:

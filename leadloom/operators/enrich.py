@@ -13,6 +13,10 @@ from leadloom.functions.joins import lookup
 from leadloom.functions.text import flag, key
 
 
+# Sub zip code of a request -> prefix and suffix of its address columns.
+SUB_ZIP_ADDRESSES = {"survey_sub_zip_code": ("survey_", ""), "legal_sub_zip_code": ("", "")}
+
+
 @dataclass(frozen=True)
 class LookupSpec:
     """One master lookup: `value` of the row of `table` whose `keys` equal request columns.
@@ -65,31 +69,65 @@ def master_lookup(
     specs: Sequence[LookupSpec] | None = None,
     only_when: Column | None = None,
 ) -> DataFrame:
-    """Add `<output>_found` per spec, NULL where the masters have no such value.
+    """Add `<output>_found` (text) per spec, NULL where the masters have no such value.
 
-    Each table is reduced to distinct keys first, so a lookup never multiplies requests.
-    `only_when` restricts the lookups to the requests that need them.
+    All lookups go through one join: each request that needs them (`only_when`) gives one narrow
+    row per spec, the masters one row per distinct key. The wide request is joined once, by its
+    `request_id`, and never multiplied. A lookup with a missing key finds nothing.
     """
+    specs = list(specs if specs is not None else address_lookups())
+    if not specs:
+        return requests
     needed = F.lit(True) if only_when is None else flag(only_when)
-    for number, spec in enumerate(specs if specs is not None else address_lookups()):
-        table = tables[spec.table]
-        if spec.where:
-            table = table.filter(spec.where)
-        names = [f"key_{number}_{i}" for i in range(len(spec.keys))]
-        master = (
-            table.select(
-                *[key(column).alias(n) for n, (column, _) in zip(names, spec.keys)], spec.value
+    # Specs that read the same columns of the same rows share one master.
+    sources = list(dict.fromkeys(_source(s) for s in specs))
+    keys = [f"key_{i}" for i in range(max(len(s.keys) for s in specs))]
+    masters = None
+    for number, (name, where, columns, value) in enumerate(sources):
+        table = tables[name].filter(where) if where else tables[name]
+        rows = table.select(
+            F.lit(str(number)).alias("source"),
+            *_padded(keys, columns),
+            F.col(value).cast("string").alias("value"),
+        ).dropna(subset=keys)
+        masters = rows if masters is None else masters.unionAll(rows)
+    masters = masters.groupBy("source", *keys).agg(F.min("value").alias("value"))
+    asked = F.array(
+        *[
+            F.struct(
+                F.lit(s.output).alias("output"),
+                F.lit(str(sources.index(_source(s)))).alias("source"),
+                *_padded(keys, [column for _, column in s.keys]),
             )
-            .dropna(subset=names)
-            .groupBy(*names)
-            .agg(F.min(spec.value).alias(f"{spec.output}_found"))
-        )
-        # A request that needs no lookup has the key NULL and matches nothing.
-        matches = [
-            F.when(needed, key(column)) == F.col(n) for n, (_, column) in zip(names, spec.keys)
+            for s in specs
         ]
-        requests = requests.join(lookup(master, *names), matches, "left").drop(*names)
-    return requests
+    )
+    found = (
+        requests.filter(needed)
+        .select("request_id", F.inline(asked))
+        .dropna(subset=keys)
+        .join(lookup(masters, "source", *keys), ["source", *keys])
+        .groupBy("request_id")
+        .agg(
+            *[
+                F.max(F.when(F.col("output") == s.output, F.col("value"))).alias(
+                    f"{s.output}_found"
+                )
+                for s in specs
+            ]
+        )
+    )
+    return requests.join(found, "request_id", "left")
+
+
+def _source(spec: LookupSpec) -> tuple[str, str | None, tuple[str, ...], str]:
+    return spec.table, spec.where, tuple(column for column, _ in spec.keys), spec.value
+
+
+def _padded(names: Sequence[str], columns: Sequence[str]) -> list[Column]:
+    """The key columns, and empty texts up to the number of names."""
+    values = [key(c) for c in columns] + [F.lit("")] * (len(names) - len(columns))
+    return [value.alias(name) for name, value in zip(names, values)]
 
 
 def map_codes(requests: DataFrame, code_map: DataFrame, only_when: Column) -> DataFrame:
@@ -170,36 +208,54 @@ def active_sub_zips(zipcodes: DataFrame, districts: DataFrame) -> DataFrame:
     )
 
 
-def resolve_sub_zip(
+def resolve_sub_zips(
     requests: DataFrame,
     sub_zips: DataFrame,
-    output: str,
-    prefix: str = "",
-    suffix: str = "",
+    addresses: dict[str, tuple[str, str]],
+    only_when: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Add `output`: the sub zip code of one address of each request.
+    """Add one sub zip code per address, all through one join of narrow rows.
 
-    The address is in the columns `<prefix>village<suffix>` and so on; `sub_zips` comes from
+    `addresses` maps an output to the `(prefix, suffix)` of the columns `<prefix>village<suffix>`
+    and so on; `only_when` limits an output to some requests. `sub_zips` comes from
     `active_sub_zips`.
     """
-    address = {
-        "village_key": f"{prefix}village{suffix}",
-        "sub_district_key": f"{prefix}sub_district{suffix}",
-        "city_key": f"{prefix}city{suffix}",
-        "zip_key": f"{prefix}city_id{suffix}",
+    parts = {
+        "village_key": "village",
+        "sub_district_key": "sub_district",
+        "city_key": "city",
+        "zip_key": "city_id",
     }
-    matches = [key(column) == F.col(name) for name, column in address.items()]
-    return (
-        requests.join(lookup(sub_zips, *address), matches, "left")
-        .withColumnRenamed("sub_zip_code", output)
-        .drop(*address)
+    only_when = only_when or {}
+    asked = F.array(
+        *[
+            F.when(
+                only_when.get(output, F.lit(True)),
+                F.struct(
+                    F.lit(output).alias("output"),
+                    *[key(f"{prefix}{c}{suffix}").alias(k) for k, c in parts.items()],
+                ),
+            )
+            for output, (prefix, suffix) in addresses.items()
+        ]
+    )
+    found = (
+        requests.select("request_id", F.inline(asked))
+        .dropna(subset=list(parts))
+        .join(lookup(sub_zips, *parts), list(parts))
+        .groupBy("request_id")
+        .agg(
+            *[
+                F.max(F.when(F.col("output") == output, F.col("sub_zip_code"))).alias(output)
+                for output in addresses
+            ]
+        )
     )
+    return requests.join(found, "request_id", "left")
 
 
 def resolve_sub_zip_code(
     requests: DataFrame, zipcodes: DataFrame, districts: DataFrame
 ) -> DataFrame:
     """Add `survey_sub_zip_code` and `legal_sub_zip_code`."""
-    sub_zips = active_sub_zips(zipcodes, districts)
-    requests = resolve_sub_zip(requests, sub_zips, "survey_sub_zip_code", prefix="survey_")
-    return resolve_sub_zip(requests, sub_zips, "legal_sub_zip_code")
+    return resolve_sub_zips(requests, active_sub_zips(zipcodes, districts), SUB_ZIP_ADDRESSES)

@@ -23,14 +23,15 @@ def response_envelope(df: DataFrame, fields: Sequence[str], output: str = "reply
     return df.withColumn(output, F.to_json(F.struct(*fields)))
 
 
-def lead_replies(validated: DataFrame) -> DataFrame:
+def lead_replies(validated: DataFrame, error_width: int = 100) -> DataFrame:
     """Reply fields of lead requests and their JSON.
 
     Needs `request_id, id_name, order_id, transaction_id, response_code, response_message,
-    error_detail`. The detail of an error is cut at 100 characters.
+    error_detail`. The reply cuts the detail of an error at `error_width` characters; the column
+    `error_detail` keeps it whole for the log.
     """
     accepted = F.col("response_code") == SUCCESS
-    detail = F.substring("error_detail", 1, 100)
+    detail = F.when(~accepted, F.col("error_detail"))
     message = F.when(
         F.col("response_code") == PARAMETER_ERROR,
         F.concat(F.lit(PARAMETER_ERROR_PREFIX), F.coalesce("error_detail", F.lit(""))),
@@ -42,7 +43,8 @@ def lead_replies(validated: DataFrame) -> DataFrame:
         F.col("response_message"),
         F.col("response_code").alias("responseCode"),
         message.alias("responseMessage"),
-        F.when(~accepted, detail).alias("errorMessage"),
+        F.substring(detail, 1, error_width).alias("errorMessage"),
+        detail.alias("error_detail"),
         F.col("order_id").alias("orderIdDealer"),
         F.when(accepted, F.col("transaction_id")).otherwise("").alias("orderId"),
         F.lit(MESSAGE_TYPE).alias("mtType"),
@@ -96,7 +98,7 @@ def log_lead_replies(replies: DataFrame, as_of: datetime) -> DataFrame:
             {
                 "order_id": F.col("orderIdDealer"),
                 "response_code": F.col("responseCode"),
-                "error_desc": F.col("errorMessage"),
+                "error_desc": F.col("error_detail"),
             }
         ),
         as_of,

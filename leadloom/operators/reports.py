@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, time, timedelta
+from datetime import date, datetime, time, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadloom.constants import RECAP_COLUMNS, SOURCE_DATA
 from leadloom.functions.joins import lookup
 from leadloom.functions.text import key
 from leadloom.operators.status import latest_status
+from leadloom.sources.tables import read_table
 
 
 @dataclass(frozen=True)
@@ -25,6 +26,18 @@ class ReportFilter:
     status: int = 0
     branch: int = 0
 
+    def days(self) -> tuple[date, date]:
+        """First and last day of the orders: a start with a time of day excludes that day."""
+        first = self.start.date()
+        if self.start.time() > time():
+            first += timedelta(days=1)
+        return first, self.end.date()
+
+
+def stored_leads(spark: SparkSession, path: str, report: ReportFilter) -> DataFrame:
+    """The stored leads of the days of the filter; other days' directories are not opened."""
+    return read_table(spark, path, "leads", *report.days())
+
 
 def detail_report(
     leads: DataFrame,
@@ -39,7 +52,7 @@ def detail_report(
     The status filter is on the status of the lead, the shown status is that of the history.
     Leads whose partner or status is unknown are left out.
     """
-    rows = _with_latest(_selected(leads, report), status_log)
+    rows = _with_latest(_selected(leads, report), status_log, report)
     agents = partners.select(
         key("id_partner").alias("agent_key"), F.col("name").alias("name_agent")
     )
@@ -79,7 +92,7 @@ def status_recap(
     report: ReportFilter,
 ) -> DataFrame:
     """Ten counts in one row, one per status; leads with an unknown partner count too."""
-    rows = _with_latest(_selected(leads, report), status_log)
+    rows = _with_latest(_selected(leads, report), status_log, report)
     known = status_master.select(F.col("id_status").alias("latest_id_status"))
     rows = _in_branch(
         rows.join(known, "latest_id_status").select("partner_id", "office_code", "latest_id_status"),
@@ -98,19 +111,17 @@ def _selected(leads: DataFrame, report: ReportFilter) -> DataFrame:
     """Leads that pass the filters on their own columns.
 
     Orders count by day, so the day range becomes a plain range of timestamps, which reaches
-    the Parquet scan: a start with a time of day excludes that whole day, the end day counts.
+    the Parquet scan.
     """
-    first = datetime.combine(report.start.date(), time())
-    if report.start > first:
-        first += timedelta(days=1)
-    after_last = datetime.combine(report.end.date(), time()) + timedelta(days=1)
+    first, last = (datetime.combine(day, time()) for day in report.days())
+    after_last = last + timedelta(days=1)
     rows = leads.filter(
         (F.col("order_dt") >= F.lit(first).cast("timestamp"))
         & (F.col("order_dt") < F.lit(after_last).cast("timestamp"))
         & (key("source_data") == SOURCE_DATA.lower())
     )
     if report.partner != "ALL":
-        rows = rows.filter(key("partner_id") == report.partner.rstrip().lower())
+        rows = rows.filter(_of_partner(report))
     if report.product != "ALL":
         rows = rows.filter(
             F.lower(F.trim("product_type_desc")) == report.product.rstrip().lower()
@@ -120,9 +131,18 @@ def _selected(leads: DataFrame, report: ReportFilter) -> DataFrame:
     return rows
 
 
-def _with_latest(leads: DataFrame, status_log: DataFrame) -> DataFrame:
-    """Leads joined to their latest history rows; adds `latest_id_status`, `partner_key`."""
-    latest = latest_status(status_log).select(
+def _of_partner(report: ReportFilter) -> Column:
+    return key("partner_id") == report.partner.rstrip().lower()
+
+
+def _with_latest(leads: DataFrame, status_log: DataFrame, report: ReportFilter) -> DataFrame:
+    """Leads joined to their latest history rows; adds `latest_id_status`, `partner_key`.
+
+    The history is cut to the partner and the leads asked for before it is aggregated.
+    """
+    if report.partner != "ALL":
+        status_log = status_log.filter(_of_partner(report))
+    latest = latest_status(status_log, of=leads).select(
         key("order_id").alias("order_key"),
         key("transaction_id").alias("transaction_key"),
         key("partner_id").alias("partner_key"),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from leadloom.constants import LEAD_CODES, NAME_REQUIRED, NAME_UNREGISTERED, SYSTEM_ERROR
 from leadloom.functions.joins import lookup
 from leadloom.functions.members import first_value, members
-from leadloom.functions.text import is_blank, key
+from leadloom.functions.text import is_blank, key, spread_key
 from leadloom.operators.catalogue import answer_rules
 
 
@@ -49,7 +49,8 @@ def bind(frame: DataFrame, catalogue: DataFrame) -> DataFrame:
     # Nearly all requests may name one API: where the catalogue is too large for Spark to
     # broadcast it, the shuffle of that hot key is split.
     rules = lookup(answer_rules(catalogue), "api_key")
-    matched = frame.join(rules, key("id_name") == F.col("api_key"), "left").drop("api_key")
+    api = spread_key("id_name", "request_id")
+    matched = frame.join(rules, api == F.col("api_key"), "left").drop("api_key")
     answers = F.flatten(
         F.transform(
             F.filter(F.col("members"), lambda m: m["value_type"] != "object"),
@@ -197,9 +198,10 @@ def route(frame: DataFrame, parameters: DataFrame, question_group_h: DataFrame)
     groups = lookup(groups, "group_key")
     known = F.col("is_parameter") & F.col("is_group")
     error = F.when(is_blank("id_name"), NAME_REQUIRED).when(known.isNull(), NAME_UNREGISTERED)
+    api = spread_key("id_name", "request_id")
     return (
-        frame.join(handlers, key("id_name") == F.col("handler_key"), "left")
-        .join(groups, key("id_name") == F.col("group_key"), "left")
+        frame.join(handlers, api == F.col("handler_key"), "left")
+        .join(groups, api == F.col("group_key"), "left")
         .withColumn("error", error)
         .withColumn("response_code", F.when(F.col("error").isNotNull(), SYSTEM_ERROR))
         .withColumn("handler", F.when(F.col("error").isNull(), F.col("parameter_value")))

@@ -131,7 +131,13 @@ def check_batch_duplicates(requests: DataFrame) -> DataFrame:
 def check_partner(
     requests: DataFrame, partners: DataFrame, kind: str = PARTNER_KIND
 ) -> DataFrame:
-    """Add `is_registered` (a partner of that kind) and `flag_master` (of any kind)."""
+    """Add `is_registered` (a partner of that kind) and `flag_master` (of any kind).
+
+    Where the rows have a `request_id`, those without a partner are spread by it.
+    """
+    asked = key("partner_id")
+    if "request_id" in requests.columns:
+        asked = spread_key("partner_id", "request_id")
     known = (
         partners.filter(F.col("id_partner").isNotNull())
         .groupBy(key("id_partner").alias("known_partner"))
@@ -141,9 +147,7 @@ def check_partner(
         )
     )
     return (
-        requests.join(
-            lookup(known, "known_partner"), key("partner_id") == F.col("known_partner"), "left"
-        )
+        requests.join(lookup(known, "known_partner"), asked == F.col("known_partner"), "left")
         .drop("known_partner")
         .withColumn("is_registered", flag(F.col("is_registered")))
     )

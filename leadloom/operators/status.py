@@ -65,9 +65,12 @@ def status_inquiry(
     names = partners.filter(F.col("id_partner").isNotNull()).groupBy(
         key("id_partner").alias("name_key")
     ).agg(F.max("name").alias("dealer_name"))
-    statuses = status_master.groupBy(F.col("id_status").alias("status_key")).agg(
+    statuses = status_master.groupBy(F.col("id_status").cast("string").alias("status_key")).agg(
         F.max("status").alias("status")
     )
+    # Few statuses are shared by all leads, and unknown orders have none.
+    status_key = spread_key(F.col("lead.id_status").cast("string"), "request_id")
+    name_key = spread_key(F.col("lead.partner_id"), "request_id")
     code = (
         F.when(early.isNotNull(), early)
         .when(~F.col("is_registered"), UNKNOWN_PARTNER)
@@ -82,8 +85,8 @@ def status_inquiry(
         )
         .join(lookup(found, "order_key", "partner_key"), ["order_key", "partner_key"], "left")
         .withColumn("response_code", code)
-        .join(statuses, F.col("lead.id_status") == F.col("status_key"), "left")
-        .join(lookup(names, "name_key"), key("lead.partner_id") == F.col("name_key"), "left")
+        .join(lookup(statuses, "status_key"), status_key == F.col("status_key"), "left")
+        .join(lookup(names, "name_key"), name_key == F.col("name_key"), "left")
         .join(messages, "response_code", "left")
         .select(
             "request_id",
@@ -136,22 +139,26 @@ def inquiry_response(result: DataFrame) -> DataFrame:
     return response_envelope(replies, list(INQUIRY_FIELDS))
 
 
-def log_inquiries(result: DataFrame, as_of: datetime, strict_nulls: bool = False) -> DataFrame:
+def log_inquiries(
+    result: DataFrame, as_of: datetime, strict_nulls: bool = False, width: int | None = None
+) -> DataFrame:
     """Inquiry log rows; `data_inquiry` joins the details with commas.
 
+    Details are logged whole; `width` cuts each at that many characters.
+
     With `strict_nulls` a missing partner, order, phone, status or status date makes the whole
     text NULL; the status date is never known here, so the text is then always NULL.
     """
     blank = F.lit("")
     missing = F.lit(None).cast("string") if strict_nulls else blank
     required = [
-        short(F.col(c)) for c in ("lead_partner_id", "order_id", "phone_number", "status")
+        short(F.col(c), width) for c in ("lead_partner_id", "order_id", "phone_number", "status")
     ] + [missing]
     optional = [
-        short(F.col("po_no")),
-        short(F.col("po_dp")),
+        short(F.col("po_no"), width),
+        short(F.col("po_dp"), width),
         F.date_format("po_date", "yyyy-MM-dd"),
-        short(F.col("po_tenor")),
+        short(F.col("po_tenor"), width),
     ]
     parts = [c if strict_nulls else F.coalesce(c, blank) for c in required] + [
         F.coalesce(c, blank) for c in optional
@@ -243,18 +250,22 @@ def status_transition(
     return new_leads, conform(appended, "status_log")
 
 
-def latest_status(status_log: DataFrame) -> DataFrame:
+def latest_status(status_log: DataFrame, of: DataFrame | None = None) -> DataFrame:
     """History rows of the latest date of their (order, transaction, partner), ties kept.
 
+    With `of`, rows with those three columns, only their histories are aggregated and returned.
     The latest dates are aggregated before the shuffle and joined back with the date as part of
     the key, so the rows of one long history spread over as many partitions as it has dates.
     """
-    keyed = status_log.withColumns(
-        {f"{c}_key": key(c) for c in ("order_id", "transaction_id", "partner_id")}
-    )
-    keys = ["order_id_key", "transaction_id_key", "partner_id_key"]
+    names = ("order_id", "transaction_id", "partner_id")
+    keys = [f"{c}_key" for c in names]
+    keyed = status_log.withColumns({f"{c}_key": key(c) for c in names})
+    dated = keyed.dropna(subset=[*keys, "status_dt"])
+    if of is not None:
+        wanted = of.select(*[key(c).alias(f"{c}_key") for c in names]).dropna().distinct()
+        dated = dated.join(lookup(wanted, *keys), keys, "left_semi")
     latest = (
-        keyed.dropna(subset=[*keys, "status_dt"])
+        dated
         .groupBy(*keys)
         .agg(F.max("status_dt").alias("status_dt"))
     )

@@ -20,6 +20,7 @@ from leadloom.constants import (
     SUCCESS,
     SYSTEM_ERROR,
 )
+from leadloom.functions.text import flag
 from leadloom.operators import enrich, ids, replies, requests, rules, store
 from leadloom.session import materialise
 
@@ -132,10 +133,10 @@ def judge_requests(
     wide = materialise(read_requests(batch, masters, options), "read")
     wide = rules.check_id_number(wide)
     wide = rules.check_partner(wide, masters.partners, options.partner_kind)
-    wide = rules.check_duplicate(wide, leads)
     tables = {"zipcodes": masters.zipcodes, "districts": masters.districts}
     wide = enrich.master_lookup(wide, tables, options.lookups, F.col("flag_master") == 1)
     wide = rules.check_masters(wide)
+    wide = rules.check_duplicate(wide, leads)
     return wide.withColumn(
         "own_code", F.coalesce("early_code", rules.failure_code())
     ).drop(*[f"{c}_found" for c in ADDRESS_COLUMNS])
@@ -144,13 +145,13 @@ def judge_requests(
 def translate_requests(judged: DataFrame, masters: Masters) -> DataFrame:
     """Add mapped addresses and both pairs of sub zip codes.
 
-    Only a request that passed every rule is mapped; an ambiguous mapping is a system error.
+    Only a request that passed every rule is mapped; an ambiguous mapping is a system error. The
+    others keep the sub zip codes of their own addresses in both pairs.
     """
-    mapped = enrich.map_codes(
-        judged,
-        masters.code_map,
-        (F.col("flag_master") == 2) & (F.col("own_code") == SUCCESS),
+    judged = judged.withColumn(
+        "is_mapped", flag((F.col("flag_master") == 2) & (F.col("own_code") == SUCCESS))
     )
+    mapped = enrich.map_codes(judged, masters.code_map, F.col("is_mapped"))
     mapped = mapped.withColumn(
         "own_code",
         F.when(F.col("is_ambiguous"), SYSTEM_ERROR).otherwise(F.col("own_code")),
@@ -159,14 +160,19 @@ def translate_requests(judged: DataFrame, masters: Masters) -> DataFrame:
         F.when(F.col("is_ambiguous"), "ambiguous code mapping").otherwise(F.col("error_detail")),
     )
     sub_zips = enrich.active_sub_zips(masters.zipcodes, masters.districts)
-    for suffix in ("", "_mapped"):
-        mapped = enrich.resolve_sub_zip(
-            mapped, sub_zips, f"survey_sub_zip_code{suffix}", "survey_", suffix
-        )
-        mapped = enrich.resolve_sub_zip(
-            mapped, sub_zips, f"legal_sub_zip_code{suffix}", "", suffix
-        )
-    return mapped
+    own = enrich.SUB_ZIP_ADDRESSES
+    translated = {f"{output}_mapped": (prefix, "_mapped") for output, (prefix, _) in own.items()}
+    resolved = enrich.resolve_sub_zips(
+        mapped, sub_zips, own | translated, {output: F.col("is_mapped") for output in translated}
+    )
+    return resolved.withColumns(
+        {
+            f"{output}_mapped": F.when(
+                F.col("is_mapped"), F.col(f"{output}_mapped")
+            ).otherwise(F.col(output))
+            for output in own
+        }
+    ).drop("is_mapped")
 
 
 def validate_requests(

@@ -15,11 +15,13 @@ _SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A name repeated inside a nested value of a body is no reason to refuse the typed reading.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Turn on adaptive skew handling; timestamps are read and shown in UTC."""
+    """Turn on adaptive skew handling and lenient variants; timestamps are in UTC."""
     for key, value in _SETTINGS.items():
         spark.conf.set(key, value)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
