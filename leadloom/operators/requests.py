@@ -17,6 +17,7 @@ from leadloom.functions.joins import lookup
 from leadloom.functions.members import first_value, members
 from leadloom.functions.text import is_blank, key, spread_key
 from leadloom.operators.catalogue import answer_rules
+from leadloom.session import materialise
 
 
 def with_members(requests: DataFrame) -> DataFrame:
@@ -46,9 +47,10 @@ def bind(frame: DataFrame, catalogue: DataFrame) -> DataFrame:
 
     Nested objects do not bind. `row_num` counts the answers of a request in member order.
     """
-    # Nearly all requests may name one API: where the catalogue is too large for Spark to
-    # broadcast it, the shuffle of that hot key is split.
-    rules = lookup(answer_rules(catalogue), "api_key")
+    # Written once, the rules have a size that Spark knows before it plans the join: it broadcasts
+    # them below its limit and leaves the requests in place. Beyond it, the requests are shuffled,
+    # and the hot key, as nearly all may name one API, is split.
+    rules = lookup(materialise(answer_rules(catalogue), "rules"), "api_key")
     api = spread_key("id_name", "request_id")
     matched = frame.join(rules, api == F.col("api_key"), "left").drop("api_key")
     answers = F.flatten(

@@ -58,7 +58,20 @@ def test_members_keep_order_kinds_and_repeats(spark):
 
 def test_repeated_name_inside_a_nested_value_does_not_lose_the_body(spark):
     found = requests.shred_requests(bodies(spark, '{"o":{"x":1,"x":2},"b":2}'))
-    assert rows(found, "name", "value_type") == [("b", "string"), ("o", "object")]
+    assert rows(found, "name", "value_type") == [("b", "int"), ("o", "object")]
+
+
+def test_kinds_do_not_depend_on_a_repeated_name_elsewhere(spark):
+    body = '{"o":{"x":1,"x":2},"t":"{not an object","r":1.5,"f":true,"n":null,"t":"again"}'
+    found = requests.shred_requests(bodies(spark, body)).orderBy("element_id").collect()
+    assert [(r.name, r.value_type) for r in found] == [
+        ("o", "object"),
+        ("t", "string"),
+        ("r", "real"),
+        ("f", "boolean"),
+        ("n", "null"),
+        ("t", "string"),
+    ]
 
 
 @pytest.mark.parametrize("body", ['{"a":1', "", None, "[1,2]", '"text"', '{"a":}'])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from checks import inputs
 from checks.queries import QUERIES, masters
-from leadloom.operators import enrich, rules, status
+from leadloom.operators import enrich, reports, requests, rules, status
 from leadloom.plans.ingest import ingest
 from leadloom.schemas import schema
 from leadloom.sources.bodies import read_bodies
@@ -101,6 +101,69 @@ def test_shuffled_lookups_give_the_same_codes(shuffled):
     assert rows(out.select("*"), "request_id", "master_code") == found
 
 
+def test_hot_api_is_split(shuffled):
+    """All requests name one API; the catalogue is too large to broadcast."""
+    catalogue = inputs.catalogue(shuffled, SF)
+    frame = shuffled.range(0, 30_000, 1, 8).select(
+        F.col("id").cast("string").alias("request_id"),
+        F.when(F.col("id") >= 0, "lead_api").alias("id_name"),
+        F.array(
+            F.struct(
+                F.lit(1).alias("element_id"),
+                F.lit("fullName").alias("name"),
+                F.col("id").cast("string").alias("string_value"),
+                F.lit("string").alias("value_type"),
+            )
+        ).alias("members"),
+    )
+    bound = requests.bind(frame, catalogue).groupBy().agg(
+        F.count("*"), F.max(F.size("bound")), F.max(F.length("request_id"))
+    )
+    assert bound.first()[0] == 30_000
+    bound.collect()
+    assert "skew=true" in plan(bound)
+
+
+def test_lookups_shuffle_the_wide_request_once(shuffled):
+    """Ten lookups: one exchange of narrow rows, one of their results, one of the request."""
+    source = inputs.frame(shuffled, SF, "lead_source").withColumn("flag_master", F.lit(1))
+    tables = {n: inputs.table(shuffled, SF, n) for n in ("zipcodes", "districts")}
+    text = enrich.master_lookup(source, tables)._jdf.queryExecution().executedPlan().toString()
+    before = source._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") - 2 * before.count(
+        "Exchange hashpartitioning"
+    ) <= 5
+    assert text.count("SortMergeJoin") - 2 * before.count("SortMergeJoin") == 2
+
+
+def test_report_cuts_the_history_before_it_is_aggregated(shuffled):
+    names = ("leads", "partners", "status_log", "status_master", "offices")
+    tables = [inputs.table(shuffled, SF, n) for n in names]
+    report = reports.ReportFilter(datetime(1996, 1, 1, 8), datetime(1998, 12, 31), partner="P1")
+    found = reports.detail_report(*tables, report)._jdf.queryExecution()
+    lines = found.optimizedPlan().toString().splitlines()
+    depth = {i: len(line) - len(line.lstrip(" :+-")) for i, line in enumerate(lines)}
+    latest = next(i for i, line in enumerate(lines) if "max(status_dt" in line)
+    below = []
+    for i in range(latest + 1, len(lines)):
+        if depth[i] <= depth[latest]:
+            break
+        below.append(lines[i])
+    assert any("LeftSemi" in line for line in below)
+
+
+def test_report_opens_the_days_of_its_filter_only(spark, tmp_path):
+    path = str(tmp_path / "leads")
+    leads = inputs.table(spark, SF, "leads")
+    append_table(leads, path, "leads")
+    report = reports.ReportFilter(datetime(1997, 5, 1, 8), datetime(1997, 5, 28))
+    found = reports.stored_leads(spark, path, report)
+    assert "PartitionFilters: [isnotnull(day" in plan(found)
+    day = F.to_date("order_dt")
+    first, last = report.days()
+    assert rows(found) == rows(leads.filter(day.between(F.lit(first), F.lit(last))))
+    assert first.day == 2
+
 
 def test_tables_round_trip(spark, tmp_path):
     leads = inputs.table(spark, SF, "leads")
