@@ -132,50 +132,55 @@ def log_likelihood(
 
 
 def train(
+    weights: Weights,
     layout: Layout,
     stream: np.ndarray,
     end: int,
-    hidden: int = HIDDEN,
     streams: int = 64,
     window: int = 16,
-    epochs: int = 2,
+    epochs: int = 1,
     rate: float = 0.01,
-    least_steps: int = 300,
+    least_steps: int = 0,
+    done: tuple[float, float] = (0.0, 1.0),
 ) -> Weights:
-    """Truncated backpropagation through time over one long stream of documents.
+    """Truncated backpropagation through time over one stream of documents, from given weights.
 
-    The stream is cut into parallel parts; the state is carried from window to window and set back
-    after each document's end.
+    The stream is cut into parallel parts of equal length, filled up from its beginning; the state
+    is carried from window to window and set back after each document's end. Every word is an input
+    and the next one its target. `done` is the share of the whole training before and after this
+    stream; the rate falls with it.
     """
-    weights = start(layout, hidden)
-    streams = max(1, min(streams, len(stream) // (4 * window)))
-    length = len(stream) // streams
-    if length < 2:
+    if len(stream) < 2:
         return weights
-    table = stream[: streams * length].reshape(streams, length)
+    hidden = weights.recur.shape[0]
+    streams = max(1, min(streams, len(stream) // (4 * window)))
+    length = -(-len(stream) // streams)
+    round_about = np.resize(stream, streams * length + 1)
+    table = np.c_[round_about[:-1].reshape(streams, length), round_about[length::length]]
+    weights = Weights(*[w.copy() for w in weights])
     first = [np.zeros_like(w) for w in weights]
     second = [np.zeros_like(w) for w in weights]
-    per_epoch = max(1, (length - 1) // window)
+    per_epoch = -(-length // window)
     epochs = max(epochs, min(20, -(-least_steps // per_epoch)))
     t, total = 0, epochs * per_epoch
     for _ in range(epochs):
         state = np.zeros((streams, hidden), dtype=np.float32)
-        for begin in range(0, length - 1, window):
+        for begin in range(0, length, window):
             t += 1
             inputs = table[:, begin : begin + window + 1]
             targets, inputs = inputs[:, 1:], inputs[:, :-1]
             kept, states = [], []
             for k in range(targets.shape[1]):
-                state = state * (inputs[:, k : k + 1] != end)
+                # A document's end starts from an empty state.
+                state = state * (inputs[:, k : k + 1] != end).astype(np.float32)
                 state, back = step(weights, inputs[:, k], state)
                 kept.append(back)
                 states.append(state)
             flat = np.concatenate(states)
             _, grads = log_likelihood(weights, layout, flat, targets.T.ravel(), backward=True)
             d_states = grads[0].reshape(len(states), streams, hidden)
-            g_enter, g_recur = np.zeros_like(weights.enter), np.zeros_like(weights.recur)
-            g_bias = np.zeros_like(weights.bias)
-            d = np.zeros_like(state)
+            g_recur, g_bias = np.zeros_like(weights.recur), np.zeros_like(weights.bias)
+            d, by_input = np.zeros_like(state), []
             for k in range(len(states) - 1, -1, -1):
                 d = d + d_states[k]
                 old, z, r, new, u_new = kept[k]
@@ -184,21 +189,30 @@ def train(
                 d_r = d_new * u_new * r * (1 - r)
                 d_x = np.concatenate([d_z, d_r, d_new], axis=1)
                 d_u = np.concatenate([d_z, d_r, d_new * r], axis=1)
-                np.add.at(g_enter, inputs[:, k], d_x)
+                by_input.append(d_x)
                 g_bias += d_x.sum(axis=0)
                 g_recur += old.T @ d_u
-                d = (d * z + d_u @ weights.recur.T) * (inputs[:, k : k + 1] != end)
-            n = targets.size
+                d = (d * z + d_u @ weights.recur.T) * (inputs[:, k : k + 1] != end).astype(np.float32)
+            # The same inputs side by side, summed by stretches.
+            of = inputs.T[::-1].ravel()
+            order = np.argsort(of, kind="stable")
+            found, at = np.unique(of[order], return_index=True)
+            g_enter = np.zeros_like(weights.enter)
+            g_enter[found] = np.add.reduceat(np.concatenate(by_input)[order], at, axis=0)
             gradients = [g_enter, g_recur, g_bias, *grads[1:]]
-            slow = rate * (1 - 0.9 * t / (total + 1))
-            fresh = []
-            for j, (w, g) in enumerate(zip(weights, gradients, strict=True)):
-                g = np.clip(g / n * 16, -_CLIP, _CLIP)
-                first[j] += 0.1 * (g - first[j])
-                second[j] += 0.005 * (g * g - second[j])
-                scale = slow * np.sqrt(1 - 0.995**t) / (1 - 0.9**t)
-                fresh.append((w - scale * first[j] / (np.sqrt(second[j]) + 1e-6)).astype(np.float32))
-            weights = Weights(*fresh)
+            share = done[0] + (done[1] - done[0]) * t / (total + 1)
+            scale = rate * (1 - 0.9 * share) * np.sqrt(1 - 0.995**t) / (1 - 0.9**t)
+            for w, g, m, v in zip(weights, gradients, first, second, strict=True):
+                g *= np.float32(16 / targets.size)
+                np.clip(g, -_CLIP, _CLIP, out=g)
+                m += np.float32(0.1) * (g - m)
+                g *= g
+                v += np.float32(0.005) * (g - v)
+                np.sqrt(v, out=g)
+                g += np.float32(1e-6)
+                np.divide(m, g, out=g)
+                g *= np.float32(scale)
+                w -= g
     return weights
 
 

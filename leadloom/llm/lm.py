@@ -10,7 +10,9 @@ stretches of the vocabulary sorted by its words read backwards, so a class stand
 ending and with it mostly for a language. An unknown word counts 0.1 in its class, as in the base
 model, so both models give probabilities to the same events.
 
-Only the network is trained on a bounded sample of documents (whole ones, spread by hash).
+The network learns from all training documents in a few rounds. In a round every task runs the same
+truncated backpropagation over its own documents of that round, from the weights all share; the mean
+of the tasks' weights, by their words, starts the next round.
 """
 
 from __future__ import annotations
@@ -36,10 +38,12 @@ FREQUENT = 4096
 FREQUENT_CLASSES = 48
 RARE_CLASSES = 48
 TRAIN_TOKENS = 1_500_000
+ROUNDS = 4
 ADDED = 0.1
 END = b" "
 _HELD_WORDS = 1_500_000
 _CHUNK_TOKENS = 3_000_000
+_PIECE = 4096
 _LN10 = float(np.log(10))
 
 
@@ -176,48 +180,132 @@ def _rare_masses(counts: DataFrame, known: Vocabulary) -> np.ndarray:
     return masses
 
 
-def encoded(text: object, known: Vocabulary) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Input numbers of a text's words, head numbers of those in the head, and the other words."""
+def encoded(text: object, known: Vocabulary) -> tuple[np.ndarray, list[bytes]]:
+    """Codes of a text's words and the words outside the head, see `decoded`."""
     found = words(text)
     get = known.number.get
-    numbers = np.fromiter((get(w, -1) for w in found), dtype=np.int32, count=len(found))
-    inputs = known.inputs[numbers]
-    outside = np.flatnonzero(numbers < 0)
+    codes = np.fromiter((get(w, -1) for w in found), dtype="<i4", count=len(found))
+    outside = np.flatnonzero(codes < 0)
     tail = [found[k] for k in outside]
     if len(tail):
-        first = known.layout.words
-        inputs[outside] = [first + known.rare_class(w) for w in tail]
-    return inputs, numbers[numbers >= 0], tail
+        codes[outside] = [-1 - known.rare_class(w) for w in tail]
+    return codes, tail
 
 
-def fit(train: DataFrame, known: Vocabulary, tokens: int = TRAIN_TOKENS) -> gru.Weights:
-    """The network, from whole documents of about `tokens` words spread by hash."""
-    share = int(min(1.0, tokens / known.tokens) * (1 << 30))
+def decoded(codes: bytes, known: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Input numbers of a text's words, and head numbers of those in the head.
+
+    A code is the head number or, below 0, one less than the negative number of the rare class.
+    """
+    numbers = np.frombuffer(codes, dtype="<i4")
+    inputs = known.inputs[np.maximum(numbers, 0)]
+    inputs = np.where(numbers < 0, known.layout.words - 1 - numbers, inputs)
+    return inputs.astype(np.int32), numbers[numbers >= 0]
+
+
+def encode(docs: DataFrame, known: Vocabulary) -> DataFrame:
+    """The rows with the codes of all their words and the hashes of those outside the head."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in rows_of(frames):
+            found = [encoded(t, known) for t in frame["text"]]
+            yield frame.drop(columns="text").assign(
+                codes=[c.tobytes() for c, _ in found],
+                tail=[[hashed(w) for w in tail] for _, tail in found],
+            )
+
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("uid", "doc_id", "held_out", "turn", "text").mapInPandas(
+        run,
+        f"uid long, doc_id {id_type}, held_out boolean, turn long, codes binary, tail array<long>",
+    )
+
+
+def fit(train: DataFrame, known: Vocabulary, tokens: int = TRAIN_TOKENS) -> gru.Weights:
+    """The network, from all documents of `train` (rows of `encode`).
+
+    A task holds about `tokens` words at a time and goes on from its own weights until its documents
+    are through. Up to that many words are one task's and one round's work.
+    """
+    small_batches(train.sparkSession)
+    parts = -(-known.tokens // tokens)
+    rounds = min(ROUNDS, parts)
+    weights = gru.start(known.layout)
+    rows = train.select("turn", "codes")
+    for r in range(rounds):
+        own = rows.where(F.pmod("turn", F.lit(rounds)) == r).coalesce(parts)
+        weights = _round(own, known, weights, tokens, r / rounds if parts > 1 else None)
+    return weights
+
+
+def _round(
+    rows: DataFrame, known: Vocabulary, weights: gru.Weights, tokens: int, done: float | None
+) -> gru.Weights:
+    """One round over all rows: the mean of what the tasks learn, by their words.
+
+    `done` is the share of the training before this round; without it this round is all, and a short
+    stream is gone through several times.
+    """
+
+    end = known.end
+    # The words themselves are not needed any more.
+    known = known._replace(number={})
+
+    def learn(held: list, now: gru.Weights) -> gru.Weights:
+        # A fixed order, whatever order the rows were written in.
+        held.sort()
+        stream = np.concatenate([decoded(codes, known)[0] for _, codes in held])
+        if done is None:
+            return gru.train(now, known.layout, stream, end, epochs=2, least_steps=300)
+        return gru.train(
+            now, known.layout, stream, end, streams=256, window=32, done=(done, done)
+        )
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, held, size, total = weights, [], 0, 0
+        for frame in frames:
+            for turn, codes in zip(frame["turn"], frame["codes"], strict=True):
+                held.append((turn, codes))
+                size += len(codes) // 4
+                if size >= tokens and done is not None:
+                    now, total = learn(held, now), total + size
+                    held, size = [], 0
+        if held:
+            now, total = learn(held, now), total + size
+        if total:
+            flat = np.concatenate([w.ravel() for w in now]).astype("<f4")
+            pieces = range(0, len(flat), _PIECE)
             yield pd.DataFrame(
                 {
-                    "turn": frame["turn"],
-                    "x": [encoded(t, known)[0].astype("<i4").tobytes() for t in frame["text"]],
+                    "k": np.arange(len(pieces), dtype=np.int32),
+                    "n": np.full(len(pieces), total),
+                    "w": [flat[p : p + _PIECE].tobytes() for p in pieces],
                 }
             )
 
-    turn = F.xxhash64(F.coalesce("text", F.lit("")), F.lit("order"))
-    rows = train.select("text", turn.alias("turn")).where(F.pmod("turn", F.lit(1 << 30)) < share)
-    found = rows.mapInPandas(run, "turn long, x binary").collect()
-    found.sort(key=lambda r: (r["turn"], r["x"]))
-    stream = np.concatenate([np.frombuffer(r["x"], dtype="<i4") for r in found] or [np.empty(0, "<i4")])
-    return gru.train(known.layout, stream, known.end)
+    def mean(frame: pd.DataFrame) -> pd.DataFrame:
+        # By value, so that the sum does not depend on the order of arrival.
+        frame = frame.sort_values(["n", "w"])
+        held = sum(n * np.frombuffer(w, "<f4").astype(float) for n, w in zip(frame["n"], frame["w"], strict=True))
+        value = (held / frame["n"].sum()).astype("<f4").tobytes()
+        return pd.DataFrame({"k": frame["k"].iloc[:1], "w": [value]})
+
+    learned = rows.mapInPandas(run, "k int, n long, w binary")
+    found = learned.groupBy("k").applyInPandas(mean, "k int, w binary").collect()
+    if not found:
+        return weights
+    flat = np.concatenate([np.frombuffer(r["w"], "<f4") for r in sorted(found, key=lambda r: r["k"])])
+    ends = np.cumsum([w.size for w in weights])[:-1]
+    return gru.Weights(
+        *[part.reshape(w.shape) for part, w in zip(np.split(flat, ends), weights, strict=True)]
+    )
 
 
-_SCORED = (
-    "n_tokens long, head_known long, head_log double, model_log double, tail array<long>"
-)
+_SCORED = "n_tokens long, head_known long, head_log double, model_log double"
 
 
 def _head_scores(docs: DataFrame, known: Vocabulary, weights: gru.Weights) -> DataFrame:
-    """Per document all that the head decides, and the hashes of its other words.
+    """Per row of `encode` all that the head decides.
 
     head_log: sum of log10(count + 0.1) over words of the head. model_log: log10 probability without
     the log10(count + 0.1) of words outside of the head.
@@ -227,12 +315,15 @@ def _head_scores(docs: DataFrame, known: Vocabulary, weights: gru.Weights) -> Da
     rare = known.inputs >= known.layout.words
     log_rare = np.where(rare, log_counts, 0.0)
     log_mass = np.r_[np.zeros(known.layout.words), np.log10(known.layout.masses)]
+    end = known.end
+    # The words themselves are not needed any more.
+    known = known._replace(number={})
 
     def scored(keys: list, held: list) -> pd.DataFrame:
         texts = [h[0] for h in held]
-        values = gru.score(weights, known.layout, texts, known.end) / _LN10
+        values = gru.score(weights, known.layout, texts, end) / _LN10
         rows = []
-        for key, value, (inputs, head, tail) in zip(keys, values, held, strict=True):
+        for key, value, (inputs, head) in zip(keys, values, held, strict=True):
             rows.append(
                 (
                     *key,
@@ -240,21 +331,20 @@ def _head_scores(docs: DataFrame, known: Vocabulary, weights: gru.Weights) -> Da
                     len(head),
                     float(log_counts[head].sum()),
                     float(value + log_rare[head].sum() - log_mass[inputs].sum()),
-                    tail,
                 )
             )
-        names = ["uid", "doc_id", "held_out", "n_tokens", "head_known", "head_log", "model_log", "tail"]
+        names = ["uid", "doc_id", "held_out", "n_tokens", "head_known", "head_log", "model_log"]
         return pd.DataFrame(rows, columns=names)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, held, size = [], [], 0
-        for frame in rows_of(frames):
-            for *key, text in zip(
-                frame["uid"], frame["doc_id"], frame["held_out"], frame["text"], strict=True
+        for frame in frames:
+            for *key, codes in zip(
+                frame["uid"], frame["doc_id"], frame["held_out"], frame["codes"], strict=True
             ):
-                inputs, head, tail = encoded(text, known)
+                inputs, head = decoded(codes, known)
                 keys.append(key)
-                held.append((inputs, head, [hashed(w) for w in tail]))
+                held.append((inputs, head))
                 size += len(inputs)
                 if size > _CHUNK_TOKENS:
                     yield scored(keys, held)
@@ -263,7 +353,7 @@ def _head_scores(docs: DataFrame, known: Vocabulary, weights: gru.Weights) -> Da
             yield scored(keys, held)
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("uid", "doc_id", "held_out", "text").mapInPandas(
+    return docs.select("uid", "doc_id", "held_out", "codes").mapInPandas(
         run, f"uid long, doc_id {id_type}, held_out boolean, {_SCORED}"
     )
 
@@ -279,7 +369,8 @@ def score(
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score): one row per row.
 
-    Learns from the documents outside of fold `held`. A missing text is empty and has one token, its
+    Learns from all documents outside of fold `held`, a task from about `train_tokens` words at a
+    time. A missing text is empty and has one token, its
     end. Without any training document no word is known, the vocabulary is empty, and both scores
     are 0. Repeated rows are scored alike.
     """
@@ -297,12 +388,17 @@ def score(
             zero.alias("n_known"), zero.alias("train_tokens"), blank.alias("base_score"),
             blank.alias("score"),
         )
-    weights = fit(rows.where(~out), known, train_tokens)
     keyed = rows.select(
-        F.monotonically_increasing_id().alias("uid"), "doc_id", out.alias("held_out"), "text"
+        F.monotonically_increasing_id().alias("uid"),
+        "doc_id",
+        out.alias("held_out"),
+        F.xxhash64(F.coalesce("text", F.lit("")), F.lit("order")).alias("turn"),
+        "text",
     )
-    scored = materialise(_head_scores(keyed, known, weights), "lm-documents")
-    tails = scored.where(F.size("tail") > 0).select("uid", F.explode("tail").alias("h"))
+    coded = materialise(encode(keyed, known), "lm-documents")
+    weights = fit(coded.where(~F.col("held_out")), known, train_tokens)
+    scored = _head_scores(coded, known, weights)
+    tails = coded.where(F.size("tail") > 0).select("uid", F.explode("tail").alias("h"))
     rare = counts.where(F.col("n") < known.least).select(F.xxhash64("word").alias("h"), "n")
     sums = (
         tails.join(rare, "h", "left")

@@ -9,7 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from leadloom.llm import decontaminate, html, language, lm, quality, urls
+from leadloom.llm import decontaminate, gru, html, language, lm, quality, urls
 from leadloom.llm.shared import fold, table
 from tests.conftest import SF
 from tests.llm.cases import documents, empty
@@ -129,3 +129,17 @@ def test_language_model(spark):
     odd = lm.score(documents(spark)).collect()
     assert len(odd) == 12 and all(np.isfinite(r["score"]) for r in odd)
     assert lm.score(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("tokens", [1_500_000, 2_000])
+def test_network_learns_from_all_documents(spark, tokens):
+    docs = documents(spark, [(k, f"alpha{k} beta{k} gamma{k} delta{k} " * 60, "en", "a", 1) for k in range(40)])
+    known = lm.vocabulary(lm.word_counts(docs))
+    keyed = docs.withColumns({"held_out": language.F.lit(False), "turn": language.F.xxhash64("text")})
+    weights = lm.fit(lm.encode(keyed, known), known, tokens)
+    moved = (weights.enter != gru.start(known.layout).enter).any(axis=1)
+    assert known.layout.words == 161 and moved[: known.layout.words].sum() >= 160
+    # More than one round, and yet each word predicts the next one better than its frequency does.
+    texts = [known.inputs[[known.number[w] for w in lm.words(r["text"])]] for r in docs.collect()]
+    found = gru.score(weights, known.layout, texts, known.end).sum()
+    assert found > gru.score(gru.start(known.layout), known.layout, texts, known.end).sum()
