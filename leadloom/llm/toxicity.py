@@ -1,8 +1,8 @@
 """Toxicity from the nearest labelled texts by exact TF-IDF cosine.
 
-Terms are words and word beginnings (four characters) whose presence differs between toxic and clean
-labelled texts by more than chance over all terms tried would explain (log-likelihood ratio). Texts
-are weighted by TF-IDF over these terms, with document frequencies counted over all documents.
+Terms are all words and word beginnings (four characters) of the labelled texts. Texts are weighted
+by TF-IDF over them, with document frequencies counted over all documents; a term whose presence
+differs between toxic and clean labelled texts weighs more, by its log-likelihood ratio.
 
 The labelled texts (a bounded sample) form a block-max inverted index: postings per term, cut into
 blocks of texts, with the largest weight of each term in each block. A query gets an upper bound for
@@ -21,14 +21,14 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadloom.llm.shared import fold, pick, rows_of, small_batches, text_of
 from leadloom.session import materialise
 
 SAMPLE = 20_000
-MOST_TERMS = 4096
 NEIGHBOURS = 16
 BLOCK = 64
 START = 4
@@ -48,44 +48,66 @@ def terms(text: object) -> Counter:
     return found
 
 
+Vector = tuple[np.ndarray, np.ndarray]
+
+
+def _vector(found: Vector | dict[int, float]) -> Vector:
+    """Term numbers and weights."""
+    if not isinstance(found, dict):
+        return found
+    return np.fromiter(found, np.int64, len(found)), np.fromiter(found.values(), float, len(found))
+
+
+def _ranges(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers of several stretches, one after the other."""
+    return np.arange(count.sum()) + np.repeat(begin - np.cumsum(count) + count, count)
+
+
 class Index:
-    """Unit vectors of labelled texts as a block-max inverted index."""
+    """Unit vectors of labelled texts as a block-max inverted index.
 
-    def __init__(self, vectors: list[dict[int, float]], n_terms: int, block: int = BLOCK):
+    A cell holds the postings of one term in one block of texts; only cells with postings exist.
+    """
+
+    def __init__(self, vectors: list[Vector] | list[dict[int, float]], n_terms: int, block: int = BLOCK):
         self.n, self.block = len(vectors), block
         self.blocks = -(-self.n // block) if self.n else 0
-        term = np.array([t for v in vectors for t in v], dtype=np.int64)
-        text = np.repeat(np.arange(self.n), [len(v) for v in vectors])
-        weight = np.array([w for v in vectors for w in v.values()], dtype=np.float64)
+        pairs = [_vector(v) for v in vectors]
+        term = np.concatenate([_NONE, *[ids for ids, _ in pairs]])
+        text = np.repeat(np.arange(self.n), [len(ids) for ids, _ in pairs])
+        weight = np.concatenate([np.empty(0), *[weights for _, weights in pairs]])
         order = np.lexsort((text, term))
-        self.text, self.weight, term = text[order], weight[order], term[order]
-        key = term * self.blocks + self.text // block
-        self.start = np.searchsorted(key, np.arange(n_terms * self.blocks + 1))
-        self.most = np.zeros(n_terms * self.blocks)
-        np.maximum.at(self.most, key, self.weight)
-        self.most = self.most.reshape(n_terms, self.blocks)
+        self.text, self.weight = text[order].astype(np.int32), weight[order]
+        key = term[order] * self.blocks + self.text // block
+        begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else _NONE
+        self.most = np.maximum.reduceat(self.weight, begin) if len(key) else np.empty(0)
+        self.place = (key[begin] % max(1, self.blocks)).astype(np.int32)
+        self.start = np.searchsorted(key[begin], np.arange(n_terms + 1) * self.blocks)
+        self.begin = np.r_[begin, len(key)]
 
     def nearest(
-        self, vector: dict[int, float], k: int, leave: int = -1
+        self, vector: Vector | dict[int, float], k: int, leave: int = -1
     ) -> tuple[np.ndarray, np.ndarray]:
         """The `k` most similar texts (without `leave`), ties by position; similarity above 0."""
         if leave >= 0:
             return without(self.nearest(vector, k + 1), leave, k)
-        if not vector or not self.blocks:
+        ids, weights = _vector(vector)
+        if not len(ids) or not self.blocks:
             return np.empty(0, dtype=np.int64), np.empty(0)
-        ids = np.fromiter(vector, dtype=np.int64)
-        weights = np.fromiter(vector.values(), dtype=np.float64)
-        bound = weights @ self.most[ids]
+        count = self.start[ids + 1] - self.start[ids]
+        cells, factor = _ranges(self.start[ids], count), np.repeat(weights, count)
+        place = self.place[cells]
+        bound = np.bincount(place, factor * self.most[cells], minlength=self.blocks)
         live = np.flatnonzero(bound > 0)
         first = live if len(live) <= 4 else live[np.argpartition(-bound[live], 3)[:4]]
-        score = self._scores(ids, weights, first)
+        score = self._scores(cells, factor, place, first)
         found = score[score > 0]
         if len(found) >= k:
             # No block whose bound is below the k-th best so far can hold a nearer text.
             live = live[bound[live] >= np.partition(found, -k)[-k] - 1e-9]
         rest = np.setdiff1d(live, first, assume_unique=True)
         if len(rest):
-            score = score + self._scores(ids, weights, rest)
+            score = score + self._scores(cells, factor, place, rest)
         texts = np.flatnonzero(score > 0)
         values = score[texts]
         if len(texts) > k:
@@ -94,14 +116,19 @@ class Index:
         best = np.lexsort((texts, -values.round(12)))[:k]
         return texts[best], np.minimum(values[best], 1.0)
 
-    def _scores(self, ids: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+    def _scores(
+        self, cells: np.ndarray, factor: np.ndarray, place: np.ndarray, blocks: np.ndarray
+    ) -> np.ndarray:
         """Similarities to the texts of some blocks, from their postings of the query's terms."""
-        cell = (ids[:, None] * self.blocks + blocks).ravel()
-        begin, count = self.start[cell], self.start[cell + 1] - self.start[cell]
-        inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        place = np.repeat(begin, count) + inside
-        factor = np.repeat(np.repeat(weights, len(blocks)), count)
-        return np.bincount(self.text[place], factor * self.weight[place], minlength=self.n)
+        wanted = np.zeros(self.blocks, dtype=bool)
+        wanted[blocks] = True
+        chosen = wanted[place]
+        cells, factor = cells[chosen], factor[chosen]
+        count = self.begin[cells + 1] - self.begin[cells]
+        post = _ranges(self.begin[cells], count)
+        return np.bincount(
+            self.text[post], np.repeat(factor, count) * self.weight[post], minlength=self.n
+        )
 
 
 def without(
@@ -116,7 +143,7 @@ class Model(NamedTuple):
     """What was learned; `weighted` turns the counts of known terms into a unit vector."""
 
     vocabulary: list[str]
-    idf: np.ndarray
+    weight: np.ndarray
     index: Index | None
     toxic: np.ndarray
     ids: np.ndarray
@@ -125,10 +152,9 @@ class Model(NamedTuple):
     shift: float
     neighbours: int
 
-    def weighted(self, ids: np.ndarray, counts: np.ndarray) -> dict[int, float]:
-        weights = (1 + np.log(counts)) * self.idf[ids]
-        norm = np.sqrt((weights * weights).sum())
-        return dict(zip(ids.tolist(), (weights / norm).tolist(), strict=True)) if norm else {}
+    def weighted(self, ids: np.ndarray, counts: np.ndarray) -> Vector:
+        weights = (1 + np.log(counts)) * self.weight[ids]
+        return ids, weights / np.sqrt((weights * weights).sum())
 
     def vote(self, texts: np.ndarray, similarity: np.ndarray) -> float:
         """Log odds of the distance-weighted votes, drawn to the prior by one weak vote."""
@@ -170,11 +196,10 @@ def _term_counts(rows: DataFrame) -> DataFrame:
     return counted.groupBy("term").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
 
 
-def _selected(counts: DataFrame, total1: int, total0: int, most: int) -> list[str]:
-    """Terms whose log-likelihood ratio exceeds what the best of all terms reaches by chance."""
-    tried = counts.count()
-    if not tried or not total1 or not total0:
-        return []
+def _vocabulary(counts: DataFrame, total1: int, total0: int) -> tuple[list[str], np.ndarray]:
+    """All terms, the most common first, and the log-likelihood ratio of each."""
+    if not total1 or not total0:
+        return [], np.empty(0)
     cell = lambda seen, expected: F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
     n = total1 + total0
     both = F.col("n1") + F.col("n0")
@@ -185,9 +210,9 @@ def _selected(counts: DataFrame, total1: int, total0: int, most: int) -> list[st
         + cell(m1, (n - both) * total1 / n)
         + cell(m0, (n - both) * total0 / n)
     )
-    kept = counts.withColumn("ratio", ratio).where(F.col("ratio") >= 2 * float(np.log(tried)))
-    best = kept.orderBy(F.desc("ratio"), "term").limit(most).select("term").collect()
-    return sorted(r["term"] for r in best)
+    found = counts.select("term", both.alias("n"), ratio.alias("ratio")).toArrow()
+    found = found.sort_by([("n", "descending"), ("term", "ascending")])
+    return found.column("term").to_pylist(), np.maximum(found.column("ratio").to_numpy(), 0.0)
 
 
 def encode(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
@@ -235,8 +260,19 @@ def _frequencies(encoded: DataFrame, size: int) -> tuple[np.ndarray, int]:
         yield pd.DataFrame({"k": present, "n": total[present]})
 
     sums = encoded.select("ids").mapInPandas(run, "k int, n long").groupBy("k").agg(F.sum("n").alias("n"))
-    found = {r["k"]: r["n"] for r in sums.collect()}
-    return np.array([found.get(k, 0) for k in range(size)]), int(found.get(size, 0))
+    found = sums.toArrow()
+    total = np.zeros(size + 1, dtype=np.int64)
+    total[found.column("k").to_numpy()] = found.column("n").to_numpy()
+    return total[:size], int(total[size])
+
+
+def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """A column of lists of numbers, row by row."""
+    found = []
+    for chunk in column.chunks:
+        ends = chunk.offsets.to_numpy()
+        found += np.split(chunk.values.to_numpy()[ends[0] : ends[-1]].astype(np.int64), ends[1:-1] - ends[0])[: len(chunk)]
+    return found
 
 
 def _calibrated(votes: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
@@ -259,7 +295,6 @@ def fit(
     docs: DataFrame,
     labels: DataFrame,
     sample: int = SAMPLE,
-    most_terms: int = MOST_TERMS,
     neighbours: int = NEIGHBOURS,
 ) -> tuple[Model, DataFrame]:
     """Learn from rows (doc_id, toxic) and the texts (doc_id, text) they name.
@@ -268,8 +303,8 @@ def fit(
     frequencies and the labelled vectors, and `predict` takes them.
 
     At most about `sample` labelled rows are used, spread by hash; what is gathered on the driver is
-    bounded by it and by `most_terms`. Where no labelled text has a telling term, or only one class
-    is labelled, every score is the share of toxic labels (0.5 without any label).
+    bounded by it. Where no labelled text has a term, or only one class is labelled, every score is
+    the share of toxic labels (0.5 without any label).
     """
     small_batches(docs.sparkSession)
     marked = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
@@ -282,32 +317,44 @@ def fit(
     total1 = sum(n for t, n in totals.items() if t)
     total0 = sum(n for t, n in totals.items() if not t)
     prior = total1 / (total1 + total0) if total1 + total0 else 0.5
-    vocabulary = _selected(materialise(_term_counts(rows), "toxic-terms"), total1, total0, most_terms)
+    vocabulary, ratio = _vocabulary(_term_counts(rows), total1, total0)
     model = Model([], np.empty(0), None, np.empty(0), np.empty(0), prior, 1.0, 0.0, neighbours)
     encoded = encode(docs, vocabulary)
     if not vocabulary:
         return model, encoded
     encoded = materialise(encoded, "toxic-encoded")
     seen, n = _frequencies(encoded, len(vocabulary))
-    model = model._replace(vocabulary=vocabulary, idf=np.log((n + 1) / (seen + 1)) + 1.0)
-    held = encoded.join(F.broadcast(chosen), "doc_id").collect()
+    weight = (np.log((n + 1) / (seen + 1)) + 1.0) * (1.0 + ratio)
+    model = model._replace(vocabulary=vocabulary, weight=weight)
+    held = encoded.join(F.broadcast(chosen), "doc_id").toArrow()
+    names, marks = held.column("doc_id").to_pylist(), held.column("toxic").to_pylist()
+    ids, counts = _lists(held.column("ids")), _lists(held.column("counts"))
     # Similar texts side by side, so that bounds of blocks are tight; a fixed order.
-    held.sort(key=lambda r: (r["ids"], r["counts"], r["toxic"], str(r["doc_id"])))
-    points = [model.weighted(np.array(r["ids"], int), np.array(r["counts"], int)) for r in held]
-    toxic = np.array([float(r["toxic"] > 0) for r in held])
+    key = lambda k: (ids[k].astype(">u4").tobytes(), counts[k].astype(">u4").tobytes(), marks[k], str(names[k]))
+    order = sorted(range(len(names)), key=key)
+    points = [model.weighted(ids[k], counts[k]) for k in order]
+    toxic = np.array([float(marks[k] > 0) for k in order])
     index = Index(points, len(vocabulary))
-    model = model._replace(index=index, toxic=toxic, ids=np.array([r["doc_id"] for r in held]))
-    slope, shift = _calibrated(np.array(_left_out(model, points)), toxic)
+    model = model._replace(index=index, toxic=toxic, ids=np.array([names[k] for k in order]))
+    slope, shift = _calibrated(_left_out(docs.sparkSession, model, points), toxic)
     return model._replace(slope=slope, shift=shift), encoded
 
 
-def _left_out(model: Model, points: list[dict[int, float]]) -> list[float]:
-    """The vote for each labelled text without itself; equal vectors are searched once."""
-    votes, before, found = [], None, None
-    for k, point in enumerate(points):
-        if point != before:
-            before, found = point, model.index.nearest(point, model.neighbours + 1)
-        votes.append(model.vote(*without(found, k, model.neighbours)))
+def _left_out(spark: SparkSession, model: Model, points: list[Vector]) -> np.ndarray:
+    """The vote for each labelled text without itself."""
+    model = model._replace(vocabulary=[])
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            found = [
+                model.vote(*model.index.nearest(points[k], model.neighbours, leave=k))
+                for k in frame["id"]
+            ]
+            yield pd.DataFrame({"k": frame["id"], "vote": np.array(found, dtype=float)})
+
+    found = spark.range(len(points)).mapInPandas(run, "k long, vote double").toArrow()
+    votes = np.zeros(len(points))
+    votes[found.column("k").to_numpy()] = found.column("vote").to_numpy()
     return votes
 
 
@@ -318,6 +365,7 @@ def predict(encoded: DataFrame, model: Model) -> DataFrame:
     """
     small_batches(encoded.sparkSession)
     id_type = encoded.schema["doc_id"].dataType.simpleString()
+    model = model._replace(vocabulary=[])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

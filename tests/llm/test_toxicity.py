@@ -46,3 +46,15 @@ def test_edges(spark):
     assert len(found) == 12 and all(0 <= r["score"] <= 1 for r in found)
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r["score"] for r in toxicity.score(docs, none).collect()} == {0.5}
+
+
+def test_every_term_of_the_labelled_texts_counts(spark):
+    rows = [(k, f"common words here topic{k // 2} only{k}", "en", "a", 1) for k in range(12)]
+    docs = documents(spark, rows)
+    labels = spark.createDataFrame([(k, int(k == 0)) for k in range(0, 12, 2)], "doc_id long, toxic int")
+    model, encoded = toxicity.fit(docs, labels)
+    # One toxic text: no term differs by more than chance, and still its twin finds it first.
+    assert {f"topic{k}" for k in range(6)} <= set(model.vocabulary)
+    found = {r["doc_id"]: r for r in toxicity.predict(encoded, model).collect()}
+    assert all(found[k + 1]["neighbours"][0] == k for k in range(0, 12, 2))
+    assert found[1]["score"] > max(found[k]["score"] for k in range(3, 12, 2))
