@@ -1,11 +1,14 @@
 """Main text of web pages by tree scoring.
 
 The page becomes a small tree (tag soup allowed). Elements that cannot hold the article by their
-tag, class, id, role or because they are hidden are cut off with all they contain. Every remaining
+tag or because they are hidden are cut off with all they contain; so are those whose class, id, role
+or label says so in a whole token, unless another token names main content or they hold most of the
+page's prose. A page left without text is read again without looking at these names. Every remaining
 paragraph gets points - one for itself, one per comma, one per hundred characters up to three - and
 passes them to its ancestors, in full to its parent, half to the next, a third to the one above and
 so on. A container's score is discounted by the share of its text that stands in links. The best
-container is kept, and those of its siblings that score well too or are paragraphs of prose.
+container is kept, and those beside it and its ancestors that score well too or are prose;
+right beside it also short prose, headings, lists and tables, unless links make up much of them.
 """
 
 from __future__ import annotations
@@ -45,13 +48,14 @@ CLOSES = {
 }
 KEPT_NAMES = frozenset("html body main article".split())
 UNLIKELY = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|byline|comments?|complementary|consent|"
+    r"ads?|advert\w*|banner|breadcrumbs?|byline|comments?|complementary|consent|"
     r"contentinfo|cookies?|disqus|footer|gdpr|header|login|masthead|menu|modal|nav|navbar|navigation|"
     r"newsletter|notice|notification|outbrain|pager|pagination|popup|print|promo\w*|recommend\w*|"
     r"related|remark|replies|respond|search|share|sharing|shoutbox|side|sidebar|signup|skip|social|"
-    r"sponsor\w*|subscribe|taboola|teaser|toolbar|tooltip|tracking|widget)(?:$|[\s_-])",
-    re.IGNORECASE,
+    r"sponsor\w*|subscribe|taboola|teaser|toolbar|tooltip|tracking|widget"
 )
+CONTENT = frozenset("article body content entry main post story text".split())
+_JOINED = re.compile("[-_]+")
 TAG_POINTS = {"article": 10.0, "main": 8.0, "section": 2.0, "div": 1.0, "td": 1.0, "blockquote": 1.0}
 LEVELS = 5
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>")
@@ -60,32 +64,38 @@ _COMMAS = re.compile("[,،、，]")
 
 
 class Node:
-    __slots__ = ("chars", "children", "linked", "parent", "points", "tag")
+    __slots__ = ("chars", "children", "linked", "parent", "points", "tag", "unlikely")
 
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent = tag, parent
         self.children: list[Node | str] = []
         self.points, self.chars, self.linked = 0.0, 0, 0
+        self.unlikely = False
 
 
-def _unlikely(tag: str, attributes: str) -> bool:
-    if tag in DROPPED:
-        return True
-    if not attributes or tag in KEPT_NAMES:
-        return False
+def _attributes(attributes: str) -> tuple[bool, bool]:
+    """Whether an element is hidden, and whether its names speak against main content.
+
+    A token speaks against it if each of its parts between hyphens does (`nav`, `cookie-notice`, not
+    `has-sidebar`); a class or id that ends in a content word (`main-content`) outweighs it.
+    """
+    against = content = False
     for name, *values in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), "".join(values)
-        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
-        if name == "style" and "display:none" in value.replace(" ", "").lower():
-            return True
-        if name in ("class", "id", "role", "aria-label") and UNLIKELY.search(value):
-            return True
-    return False
+        name, value = name.lower(), "".join(values).lower()
+        if name == "hidden" or (name == "aria-hidden" and value == "true"):
+            return True, False
+        if name == "style" and "display:none" in value.replace(" ", ""):
+            return True, False
+        if name in ("class", "id", "role", "aria-label"):
+            for token in value.split():
+                parts = [part for part in _JOINED.split(token) if part]
+                against |= bool(parts) and all(UNLIKELY.fullmatch(part) for part in parts)
+                content |= bool(parts) and parts[-1] in CONTENT and name in ("class", "id")
+    return False, against and not content
 
 
 def parse(html: str) -> list[Node]:
-    """The likely elements of a page in page order; the first is the root of the tree."""
+    """The elements of a page that are shown, in page order; the first is the root of the tree."""
     root = Node("html", None)
     nodes, stack = [root], [root]
     # Elements cut off, open ones innermost last: their content is skipped, only tags are matched.
@@ -167,13 +177,17 @@ def parse(html: str) -> list[Node]:
             continue
         if name in ("html", "body"):
             continue
-        if _unlikely(name, attributes):
+        hidden, against = (
+            _attributes(attributes) if attributes and name not in KEPT_NAMES else (False, False)
+        )
+        if name in DROPPED or hidden:
             if name not in VOID:
                 cut.append(name)
                 if name in BLOCKS:
                     stack[-1].children.append(Node("hr", stack[-1]))
             continue
         node = Node(name, stack[-1])
+        node.unlikely = against
         stack[-1].children.append(node)
         nodes.append(node)
         if name not in VOID:
@@ -190,6 +204,42 @@ def _is_prose(node: Node) -> bool:
     )
 
 
+def likely(nodes: list[Node]) -> list[Node]:
+    """The elements left when those whose names speak against them are cut off.
+
+    One that holds more than half of the page's prose outside of links stays.
+    """
+    if not any(node.unlikely for node in nodes):
+        return nodes
+    prose: dict[int, int] = {}
+    inside = {id(nodes[0]): False}
+    linked = {id(nodes[0]): False}
+    for node in nodes[1:]:
+        above = node.parent
+        inside[id(node)] = inside[id(above)] or _is_prose(node)
+        linked[id(node)] = linked[id(above)] or node.tag == "a"
+    for node in reversed(nodes):
+        own = "".join(c for c in node.children if isinstance(c, str))
+        held = prose.get(id(node), 0)
+        if (inside[id(node)] or _is_prose(node)) and not linked[id(node)]:
+            held += len(" ".join(own.split()))
+        prose[id(node)] = held
+        if node.parent is not None:
+            prose[id(node.parent)] = prose.get(id(node.parent), 0) + held
+    total, gone, left = prose[id(nodes[0])], set(), []
+    for node in nodes:
+        if node.parent is not None and id(node.parent) in gone:
+            gone.add(id(node))
+        elif node.unlikely and 2 * prose[id(node)] <= total:
+            gone.add(id(node))
+            children = node.parent.children
+            at = next(k for k, c in enumerate(children) if c is node)
+            children[at : at + 1] = [Node("hr", node.parent)] if node.tag in BLOCKS else []
+        else:
+            left.append(node)
+    return left
+
+
 def score(nodes: list[Node]) -> Node:
     """Give all containers their points; the best one (the first among equals)."""
     commas = {}
@@ -227,24 +277,45 @@ def worth(node: Node) -> float:
     return (node.points + (TAG_POINTS.get(node.tag, 0.0) if node.points else 0.0)) * (1 - density)
 
 
-def _kept(best: Node) -> list[Node]:
-    """The best container and the siblings that belong to it, in page order."""
-    if best.parent is None:
-        return [best]
+def _beside(node: Node, least: float, all_prose: bool) -> bool:
+    """Whether an element beside the best container, or beside an ancestor of it, belongs to it."""
+    density = node.linked / node.chars if node.chars else 1.0
+    if all_prose and density < 0.25:
+        return True
+    prose = node.tag == "p" and (
+        (node.chars >= 80 and density < 0.25) or (0 < node.chars and not density)
+    )
+    heading = node.tag in ("h1", "h2") and density < 0.25
+    return prose or heading or (node.tag not in PROSE and worth(node) >= least)
+
+
+def _kept(best: Node) -> Node:
+    """The top of the article; what is beside the way from it to the best container is cut off.
+
+    Right beside the best container anything with text that is not mostly links stays; an article
+    or main element is whole by itself, and further up what scores well or is prose stays.
+    """
     least = max(10.0, 0.2 * worth(best))
-    kept = []
-    for node in best.parent.children:
-        if node is best:
-            kept.append(node)
-        elif isinstance(node, Node):
-            density = node.linked / node.chars if node.chars else 1.0
-            prose = node.tag == "p" and (
-                (node.chars >= 80 and density < 0.25) or (0 < node.chars and not density)
-            )
-            heading = node.tag in ("h1", "h2") and density < 0.25
-            if prose or heading or (node.tag not in PROSE and worth(node) >= least):
+    top, all_prose = best, best.tag not in ("article", "main")
+    while top.parent is not None and (top is best or top.tag not in ("article", "main")):
+        above = top.parent
+        kept: list[Node | str] = []
+        alone = True
+        for node in above.children:
+            if node is top:
+                kept.append(node)
+            elif isinstance(node, str):
+                if all_prose:
+                    kept.append(node)
+                    alone = alone and not node.strip()
+            elif _beside(node, least, all_prose):
                 kept.append(node)
-    return kept
+                alone = alone and not node.chars
+            else:
+                kept.append(Node("hr", above))
+        above.children = kept
+        top, all_prose = above, all_prose and alone
+    return top
 
 
 def _blocks(top: Node) -> Iterator[str]:
@@ -275,8 +346,14 @@ def main_text(html: str | None) -> str:
     if not isinstance(html, str) or not html:
         return ""
     nodes = parse(html)
-    best = score(nodes)
-    return "\n\n".join(block for node in _kept(best) for block in _blocks(node))
+    text = _text(likely(nodes))
+    if not text and any(node.unlikely for node in nodes):
+        text = _text(parse(html))
+    return text
+
+
+def _text(nodes: list[Node]) -> str:
+    return "\n\n".join(_blocks(_kept(score(nodes))))
 
 
 def extract(

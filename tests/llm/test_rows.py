@@ -61,6 +61,19 @@ def test_html():
         assert isinstance(html.main_text(odd), str)
 
 
+def test_html_keeps_whole_articles():
+    text = "".join(f"<p>Sentence {k}, with a comma, in the article.</p>" for k in range(40))
+    plain = html.main_text(f"<body>{text}</body>")
+    assert plain.count("Sentence") == 40
+    names = ("content has-sidebar", "right-sidebar", "no-comments", "comments-open", "article-print", "job-search", "main-content print", "widget", "sidebar")
+    for name in names:
+        assert html.main_text(f"<body><div id='x' class='{name}'>{text}</div></body>") == plain, name
+    beside = "<div><p>Short one.</p><p>Two.</p><p>Three.</p></div><ul><li>item</li></ul><h3>Head</h3><pre>code</pre><table><tr><td>cell</td></tr></table>"
+    page = f"<body><div class=nav><a href=x>menu</a></div><div><div>{text}</div>{beside}<div><a href=x>more links</a></div></div></body>"
+    assert html.main_text(page) == plain + "\n\nShort one.\n\nTwo.\n\nThree.\n\nitem\n\nHead\n\ncode\n\ncell"
+    assert html.main_text("<body><div class=comments><p>Only this.</p></div></body>") == "Only this."
+
+
 def test_pages(spark):
     pages = table(spark, SF, "pages")
     found = {r["page_id"]: r for r in html.extract(pages).collect()}
