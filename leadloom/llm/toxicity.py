@@ -22,7 +22,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.llm.shared import fold, pick, rows_of, small_batches, text_of
@@ -73,17 +73,22 @@ class Index:
         self.n, self.block = len(vectors), block
         self.blocks = -(-self.n // block) if self.n else 0
         pairs = [_vector(v) for v in vectors]
-        term = np.concatenate([_NONE, *[ids for ids, _ in pairs]])
-        text = np.repeat(np.arange(self.n), [len(ids) for ids, _ in pairs])
-        weight = np.concatenate([np.empty(0), *[weights for _, weights in pairs]])
-        order = np.lexsort((text, term))
-        self.text, self.weight = text[order].astype(np.int32), weight[order]
-        key = term[order] * self.blocks + self.text // block
+        size = np.array([len(ids) for ids, _ in pairs], dtype=np.int64)
+        term = np.concatenate([np.empty(0, np.int32), *[ids for ids, _ in pairs]])
+        order = np.argsort(term, kind="stable")
+        self.text = np.repeat(np.arange(self.n, dtype=np.int32), size)[order]
+        self.weight = np.concatenate([w for _, w in pairs])[order] if pairs else np.empty(0)
+        key = term[order].astype(np.int64)
+        del order, term
+        key *= self.blocks
+        key += self.text // block
         begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else _NONE
         self.most = np.maximum.reduceat(self.weight, begin) if len(key) else np.empty(0)
-        self.place = (key[begin] % max(1, self.blocks)).astype(np.int32)
-        self.start = np.searchsorted(key[begin], np.arange(n_terms + 1) * self.blocks)
-        self.begin = np.r_[begin, len(key)]
+        self.begin = np.r_[begin, len(key)].astype(np.int32 if len(key) < 1 << 31 else np.int64)
+        key = key[begin]
+        self.start = np.searchsorted(key, np.arange(n_terms + 1) * self.blocks)
+        key %= max(1, self.blocks)
+        self.place = key.astype(np.int32)
 
     def nearest(
         self, vector: Vector | dict[int, float], k: int, leave: int = -1
@@ -97,7 +102,7 @@ class Index:
         count = self.start[ids + 1] - self.start[ids]
         cells, factor = _ranges(self.start[ids], count), np.repeat(weights, count)
         place = self.place[cells]
-        bound = np.bincount(place, factor * self.most[cells], minlength=self.blocks)
+        bound = np.bincount(place, factor * self.most[cells].astype(float), minlength=self.blocks)
         live = np.flatnonzero(bound > 0)
         first = live if len(live) <= 4 else live[np.argpartition(-bound[live], 3)[:4]]
         score = self._scores(cells, factor, place, first)
@@ -127,7 +132,7 @@ class Index:
         count = self.begin[cells + 1] - self.begin[cells]
         post = _ranges(self.begin[cells], count)
         return np.bincount(
-            self.text[post], np.repeat(factor, count) * self.weight[post], minlength=self.n
+            self.text[post], np.repeat(factor, count) * self.weight[post].astype(float), minlength=self.n
         )
 
 
@@ -266,13 +271,23 @@ def _frequencies(encoded: DataFrame, size: int) -> tuple[np.ndarray, int]:
     return total[:size], int(total[size])
 
 
-def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
-    """A column of lists of numbers, row by row."""
-    found = []
-    for chunk in column.chunks:
-        ends = chunk.offsets.to_numpy()
-        found += np.split(chunk.values.to_numpy()[ends[0] : ends[-1]].astype(np.int64), ends[1:-1] - ends[0])[: len(chunk)]
-    return found
+def _vectors(held: DataFrame, model: Model) -> pa.Table:
+    """(doc_id, toxic, ids, weights) of labelled texts, numbers packed (big-endian ids sort well)."""
+    model = model._replace(vocabulary=[])
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            pairs = [
+                model.weighted(np.asarray(ids, dtype=np.int64), np.asarray(counts, dtype=np.int64))
+                for ids, counts in zip(frame["ids"], frame["counts"], strict=True)
+            ]
+            yield frame[["doc_id", "toxic"]].assign(
+                ids=[ids.astype(">i4").tobytes() for ids, _ in pairs],
+                weights=[w.astype("<f4").tobytes() for _, w in pairs],
+            )
+
+    id_type = held.schema["doc_id"].dataType.simpleString()
+    return held.mapInPandas(run, f"doc_id {id_type}, toxic int, ids binary, weights binary").toArrow()
 
 
 def _calibrated(votes: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
@@ -326,36 +341,48 @@ def fit(
     seen, n = _frequencies(encoded, len(vocabulary))
     weight = (np.log((n + 1) / (seen + 1)) + 1.0) * (1.0 + ratio)
     model = model._replace(vocabulary=vocabulary, weight=weight)
-    held = encoded.join(F.broadcast(chosen), "doc_id").toArrow()
-    names, marks = held.column("doc_id").to_pylist(), held.column("toxic").to_pylist()
-    ids, counts = _lists(held.column("ids")), _lists(held.column("counts"))
+    del ratio, weight, seen
+    held = encoded.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "ids", "counts")
+    found = _vectors(held, model)
     # Similar texts side by side, so that bounds of blocks are tight; a fixed order.
-    key = lambda k: (ids[k].astype(">u4").tobytes(), counts[k].astype(">u4").tobytes(), marks[k], str(names[k]))
-    order = sorted(range(len(names)), key=key)
-    points = [model.weighted(ids[k], counts[k]) for k in order]
-    toxic = np.array([float(marks[k] > 0) for k in order])
-    index = Index(points, len(vocabulary))
-    model = model._replace(index=index, toxic=toxic, ids=np.array([names[k] for k in order]))
-    slope, shift = _calibrated(_left_out(docs.sparkSession, model, points), toxic)
+    rows = sorted(
+        zip(*[found.column(c).to_pylist() for c in ("ids", "weights", "toxic", "doc_id")], strict=True),
+        key=lambda r: (*r[:3], str(r[3])),
+    )
+    del found
+    points = [
+        (np.frombuffer(ids, ">i4").astype(np.int32), np.frombuffer(weights, "<f4")) for ids, weights, _, _ in rows
+    ]
+    toxic = np.array([float(r[2] > 0) for r in rows])
+    model = model._replace(toxic=toxic, ids=np.array([r[3] for r in rows]))
+    del rows
+    model = model._replace(index=Index(points, len(vocabulary)))
+    del points
+    slope, shift = _calibrated(*_left_out(held, model))
     return model._replace(slope=slope, shift=shift), encoded
 
 
-def _left_out(spark: SparkSession, model: Model, points: list[Vector]) -> np.ndarray:
-    """The vote for each labelled text without itself."""
+def _left_out(held: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """The votes for the labelled texts, each without itself, and their labels."""
     model = model._replace(vocabulary=[])
 
+    def vote(name: object, ids: np.ndarray, counts: np.ndarray) -> float:
+        found = model.index.nearest(model.weighted(ids, counts), model.neighbours + 1)
+        # The text itself: among rows of one id, the most similar.
+        own = np.flatnonzero(model.ids[found[0]] == name)
+        return model.vote(*without(found, found[0][own[0]] if len(own) else -1, model.neighbours))
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             found = [
-                model.vote(*model.index.nearest(points[k], model.neighbours, leave=k))
-                for k in frame["id"]
+                vote(name, np.asarray(ids, dtype=np.int64), np.asarray(counts, dtype=np.int64))
+                for name, ids, counts in zip(frame["doc_id"], frame["ids"], frame["counts"], strict=True)
             ]
-            yield pd.DataFrame({"k": frame["id"], "vote": np.array(found, dtype=float)})
+            yield pd.DataFrame({"vote": np.array(found, dtype=float), "toxic": frame["toxic"] > 0})
 
-    found = spark.range(len(points)).mapInPandas(run, "k long, vote double").toArrow()
-    votes = np.zeros(len(points))
-    votes[found.column("k").to_numpy()] = found.column("vote").to_numpy()
-    return votes
+    found = held.mapInPandas(run, "vote double, toxic boolean").toArrow()
+    found = found.sort_by([("vote", "ascending"), ("toxic", "ascending")])
+    return found.column("vote").to_numpy(), found.column("toxic").to_numpy().astype(float)
 
 
 def predict(encoded: DataFrame, model: Model) -> DataFrame:
