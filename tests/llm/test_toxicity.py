@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 
 from leadloom.llm import toxicity
@@ -31,6 +33,15 @@ def test_index_is_exact():
             assert np.allclose(values, np.minimum(score[want], 1))
 
 
+def test_index_survives_sending():
+    random = np.random.default_rng(5)
+    vectors = [{int(t): float(random.random()) for t in random.choice(30, 4, replace=False)} for _ in range(200)]
+    for index in (toxicity.Index(vectors, 30, block=16), toxicity.Index([], 3)):
+        sent = pickle.loads(pickle.dumps(index))
+        for name, value in vars(index).items():
+            assert np.array_equal(getattr(sent, name), value), name
+
+
 def test_held_out(spark):
     docs, labels = table(spark, SF.replace("0.001", "0.01"), "documents"), table(spark, SF.replace("0.001", "0.01"), "labels")
     found = toxicity.score(docs, labels).join(labels, "doc_id").where("held_out").collect()
