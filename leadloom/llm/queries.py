@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadloom.llm import decontaminate, html, language, lm, quality, toxicity, urls
+from leadloom.llm import (
+    centroids,
+    decontaminate,
+    html,
+    language,
+    lm,
+    periodic,
+    quality,
+    toxicity,
+    urls,
+)
 from leadloom.llm.fingerprint import edited_neighbours
 from leadloom.llm.mixing import contributions
 from leadloom.llm.shared import table
@@ -59,6 +69,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_decontamination": op2_decontamination,
@@ -70,8 +88,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_urls": op9_urls,
     "op10_simhash": op10_simhash,
+    "op11_centroids": op11_centroids,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {
     "op9_urls": urls.oracle(),
+    "op11_centroids": centroids.oracle(),
 }
