@@ -20,6 +20,7 @@ from leadloom.llm import (
 from leadloom.llm.fingerprint import edited_neighbours
 from leadloom.llm.mixing import contributions
 from leadloom.llm.shared import table
+from leadloom.llm.sharding import shards
 from leadloom.llm.simhash import near_duplicates
 
 
@@ -73,6 +74,10 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.report(table(spark, sf_dir, "embeddings"))
 
 
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.report(table(spark, sf_dir, "documents"))
 
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_urls": op9_urls,
     "op10_simhash": op10_simhash,
     "op11_centroids": op11_centroids,
+    "op12_sharding": op12_sharding,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
