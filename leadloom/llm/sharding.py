@@ -9,8 +9,8 @@ wishes are granted is decided by quotas, so that no shard takes more than it may
 * beyond that a shard takes what it has room for, shared out over where the wishes come from;
 * wishes with the greatest gain come first, equal ones by hash.
 
-In every second round only shards with room may be wished for: members of a group that is larger than
-a shard gather in the next one. It ends when two rounds in a row moved nothing. Documents without
+In every second round only shards with room that refused nobody may be wished for: members of a group
+that is larger than a shard gather in the next one. It ends when two rounds in a row moved nothing. Documents without
 links have no wishes; in the end they fill what the others leave free, so that the numbers of
 documents of any two shards differ by one at most.
 
@@ -80,6 +80,8 @@ def _wishes(nodes: DataFrame, allowed: list[bool], number: int) -> DataFrame:
                 F.lit(ok) | (F.col("shard") == t),
                 F.struct(
                     F.get("score", F.lit(t)).alias("score"),
+                    # Half of a group leaves a full shard rather than stay alone for ever.
+                    F.lit(ok).alias("open"),
                     # Members of one group agree on what to prefer among equals.
                     F.xxhash64(first, F.lit(t)).alias("tie"),
                     F.lit(t).alias("shard"),
@@ -138,10 +140,10 @@ def propagate(nodes: DataFrame, most: list[int], rounds: int = ROUNDS) -> tuple[
     start = F.pmod(F.xxhash64("node", F.lit(-1)), F.lit(shards)).cast("int")
     state = nodes.select("node", "weight", start.alias("shard"), "groups")
     loads = _loads(state, shards)
-    still = 0
+    still, full = 0, [False] * shards
     for number in range(rounds):
         room = [q - held for q, held in zip(most, loads, strict=True)]
-        allowed = [number % 2 == 0 or r > 0 for r in room]
+        allowed = [number % 2 == 0 or (r > 0 and not f) for r, f in zip(room, full, strict=True)]
         asked = materialise(_wishes(state, allowed, number), "shard-wishes")
         cells: dict[tuple[int, int], dict[int, int]] = {}
         # shards * shards * LEVELS * SLICES rows at most.
@@ -149,6 +151,9 @@ def propagate(nodes: DataFrame, most: list[int], rounds: int = ROUNDS) -> tuple[
         for r in found.agg(F.sum("weight").alias("weight")).collect():
             cells.setdefault((r["shard"], r["wish"]), {})[r["rank"]] = r["weight"]
         cuts, moved = _cuts(cells, _granted(cells, loads, room))
+        for t in {pair[1] for pair in cells}:
+            wished = sum(sum(c.values()) for pair, c in cells.items() if pair[1] == t)
+            full[t] = wished > sum(w for pair, w in moved.items() if pair[1] == t)
         for (s, t), weight in moved.items():
             loads[s] -= weight
             loads[t] += weight
