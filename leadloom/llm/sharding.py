@@ -47,7 +47,10 @@ def quotas(n: int, shards: int = SHARDS) -> list[int]:
 
 
 def _voted(nodes: DataFrame, shards: int) -> DataFrame:
-    """Each node with `score`: per shard, the weight of its groups' members there, itself included."""
+    """Each node with `score`: per shard, the weight of its groups' members there.
+
+    The node itself counts once, in its own shard, however many groups it belongs to.
+    """
     members = nodes.select("node", "weight", "shard", F.explode("groups").alias("group"))
     votes = members.groupBy("group").agg(
         *[F.sum(F.when(F.col("shard") == t, F.col("weight")).otherwise(0)).alias(f"v{t}") for t in range(shards)]
@@ -58,7 +61,13 @@ def _voted(nodes: DataFrame, shards: int) -> DataFrame:
         F.max("weight").alias("weight"),
         F.max("shard").alias("shard"),
         F.collect_set("group").alias("groups"),
-        F.array(*[F.sum(f"v{t}") for t in range(shards)]).alias("score"),
+        F.array(
+            *[
+                F.sum(F.col(f"v{t}"))
+                - F.when(F.max("shard") == t, (F.count("group") - 1) * F.max("weight")).otherwise(0)
+                for t in range(shards)
+            ]
+        ).alias("score"),
     )
 
 
