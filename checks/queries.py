@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -28,7 +29,8 @@ from leadloom.operators import (
 from leadloom.plans import gate
 from leadloom.plans.ingest import Masters, ingest, validate_requests
 from leadloom.plans.inquiry import inquire
-from leadloom.session import tune
+from leadloom.session import shared_folder, tune
+from leadloom.sources.latest import LatestStatus
 
 AS_OF = datetime(2024, 6, 1, 12, 0, 0)
 WHOLE = reports.ReportFilter(datetime(1990, 1, 1), datetime(2030, 1, 1))
@@ -630,6 +632,63 @@ def status_recap_branch_status(spark, sf_dir):
     return _recap(spark, sf_dir, BRANCH)
 
 
+def _kept(spark, sf_dir):
+    """The latest statuses as a table that took the history in by ten batches, and merged once."""
+
+    def make():
+        kept = LatestStatus(spark, f"{shared_folder(spark)}/leadloom/latest-{uuid.uuid4().hex}")
+        history = table(spark, sf_dir, "status_log")
+        batch = F.pmod(F.xxhash64("order_id", "sequence"), F.lit(10))
+        for number in range(10):
+            kept.add(f"b{number}", history.where(batch == number))
+            if number == 5:
+                kept.merge()
+        return kept.read()
+
+    return inputs.stored(spark, sf_dir, "latest_kept", make)
+
+
+def _from_kept(spark, sf_dir, report, run):
+    names = {"detail": ("partners", "status_master", "offices"), "recap": ("status_master", "offices")}
+    masters_ = [table(spark, sf_dir, n) for n in names[run]]
+    leads, kept = table(spark, sf_dir, "leads"), _kept(spark, sf_dir)
+    if run == "detail":
+        return reports.detail_report(leads, masters_[0], kept, *masters_[1:], report)
+    return reports.status_recap(leads, kept, *masters_, report)
+
+
+@query
+def detail_report_kept(spark, sf_dir):
+    """The detail report from the maintained table."""
+    return _from_kept(spark, sf_dir, WHOLE, "detail")
+
+
+@query
+def detail_report_kept_product_dates(spark, sf_dir):
+    return _from_kept(spark, sf_dir, SEGMENT, "detail")
+
+
+@query
+def detail_report_kept_branch_status(spark, sf_dir):
+    return _from_kept(spark, sf_dir, BRANCH, "detail")
+
+
+@query
+def status_recap_kept(spark, sf_dir):
+    """The recap from the maintained table."""
+    return _from_kept(spark, sf_dir, WHOLE, "recap")
+
+
+@query
+def status_recap_kept_product_dates(spark, sf_dir):
+    return _from_kept(spark, sf_dir, SEGMENT, "recap")
+
+
+@query
+def status_recap_kept_branch_status(spark, sf_dir):
+    return _from_kept(spark, sf_dir, BRANCH, "recap")
+
+
 @query
 def export_projection(spark, sf_dir):
     urgent = frame(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'")

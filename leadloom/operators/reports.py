@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from leadloom.constants import RECAP_COLUMNS, SOURCE_DATA
 from leadloom.functions.joins import lookup
 from leadloom.functions.text import key
-from leadloom.operators.status import latest_status
+from leadloom.operators.latest import KEYS, NAMES, latest_counts, status_ids
 from leadloom.sources.tables import read_table
 
 
@@ -50,9 +50,19 @@ def detail_report(
     """One row per lead and latest status row, ordered by partner, order and status.
 
     The status filter is on the status of the lead, the shown status is that of the history.
-    Leads whose partner or status is unknown are left out.
+    Leads whose partner or status is unknown are left out. `status_log` is the history or a table of
+    latest statuses with counts.
     """
-    rows = _with_latest(_selected(leads, report), status_log, report)
+    ids = status_ids(status_master)
+    rows = _with_latest(_selected(leads, report), status_log, ids, report)
+    # A status that the latest date has several times gives as many rows.
+    repeated = F.flatten(
+        F.transform(
+            F.arrays_zip(F.array(*[F.lit(i) for i in ids]).alias("id"), F.col("counts").alias("n")),
+            lambda x: F.array_repeat(x["id"], x["n"].cast("int")),
+        )
+    )
+    rows = rows.withColumn("latest_id_status", F.explode(repeated))
     agents = partners.select(
         key("id_partner").alias("agent_key"), F.col("name").alias("name_agent")
     )
@@ -92,16 +102,23 @@ def status_recap(
     report: ReportFilter,
 ) -> DataFrame:
     """Ten counts in one row, one per status; leads with an unknown partner count too."""
-    rows = _with_latest(_selected(leads, report), status_log, report)
-    known = status_master.select(F.col("id_status").alias("latest_id_status"))
-    rows = _in_branch(
-        rows.join(known, "latest_id_status").select("partner_id", "office_code", "latest_id_status"),
-        offices,
-        report,
+    rows = _with_latest(_selected(leads, report), status_log, list(RECAP_COLUMNS), report)
+    if report.branch != 0:
+        rows = _in_branch(rows.select("office_code", "counts"), offices, report)
+    none = F.lit(0).cast("long")
+    counts = rows.agg(
+        *[
+            F.coalesce(F.sum(F.get("counts", F.lit(i))), none).alias(c)
+            for i, c in enumerate(RECAP_COLUMNS.values())
+        ]
     )
-    return rows.agg(
+    # Statuses that the master lacks count nothing, those it has twice count twice.
+    times = status_master.agg(
+        *[F.count_if(F.col("id_status") == k).alias(f"times_{k}") for k in RECAP_COLUMNS]
+    )
+    return counts.select(
         *[
-            F.count_if((F.col("latest_id_status") == k) & F.col("partner_id").isNotNull()).alias(c)
+            (F.col(c) * times.select(f"times_{k}").scalar()).alias(c)
             for k, c in RECAP_COLUMNS.items()
         ]
     )
@@ -135,27 +152,20 @@ def _of_partner(report: ReportFilter) -> Column:
     return key("partner_id") == report.partner.rstrip().lower()
 
 
-def _with_latest(leads: DataFrame, status_log: DataFrame, report: ReportFilter) -> DataFrame:
-    """Leads joined to their latest history rows; adds `latest_id_status`, `partner_key`.
+def _with_latest(
+    leads: DataFrame, status_log: DataFrame, statuses: list[int], report: ReportFilter
+) -> DataFrame:
+    """Leads joined to the counts of their latest history rows; adds `partner_key` and `counts`.
 
-    The history is cut to the partner and the leads asked for before it is aggregated.
+    For a report over one partner, product or status the history is cut to the leads asked for
+    before it is counted. Without such a filter nearly all histories are wanted.
     """
     if report.partner != "ALL":
         status_log = status_log.filter(_of_partner(report))
-    latest = latest_status(status_log, of=leads).select(
-        key("order_id").alias("order_key"),
-        key("transaction_id").alias("transaction_key"),
-        key("partner_id").alias("partner_key"),
-        F.col("id_status").alias("latest_id_status"),
-    )
-    keyed = leads.withColumns(
-        {
-            "order_key": key("order_id"),
-            "transaction_key": key("transaction_id"),
-            "partner_key": key("partner_id"),
-        }
-    )
-    return keyed.join(latest, ["order_key", "transaction_key", "partner_key"])
+    narrow = report.partner != "ALL" or report.product != "ALL" or report.status != 0
+    latest = latest_counts(status_log, statuses, of=leads if narrow else None)
+    keyed = leads.withColumns({k: key(name) for name, k in zip(NAMES, KEYS, strict=True)})
+    return keyed.join(latest.drop("status_dt"), list(KEYS))
 
 
 def _in_branch(rows: DataFrame, offices: DataFrame, report: ReportFilter) -> DataFrame:

@@ -143,7 +143,7 @@ def test_report_cuts_the_history_before_it_is_aggregated(shuffled):
     found = reports.detail_report(*tables, report)._jdf.queryExecution()
     lines = found.optimizedPlan().toString().splitlines()
     depth = {i: len(line) - len(line.lstrip(" :+-")) for i, line in enumerate(lines)}
-    latest = next(i for i, line in enumerate(lines) if "max(status_dt" in line)
+    latest = next(i for i, line in enumerate(lines) if "max(struct(status_dt" in line)
     below = []
     for i in range(latest + 1, len(lines)):
         if depth[i] <= depth[latest]:

@@ -159,7 +159,11 @@ def test_inquiry(spark, leads, partners, statuses, codes):
     logged = rows(
         status.log_inquiries(result, AS_OF).filter("partner_id = 'p1'"), "data_inquiry", "message"
     )
-    assert logged == [(f"P1,a ,{'0' * 30},s2,,PO1,,,", "Success")]
+    # Details are logged whole; a width cuts each of them.
+    phone = "0" * 40
+    assert logged == [(f"P1,a ,{phone},s2,,PO1,,,", "Success")]
+    cut = status.log_inquiries(result, AS_OF, width=30).filter("partner_id = 'p1'")
+    assert rows(cut, "data_inquiry") == [(f"P1,a ,{phone[:30]},s2,,PO1,,,",)]
     strict = status.log_inquiries(result, AS_OF, strict_nulls=True)
     assert {r.data_inquiry for r in strict.collect()} == {None}
 
