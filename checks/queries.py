@@ -26,11 +26,12 @@ from leadloom.operators import (
     store,
     users,
 )
-from leadloom.plans import gate
+from leadloom.plans import changes, gate
 from leadloom.plans.ingest import Masters, ingest, validate_requests
 from leadloom.plans.inquiry import inquire
 from leadloom.session import shared_folder, tune
 from leadloom.sources.latest import LatestStatus
+from leadloom.sources.tables import DAY_OF, read_table, write_version
 
 AS_OF = datetime(2024, 6, 1, 12, 0, 0)
 WHOLE = reports.ReportFilter(datetime(1990, 1, 1), datetime(2030, 1, 1))
@@ -399,7 +400,7 @@ def lead_response_log(spark, sf_dir):
     return texts(replies.log_lead_replies(answered, AS_OF)).drop("parameter")
 
 
-def _rolled_back(spark, sf_dir):
+def _to_roll_back(spark, sf_dir):
     leads = table(spark, sf_dir, "leads")
     stored = store.conform(
         leads.withColumns({"response_code": F.lit(SUCCESS), "message": F.lit("Success")}),
@@ -415,14 +416,10 @@ def _rolled_back(spark, sf_dir):
         .otherwise("none")
         .alias("transaction_id"),
     )
-    return store.rollback_failed(
-        leads, stored, history, failed, table(spark, sf_dir, "response_codes"), AS_OF
-    )
+    return {"leads": leads, "lead_requests": stored, "status_log": history}, failed
 
 
-@query
-def rollback_failed(spark, sf_dir):
-    leads, stored, history = _rolled_back(spark, sf_dir)
+def _versions(leads, stored, history):
     none = F.lit(None).cast("string")
     return (
         leads.select(F.lit("leads").alias("table"), "order_id", "transaction_id", none.alias("code"))
@@ -445,6 +442,35 @@ def rollback_failed(spark, sf_dir):
     )
 
 
+@query
+def rollback_failed(spark, sf_dir):
+    tables, failed = _to_roll_back(spark, sf_dir)
+    codes = table(spark, sf_dir, "response_codes")
+    return _versions(*store.rollback_failed(*tables.values(), failed, codes, AS_OF))
+
+
+def _stored_version(spark, sf_dir, tables):
+    """A root folder with a version of some tables at rest, to be changed by one query.
+
+    The test tables spread few rows over some 2,400 days. Dates are set back to the first day of their
+    quarter, so that a folder holds about as many rows as a day of a real table would.
+    """
+    root = f"{shared_folder(spark)}/leadloom/version-{uuid.uuid4().hex}"
+    for name, rows in tables.items():
+        rows = rows.withColumn(DAY_OF[name], F.date_trunc("quarter", DAY_OF[name]))
+        write_version(rows, f"{root}/{name}", name)
+    return root
+
+
+@query
+def rollback_stored(spark, sf_dir):
+    """The rollback on tables at rest, read back: only the days of the failed leads are rewritten."""
+    tables, failed = _to_roll_back(spark, sf_dir)
+    root = _stored_version(spark, sf_dir, tables)
+    changes.rollback(spark, root, failed, table(spark, sf_dir, "response_codes"), AS_OF)
+    return _versions(*[read_table(spark, f"{root}/{n}", n) for n in tables])
+
+
 # --- replies and logs --------------------------------------------------------------------------
 
 
@@ -580,6 +606,28 @@ def status_transition_log(spark, sf_dir):
     return texts(appended).drop("dtm_upd", "usr_upd")
 
 
+def _transitioned_at_rest(spark, sf_dir):
+    tables = {n: table(spark, sf_dir, n) for n in ("leads", "status_log")}
+    root = _stored_version(spark, sf_dir, tables)
+    changes.transition(spark, root, frame(spark, sf_dir, "changes"), AS_OF)
+    return root
+
+
+@query
+def status_transition_stored(spark, sf_dir):
+    """Transitions of leads at rest, read back: only the days of changed leads are rewritten."""
+    root = _transitioned_at_rest(spark, sf_dir)
+    return read_table(spark, f"{root}/leads", "leads").select("transaction_id", "id_status")
+
+
+@query
+def status_transition_stored_log(spark, sf_dir):
+    """The status rows that transitions of leads at rest have appended to the history."""
+    root = _transitioned_at_rest(spark, sf_dir)
+    history = read_table(spark, f"{root}/status_log", "status_log")
+    return texts(history.where(F.col("dtm_crt") == F.lit(AS_OF))).drop("dtm_upd", "usr_upd")
+
+
 @query
 def latest_status(spark, sf_dir):
     return texts(

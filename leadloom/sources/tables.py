@@ -22,6 +22,26 @@ DAY_OF = {
 }
 
 
+def read_days(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """All columns of a stored table, and `day` where it is kept by day."""
+    fields = schema(table).fields
+    if table in DAY_OF:
+        fields = [*fields, StructField("day", DateType())]
+    return spark.read.schema(StructType(fields)).parquet(path)
+
+
+def stored_day(day: date | None) -> str:
+    """Name of the folder of a day; rows without a date have one of their own."""
+    return f"day={day or '__HIVE_DEFAULT_PARTITION__'}"
+
+
+def with_day(rows: DataFrame, table: str) -> DataFrame:
+    """Rows in the form of a stored table with their `day`, dealt so that a day has few files."""
+    rows = conform(rows, table).withColumn("day", F.to_date(DAY_OF[table]))
+    # Adaptive execution splits a large day over several tasks and puts small ones together.
+    return rows.hint("rebalance", "day")
+
+
 def read_table(
     spark: SparkSession,
     path: str,
@@ -33,10 +53,7 @@ def read_table(
 
     A range of days, both included, reads only their directories.
     """
-    fields = schema(table).fields
-    if table in DAY_OF:
-        fields = [*fields, StructField("day", DateType())]
-    rows = spark.read.schema(StructType(fields)).parquet(path)
+    rows = read_days(spark, path, table)
     if first_day is not None:
         rows = rows.filter(F.col("day") >= F.lit(first_day))
     if last_day is not None:
@@ -55,9 +72,7 @@ def write_version(rows: DataFrame, path: str, table: str) -> None:
 
 
 def _write(rows: DataFrame, path: str, table: str, mode: str) -> None:
-    rows = conform(rows, table)
-    day = DAY_OF.get(table)
-    if day is None:
-        rows.write.mode(mode).parquet(path)
+    if table not in DAY_OF:
+        conform(rows, table).write.mode(mode).parquet(path)
         return
-    rows.withColumn("day", F.to_date(day)).write.mode(mode).partitionBy("day").parquet(path)
+    with_day(rows, table).write.mode(mode).partitionBy("day").parquet(path)
