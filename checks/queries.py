@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Callable
 from datetime import datetime
@@ -27,9 +28,18 @@ from leadloom.operators import (
     users,
 )
 from leadloom.plans import changes, gate
-from leadloom.plans.ingest import Masters, ingest, validate_requests
+from leadloom.plans.ingest import (
+    JOB_NAME,
+    IntakeOptions,
+    Masters,
+    commit_intake,
+    ingest,
+    stored_rows,
+    validate_requests,
+)
 from leadloom.plans.inquiry import inquire
 from leadloom.session import shared_folder, tune
+from leadloom.sources.batches import BatchStore
 from leadloom.sources.latest import LatestStatus
 from leadloom.sources.tables import DAY_OF, read_table, write_version
 
@@ -381,23 +391,94 @@ def open_status(spark, sf_dir):
     return texts(store.open_status(validated(spark, sf_dir), AS_OF)).drop("dtm_upd", "usr_upd")
 
 
-@query
-def ingest_leads(spark, sf_dir):
-    result = ingest(
+LEAD_REPLY = ("responseCode", "responseMessage", "errorMessage", "orderIdDealer", "orderId", "mtType")
+
+
+def _read_reply(rows, column, names):
+    """The fields of a JSON reply, next to the other columns, in its place."""
+    fields = [F.get_json_object(column, f"$.{n}").alias(f"reply_{n}") for n in names]
+    return rows.select(*rows.columns, *fields).drop(column)
+
+
+def _intake(spark, sf_dir):
+    return ingest(
         inputs.lead_requests(spark, sf_dir),
         masters(spark, sf_dir),
         table(spark, sf_dir, "stored_leads", "leads"),
         AS_OF,
         acq_start=1001,
         transaction_start=501,
+        options=IntakeOptions(echo=inputs.LEAD_API),
+    )
+
+
+@query
+def ingest_leads(spark, sf_dir):
+    """The replies; those in JSON are compared field by field."""
+    return _read_reply(_intake(spark, sf_dir).replies, "reply", LEAD_REPLY)
+
+
+@query
+def intake_echo(spark, sf_dir):
+    """The row that goes with each reply: the answers under their names in the API."""
+    return _intake(spark, sf_dir).echoes
+
+
+@query
+def intake_request_log(spark, sf_dir):
+    """The request log of the intake; the bodies by their length and hash."""
+    log = texts(_intake(spark, sf_dir).request_log)
+    body = F.coalesce("parameter", F.lit(""))
+    return log.withColumns({"n_chars": F.length(body), "md5": F.md5(body)}).drop("parameter")
+
+
+def _committed(spark, sf_dir):
+    """The lead batch as two committed batches; the second one failed in its first run.
+
+    They are the orders of odd and of even number.
+    """
+    batches = BatchStore(spark, f"{shared_folder(spark)}/leadloom/intake-{uuid.uuid4().hex}")
+    asked, known = inputs.lead_requests(spark, sf_dir), masters(spark, sf_dir)
+    for remainder, name in ((1, "odd"), (0, "even")):
+        part = asked.where(F.col("arrival_seq") % 2 == remainder)
+        if not remainder:
+            with contextlib.suppress(Broken):
+                batches.run(name, JOB_NAME, _broken, lambda: AS_OF)
+        commit_intake(batches, name, part, known, lambda: AS_OF)
+        commit_intake(batches, name, part, known, lambda: AS_OF)
+    return batches
+
+
+class Broken(Exception):
+    """A failure made for a check."""
+
+
+def _broken():
+    raise Broken("no space left")
+
+
+@query
+def intake_job_log(spark, sf_dir):
+    """The job log after two committed batches and one failure."""
+    return texts(_committed(spark, sf_dir).job_log()).drop("err_line", "err_number")
+
+
+@query
+def intake_committed(spark, sf_dir):
+    """What committed batches hold together: rows, ids and codes of all requests."""
+    stored = stored_rows(_committed(spark, sf_dir), "lead_requests")
+    return stored.select(
+        F.count("*").alias("n"),
+        F.countDistinct("acq_id").alias("ids"),
+        F.min("acq_id").alias("first_id"),
+        F.max("acq_id").alias("last_id"),
     )
-    return result.replies.drop("reply", "response_message", "mtType", "id_name", "error_detail")
 
 
 @query
 def lead_response_log(spark, sf_dir):
     answered = replies.lead_replies(validated(spark, sf_dir))
-    return texts(replies.log_lead_replies(answered, AS_OF)).drop("parameter")
+    return _read_reply(texts(replies.log_lead_replies(answered, AS_OF)), "parameter", LEAD_REPLY)
 
 
 def _to_roll_back(spark, sf_dir):
@@ -493,7 +574,7 @@ def response_envelope(spark, sf_dir):
 @query
 def log_requests(spark, sf_dir):
     parsed = requests.with_members(inputs.event_requests(spark, sf_dir))
-    return texts(replies.log_requests(parsed, AS_OF)).drop("parameter")
+    return texts(replies.log_requests(parsed, AS_OF))
 
 
 @query
@@ -545,7 +626,8 @@ def status_inquiry(spark, sf_dir):
 
 @query
 def inquiry_response(spark, sf_dir):
-    return status.inquiry_response(_inquired(spark, sf_dir)).drop("reply", "id_name")
+    answered = status.inquiry_response(_inquired(spark, sf_dir))
+    return _read_reply(answered, "reply", status.INQUIRY_FIELDS)
 
 
 @query
@@ -577,7 +659,7 @@ def inquire_by_body(spark, sf_dir):
         AS_OF,
         kind="BUILDING",
     )
-    return result.replies.drop("reply", "id_name")
+    return _read_reply(result.replies, "reply", status.INQUIRY_FIELDS).drop("id_name")
 
 
 @query

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from leadloom.constants import (
     ADDRESS_COLUMNS,
@@ -22,7 +23,11 @@ from leadloom.constants import (
 )
 from leadloom.functions.text import flag
 from leadloom.operators import enrich, ids, replies, requests, rules, store
+from leadloom.schemas import schema
 from leadloom.session import materialise
+from leadloom.sources.batches import BatchStore
+
+JOB_NAME = "lead_intake"
 
 
 @dataclass(frozen=True)
@@ -42,13 +47,15 @@ class IntakeOptions:
     """Settings of the intake.
 
     `label_check` adds `label_error` (NULL when the body passes) to a request frame; by default
-    every body passes. `lookups` are the specs of the master lookups.
+    every body passes. `lookups` are the specs of the master lookups. `echo` maps the names of the
+    echo row to question codes.
     """
 
     partner_kind: str = PARTNER_KIND
     date_formats: tuple[str, ...] = DATE_FORMATS
     lookups: Sequence[enrich.LookupSpec] = field(default_factory=enrich.address_lookups)
     label_check: Callable[[DataFrame], DataFrame] | None = None
+    echo: Mapping[str, str] = field(default_factory=lambda: {c.lower(): c for c in LEAD_CODES})
 
 
 @dataclass(frozen=True)
@@ -61,6 +68,8 @@ class Intake:
     status_log: DataFrame
     request_log: DataFrame
     response_log: DataFrame
+    # With every reply goes the wide row of the request as it arrived.
+    echoes: DataFrame
 
 
 def read_requests(
@@ -115,6 +124,10 @@ def read_requests(
                 for c in LEAD_CODES
                 if c not in ("ORDER_ID", "ID_NAME")
             ],
+            # For the request log and the echo row, which need no second parsing.
+            "body",
+            F.col("order_id").alias("named_order"),
+            F.struct(*[requests.param(c).alias(n) for n, c in options.echo.items()]).alias("echo"),
         )
     )
 
@@ -124,13 +137,15 @@ def judge_requests(
     masters: Masters,
     leads: DataFrame,
     options: IntakeOptions = IntakeOptions(),
+    read: DataFrame | None = None,
 ) -> DataFrame:
     """Add `own_code`: the outcome of every request before duplicates within the batch.
 
-    The wide requests are written once: the joins below read some of their columns again, which
-    must not parse the bodies again.
+    The wide requests are written once (or given as `read`): the joins below read some of their
+    columns again, which must not parse the bodies again.
     """
-    wide = materialise(read_requests(batch, masters, options), "read")
+    wide = materialise(read_requests(batch, masters, options), "read") if read is None else read
+    wide = wide.drop("body", "named_order", "echo")
     wide = rules.check_id_number(wide)
     wide = rules.check_partner(wide, masters.partners, options.partner_kind)
     tables = {"zipcodes": masters.zipcodes, "districts": masters.districts}
@@ -182,6 +197,7 @@ def validate_requests(
     acq_start: int = 1,
     transaction_start: int = 1,
     options: IntakeOptions = IntakeOptions(),
+    read: DataFrame | None = None,
 ) -> DataFrame:
     """One row per request with outcome, message, ids, mapped addresses and sub zip codes.
 
@@ -189,7 +205,7 @@ def validate_requests(
     their columns twice.
     """
     judged = materialise(
-        translate_requests(judge_requests(batch, masters, leads, options), masters), "judged"
+        translate_requests(judge_requests(batch, masters, leads, options, read), masters), "judged"
     )
     final = rules.check_batch_duplicates(judged).withColumn(
         "error_detail", F.when(F.col("response_code") == F.col("own_code"), F.col("error_detail"))
@@ -213,9 +229,10 @@ def ingest(
     transaction_start: int = 1,
     options: IntakeOptions = IntakeOptions(),
 ) -> Intake:
-    """Validate a batch and derive the six outputs from one written result."""
+    """Validate a batch and derive the seven outputs; the bodies are parsed once."""
+    read = materialise(read_requests(batch, masters, options), "read")
     validated = materialise(
-        validate_requests(batch, masters, leads, acq_start, transaction_start, options),
+        validate_requests(batch, masters, leads, acq_start, transaction_start, options, read),
         "validated",
     )
     answered = replies.lead_replies(validated)
@@ -224,6 +241,59 @@ def ingest(
         lead_requests=store.store_requests(validated, as_of),
         leads=store.store_leads(validated, as_of),
         status_log=store.open_status(validated, as_of),
-        request_log=replies.log_requests(requests.with_members(batch), as_of),
+        request_log=replies.log_requests(read.withColumn("order_id", F.col("named_order")), as_of),
         response_log=replies.log_lead_replies(answered, as_of),
+        echoes=read.select("request_id", "echo.*"),
     )
+
+
+_STORED = {
+    "lead_requests": "lead_requests",
+    "leads": "leads",
+    "status_log": "status_log",
+    "request_log": "api_request_log",
+    "response_log": "api_response_log",
+}
+_COUNTERS = StructType(
+    [StructField("acq_next", LongType()), StructField("transaction_next", LongType())]
+)
+
+
+def stored_rows(batches: BatchStore, output: str) -> DataFrame:
+    """Rows of one output of all committed batches."""
+    return batches.read(output, schema(_STORED[output]))
+
+
+def commit_intake(
+    batches: BatchStore,
+    batch_id: str,
+    batch: DataFrame,
+    masters: Masters,
+    now: Callable[[], datetime],
+    options: IntakeOptions = IntakeOptions(),
+) -> bool:
+    """Ingest a batch against the committed ones and commit all its results at once.
+
+    Ids continue from the committed batches, so a batch that is run again after a failure gets the
+    same ids. False if the batch is committed already. The job log gets START and END, or ERROR.
+    """
+
+    def outputs() -> dict[str, DataFrame]:
+        # One row per batch, reduced to one.
+        last = batches.read("counters", _COUNTERS).agg(
+            F.coalesce(F.max("acq_next"), F.lit(1)),
+            F.coalesce(F.max("transaction_next"), F.lit(1)),
+        )
+        acq_start, transaction_start = last.first()
+        leads = stored_rows(batches, "leads")
+        result = ingest(batch, masters, leads, now(), acq_start, transaction_start, options)
+        counts = result.replies.agg(
+            (F.count("*") + acq_start).alias("acq_next"),
+            (F.count_if(F.col("responseCode") == SUCCESS) + transaction_start).alias(
+                "transaction_next"
+            ),
+        )
+        tables = {name: getattr(result, name) for name in (*_STORED, "replies", "echoes")}
+        return tables | {"counters": counts}
+
+    return batches.run(batch_id, JOB_NAME, outputs, now)

@@ -5,25 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
-
-from leadloom.constants import SUCCESS
-from leadloom.plans.ingest import Intake, IntakeOptions, Masters, ingest
-from leadloom.schemas import schema
-
-_COUNTERS = "batch long, acq_next long, transaction_next long"
-_TABLES = {
-    "lead_requests": "lead_requests",
-    "leads": "leads",
-    "status_log": "status_log",
-    "request_log": "api_request_log",
-    "response_log": "api_response_log",
-}
 
+from leadloom.plans.ingest import IntakeOptions, Masters, commit_intake
+from leadloom.sources.batches import BatchStore
 
 def start_intake(
     requests: DataFrame,
@@ -55,59 +41,6 @@ def run_batch(
     as_of: datetime,
     options: IntakeOptions = IntakeOptions(),
 ) -> None:
-    """Ingest one batch and write its results.
-
-    The folder of the batch is overwritten and only earlier batches are read, so a batch that is
-    run again after a failure gets the same ids and leaves the same rows. The counters are
-    written last.
-    """
-    spark = batch.sparkSession
-    acq_start, transaction_start = _next_ids(spark, state, batch_id)
-    result = ingest(
-        batch,
-        masters,
-        _earlier(spark, state, "leads", batch_id).drop("batch"),
-        as_of,
-        acq_start,
-        transaction_start,
-        options,
-    )
-    _write(result, state, batch_id)
-    counts = result.replies.agg(
-        F.lit(batch_id).cast("long").alias("batch"),
-        (F.count("*") + acq_start).alias("acq_next"),
-        (F.count_if(F.col("responseCode") == SUCCESS) + transaction_start).alias(
-            "transaction_next"
-        ),
-    )
-    counts.drop("batch").write.mode("overwrite").parquet(f"{state}/counters/batch={batch_id}")
-
-
-def _write(result: Intake, state: str, batch_id: int) -> None:
-    for output in (*_TABLES, "replies"):
-        rows: DataFrame = getattr(result, output)
-        rows.write.mode("overwrite").parquet(f"{state}/{output}/batch={batch_id}")
-
-
-def _next_ids(spark: SparkSession, state: str, batch_id: int) -> tuple[int, int]:
-    # One row per earlier batch, reduced to one.
-    last = _earlier(spark, state, "counters", batch_id).agg(
-        F.coalesce(F.max("acq_next"), F.lit(1)), F.coalesce(F.max("transaction_next"), F.lit(1))
-    )
-    return tuple(last.first())
-
-
-def _earlier(spark: SparkSession, state: str, output: str, batch_id: int) -> DataFrame:
-    """Rows of the batches before this one; empty before the first batch."""
-    if output == "counters":
-        columns = _COUNTERS
-    else:
-        columns = StructType([*schema(_TABLES[output]).fields, StructField("batch", LongType())])
-    root = f"{state}/{output}"
-    try:
-        stored = spark.read.schema(columns).parquet(root)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], columns)
-    return stored.filter(F.col("batch") < batch_id)
+    """Ingest one batch and commit its results; a batch that is committed already is skipped."""
+    batches = BatchStore(batch.sparkSession, state)
+    commit_intake(batches, str(batch_id), batch, masters, lambda: as_of, options)
