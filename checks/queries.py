@@ -40,6 +40,7 @@ from leadloom.plans.ingest import (
 from leadloom.plans.inquiry import inquire
 from leadloom.session import shared_folder, tune
 from leadloom.sources.batches import BatchStore
+from leadloom.sources.buckets import append_lead_keys, open_lead_keys
 from leadloom.sources.latest import LatestStatus
 from leadloom.sources.tables import DAY_OF, read_table, write_version
 
@@ -219,8 +220,7 @@ def check_dates_of_lineitem(spark, sf_dir):
     return item.select("l_orderkey", "l_linenumber", bad_date(value).alias("is_bad_date"))
 
 
-@query
-def check_duplicate(spark, sf_dir):
+def _duplicate_inputs(spark, sf_dir):
     orders = frame(spark, sf_dir, "orders")
     batch = orders.select(
         F.col("o_orderkey").cast("string").alias("request_id"),
@@ -233,6 +233,10 @@ def check_duplicate(spark, sf_dir):
         F.when(F.col("c_custkey") % 3 == 0, "3-medium").otherwise("2-high ").alias("order_id"),
         F.col("c_custkey").cast("string").alias("partner_id"),
     )
+    return batch, stored
+
+
+def _duplicates(batch, stored):
     judged = rules.check_duplicate(batch, stored).withColumns(
         {
             "own_code": F.when(F.col("o_orderstatus") == "P", "12")
@@ -245,6 +249,21 @@ def check_duplicate(spark, sf_dir):
     return rules.check_batch_duplicates(judged).select("request_id", "is_stored", "response_code")
 
 
+@query
+def check_duplicate(spark, sf_dir):
+    return _duplicates(*_duplicate_inputs(spark, sf_dir))
+
+
+@query
+def check_duplicate_bucketed(spark, sf_dir):
+    """The same against the keys of the stored leads in buckets."""
+    batch, stored = _duplicate_inputs(spark, sf_dir)
+    name = f"lead_keys_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/leadloom/{name}"
+    append_lead_keys(stored, name, path, buckets=8)
+    return _duplicates(batch, open_lead_keys(spark, name, path, buckets=8))
+
+
 @query
 def check_partner(spark, sf_dir):
     orders = frame(spark, sf_dir, "orders").select(

@@ -75,16 +75,24 @@ def check_duplicate(requests: DataFrame, leads: DataFrame) -> DataFrame:
     """Add `is_stored`: a lead of the same partner and order exists already.
 
     The stored leads are first cut down to the orders of this batch, so a small batch is sent
-    to the leads and not the other way round.
+    to the leads and not the other way round. In place of the leads there may be their keys in
+    buckets (`sources.buckets`): then the keys of the batch are sent to the buckets, and the stored
+    side is not shuffled.
     """
     order, partner = key("order_id"), key("partner_id")
-    wanted = requests.select(order.alias("order_key")).dropna().distinct()
-    stored = (
-        leads.select(order.alias("order_key"), partner.alias("partner_key"))
-        .join(wanted, "order_key", "left_semi")
-        .distinct()
-        .withColumn("is_stored", F.lit(True))
-    )
+    if set(leads.columns) == {"order_key", "partner_key"}:
+        wanted = requests.select(order.alias("order_key"), partner.alias("partner_key"))
+        stored = wanted.dropna().distinct().join(leads, ["order_key", "partner_key"], "left_semi")
+    else:
+        # Semi-joins need no distinct keys, and the comparison lets Spark send a bloom filter of
+        # the batch's keys to a large scan of the leads (a missing key passes it neither).
+        wanted = requests.select(order.alias("order_key")).where(F.col("order_key") >= "")
+        stored = (
+            leads.select(order.alias("order_key"), partner.alias("partner_key"))
+            .join(wanted, "order_key", "left_semi")
+            .distinct()
+        )
+    stored = stored.withColumn("is_stored", F.lit(True))
     keyed = requests.withColumns(
         {"order_key": spread_key("order_id", "request_id"), "partner_key": partner}
     )

@@ -15,6 +15,9 @@ _SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A scan of stored rows beyond this size is first cut by a bloom filter of a small batch's keys.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "256MB",
     # A name repeated inside a nested value of a body is no reason to refuse the typed reading.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
@@ -29,14 +32,18 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for lineage cuts: the one the cluster names, else one in the (shared) warehouse.
+    """The folder for lineage cuts that the cluster names in `spark.checkpoint.dir`.
 
-    Both are storage that the driver and all executors see; a machine-local folder is never used.
+    It must be storage that the driver and all executors see. A local session, whose driver and
+    executors are one process, may do without and gets a folder in its warehouse; a cluster that
+    names none is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
-    return named
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
