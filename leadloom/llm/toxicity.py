@@ -1,15 +1,17 @@
 """Toxicity from the nearest labelled texts by exact TF-IDF cosine.
 
-Terms are all words and word beginnings (four characters) of the labelled texts. Texts are weighted
-by TF-IDF over them, with document frequencies counted over all documents; a term whose presence
-differs between toxic and clean labelled texts weighs more, by its log-likelihood ratio.
-
-The labelled texts (a bounded sample) form a block-max inverted index: postings per term, cut into
-blocks of texts, with the largest weight of each term in each block. A query gets an upper bound for
-every block, scores the blocks with the highest bounds, and then only those whose bound reaches the
-k-th best similarity found so far; the neighbours are exact. They vote with weights that fall with
-their distance; the vote is calibrated by a logistic curve fitted to the leave-one-out votes of the
-labelled texts. Whole texts are cut into words once: their known terms are written and read again.
+Terms are all words of the labelled texts. Texts are weighted by TF-IDF over them, with document
+frequencies counted over all documents; a term whose presence differs between toxic and clean labelled
+texts weighs more, by the square of the damped (logarithmic) likelihood ratio.
+
+The labelled texts (a bounded sample) form a block-max inverted index: postings per term, blocks of
+texts, and the largest weight of each common term in each block. A query splits its terms: the most
+common ones, which together can add little to any similarity, are left out at first. The postings of
+the others give every text a lower bound, and with the block's largest weights of the terms left out an
+upper bound. The texts with the highest lower bounds are compared in full; then only those whose upper
+bound reaches the k-th best similarity found. So the neighbours are exact. They vote with weights that
+fall with their distance; the vote is calibrated by a logistic curve fitted to the leave-one-out votes
+of labelled texts. No text or vector but those of the labelled sample is written.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,23 +32,19 @@ from leadloom.llm.shared import fold, pick, rows_of, small_batches, text_of
 from leadloom.session import materialise
 
 SAMPLE = 20_000
+# So many of the labelled texts, spread by hash, calibrate the votes.
+CALIBRATED = 4_000
 NEIGHBOURS = 16
 BLOCK = 64
-START = 4
+# Common terms that add at most this much to a similarity are left out of the first bound.
+SLACK = 0.08
 _WORD = re.compile(r"\w+")
-_MARK = "^"
 _NONE = np.empty(0, dtype=np.int64)
 
 
 def terms(text: object) -> Counter:
-    """Words of the whole text and the beginnings of its longer words, with counts."""
-    found = Counter(_WORD.findall(text_of(text).lower()))
-    starts: Counter = Counter()
-    for word, n in found.items():
-        if len(word) > START:
-            starts[_MARK + word[:START]] += n
-    found.update(starts)
-    return found
+    """The words of the whole text with counts."""
+    return Counter(_WORD.findall(text_of(text).lower()))
 
 
 Vector = tuple[np.ndarray, np.ndarray]
@@ -66,47 +65,52 @@ def _ranges(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
 class Index:
     """Unit vectors of labelled texts as a block-max inverted index.
 
-    A cell holds the postings of one term in one block of texts; only cells with postings exist.
+    Postings lie by term, then text; the same entries by text serve the full comparison.
     """
 
     def __init__(self, vectors: list[Vector] | list[dict[int, float]], n_terms: int, block: int = BLOCK):
-        self.n, self.block = len(vectors), block
-        self.blocks = -(-self.n // block) if self.n else 0
+        self.n, self.block, self.n_terms = len(vectors), block, n_terms
         pairs = [_vector(v) for v in vectors]
         size = np.array([len(ids) for ids, _ in pairs], dtype=np.int64)
         term = np.concatenate([np.empty(0, np.int32), *[ids for ids, _ in pairs]])
         order = np.argsort(term, kind="stable")
-        self.text = np.repeat(np.arange(self.n, dtype=np.int32), size)[order]
-        self.weight = np.concatenate([w for _, w in pairs])[order] if pairs else np.empty(0)
-        key = term[order].astype(np.int64)
-        del order, term
-        key *= self.blocks
-        key += self.text // block
-        begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else _NONE
-        self.most = np.maximum.reduceat(self.weight, begin) if len(key) else np.empty(0)
-        self.begin = np.r_[begin, len(key)].astype(np.int32 if len(key) < 1 << 31 else np.int64)
-        key = key[begin]
-        self.start = np.searchsorted(key, np.arange(n_terms + 1) * self.blocks)
-        key %= max(1, self.blocks)
-        self.place = key.astype(np.int32)
+        text = np.repeat(np.arange(self.n, dtype=np.int32), size)[order]
+        weight = np.concatenate([np.empty(0, np.float32), *[w for _, w in pairs]])[order]
+        starts = np.searchsorted(term[order], np.arange(n_terms + 1))
+        self._fill(starts, text, weight.astype(np.float32))
+
+    def _fill(self, start: np.ndarray, text: np.ndarray, weight: np.ndarray) -> None:
+        self.start, self.text, self.weight = start, text, weight
+        self.seen = np.diff(start)
+        term = np.repeat(np.arange(self.n_terms, dtype=np.int32), self.seen)
+        order = np.argsort(text, kind="stable")
+        self.own_start = np.searchsorted(text[order], np.arange(self.n + 1))
+        self.own_term, self.own_weight = term[order], weight[order]
+        self.most = np.zeros(self.n_terms, np.float32)
+        np.maximum.at(self.most, term, weight)
+        # Terms with a posting in every block on average, by block.
+        blocks = -(-self.n // self.block)
+        self.common = np.flatnonzero(self.seen >= max(1, blocks))
+        self.row = np.full(self.n_terms, -1, np.int32)
+        self.row[self.common] = np.arange(len(self.common))
+        self.block_most = np.zeros((len(self.common), max(1, blocks)), np.float32)
+        mine = self.row[term] >= 0
+        np.maximum.at(
+            self.block_most, (self.row[term[mine]], text[mine] // self.block), weight[mine]
+        )
 
     def __getstate__(self) -> dict:
-        """Sent to tasks without what can be made again: half the bytes."""
-        small = np.min_scalar_type(self.block)
-        state = {k: v for k, v in vars(self).items() if k not in ("text", "most", "begin")}
-        state["inside"] = (self.text % self.block).astype(small)
-        state["count"] = np.diff(self.begin).astype(small)
-        state["place"] = self.place.astype(np.min_scalar_type(max(1, self.blocks)))
-        return state
+        """Sent to tasks without what can be made again."""
+        small = np.min_scalar_type(max(1, self.n))
+        return {
+            "n": self.n, "block": self.block, "n_terms": self.n_terms,
+            "seen": self.seen.astype(small), "text": self.text.astype(small), "weight": self.weight,
+        }
 
     def __setstate__(self, state: dict) -> None:
-        inside, count = state.pop("inside"), state.pop("count")
-        vars(self).update(state)
-        self.place = self.place.astype(np.int32)
-        self.begin = np.r_[0, np.cumsum(count, dtype=np.int64)]
-        self.text = np.repeat(self.place, count) * np.int32(self.block) + inside
-        first = self.begin[:-1]
-        self.most = np.maximum.reduceat(self.weight, first) if len(first) else np.empty(0)
+        self.n, self.block, self.n_terms = state["n"], state["block"], state["n_terms"]
+        start = np.r_[0, np.cumsum(state["seen"], dtype=np.int64)]
+        self._fill(start, state["text"].astype(np.int32), state["weight"])
 
     def nearest(
         self, vector: Vector | dict[int, float], k: int, leave: int = -1
@@ -115,43 +119,45 @@ class Index:
         if leave >= 0:
             return without(self.nearest(vector, k + 1), leave, k)
         ids, weights = _vector(vector)
-        if not len(ids) or not self.blocks:
+        if not len(ids) or not self.n:
             return np.empty(0, dtype=np.int64), np.empty(0)
-        count = self.start[ids + 1] - self.start[ids]
-        cells, factor = _ranges(self.start[ids], count), np.repeat(weights, count)
-        place = self.place[cells]
-        bound = np.bincount(place, factor * self.most[cells].astype(float), minlength=self.blocks)
-        live = np.flatnonzero(bound > 0)
-        first = live if len(live) <= 4 else live[np.argpartition(-bound[live], 3)[:4]]
-        score = self._scores(cells, factor, place, first)
-        found = score[score > 0]
-        if len(found) >= k:
-            # No block whose bound is below the k-th best so far can hold a nearer text.
-            live = live[bound[live] >= np.partition(found, -k)[-k] - 1e-9]
-        rest = np.setdiff1d(live, first, assume_unique=True)
-        if len(rest):
-            score = score + self._scores(cells, factor, place, rest)
-        texts = np.flatnonzero(score > 0)
-        values = score[texts]
-        if len(texts) > k:
-            close = values >= np.partition(values, -k)[-k] - 1e-9
-            texts, values = texts[close], values[close]
+        seen = self.seen[ids]
+        by_seen = np.argsort(-seen, kind="stable")
+        added = np.cumsum((weights * self.most[ids])[by_seen])
+        few = int(np.searchsorted(added, SLACK, side="right"))
+        late, early = by_seen[:few], by_seen[few:]
+        post = _ranges(self.start[ids[early]], seen[early])
+        low = np.bincount(
+            self.text[post],
+            np.repeat(weights[early], seen[early]) * self.weight[post],
+            minlength=self.n,
+        )
+        rows = self.row[ids[late]]
+        known = rows >= 0
+        more = weights[late][known] @ self.block_most[rows[known]]
+        more = more + (weights[late] * self.most[ids[late]])[~known].sum()
+        high = low + np.repeat(more, self.block)[: self.n] + 1e-6
+        query = np.zeros(self.n_terms)
+        query[ids] = weights
+        first = np.flatnonzero(high > 1e-6)
+        if len(first) > 4 * k:
+            first = first[np.argpartition(-low[first], 4 * k)[: 4 * k]]
+        values = self._compared(query, first)
+        least = np.partition(values, -k)[-k] if len(values) >= k else 0.0
+        rest = np.flatnonzero((high >= least) & (high > 1e-6))
+        rest = np.setdiff1d(rest, first, assume_unique=True)
+        texts = np.concatenate([first, rest])
+        values = np.concatenate([values, self._compared(query, rest)])
+        texts, values = texts[values > 0], values[values > 0]
         best = np.lexsort((texts, -values.round(12)))[:k]
         return texts[best], np.minimum(values[best], 1.0)
 
-    def _scores(
-        self, cells: np.ndarray, factor: np.ndarray, place: np.ndarray, blocks: np.ndarray
-    ) -> np.ndarray:
-        """Similarities to the texts of some blocks, from their postings of the query's terms."""
-        wanted = np.zeros(self.blocks, dtype=bool)
-        wanted[blocks] = True
-        chosen = wanted[place]
-        cells, factor = cells[chosen], factor[chosen]
-        count = self.begin[cells + 1] - self.begin[cells]
-        post = _ranges(self.begin[cells], count)
-        return np.bincount(
-            self.text[post], np.repeat(factor, count) * self.weight[post].astype(float), minlength=self.n
-        )
+    def _compared(self, query: np.ndarray, texts: np.ndarray) -> np.ndarray:
+        """Similarities of the query to some texts, over all terms."""
+        count = self.own_start[texts + 1] - self.own_start[texts]
+        entries = _ranges(self.own_start[texts], count)
+        products = query[self.own_term[entries]] * self.own_weight[entries]
+        return np.bincount(np.repeat(np.arange(len(texts)), count), products, minlength=len(texts))
 
 
 def without(
@@ -163,21 +169,23 @@ def without(
 
 
 class Model(NamedTuple):
-    """What was learned; `weighted` turns the counts of known terms into a unit vector."""
+    """What was learned; `weighted` turns the counts of known terms into a unit vector.
+
+    The model goes to the tasks once, as a broadcast variable whose size the sample bounds.
+    """
 
-    vocabulary: list[str]
     weight: np.ndarray
     index: Index | None
     toxic: np.ndarray
     ids: np.ndarray
     prior: float
-    slope: float
-    shift: float
     neighbours: int
+    slope: float = 1.0
+    shift: float = 0.0
 
     def weighted(self, ids: np.ndarray, counts: np.ndarray) -> Vector:
         weights = (1 + np.log(counts)) * self.weight[ids]
-        return ids, weights / np.sqrt((weights * weights).sum())
+        return ids, weights / max(np.sqrt((weights * weights).sum()), 1e-300)
 
     def vote(self, texts: np.ndarray, similarity: np.ndarray) -> float:
         """Log odds of the distance-weighted votes, drawn to the prior by one weak vote."""
@@ -238,74 +246,51 @@ def _vocabulary(counts: DataFrame, total1: int, total0: int) -> tuple[list[str],
     return found.column("term").to_pylist(), np.maximum(found.column("ratio").to_numpy(), 0.0)
 
 
-def encode(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """(doc_id, ids, counts): the known terms of every whole text, by ascending number."""
-    small_batches(docs.sparkSession)
-    whole = {t: k for k, t in enumerate(vocabulary) if not t.startswith(_MARK)}
-    starts = {t[len(_MARK) :]: k for k, t in enumerate(vocabulary) if t.startswith(_MARK)}
-
-    def known(text: object) -> list[tuple[int, int]]:
-        found: dict[int, int] = {}
-        for word, n in Counter(_WORD.findall(text_of(text).lower())).items():
-            if word in whole:
-                found[whole[word]] = n
-            if len(word) > START and word[:START] in starts:
-                k = starts[word[:START]]
-                found[k] = found.get(k, 0) + n
-        return sorted(found.items())
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in rows_of(frames):
-            pairs = [known(t) for t in frame["text"]]
-            yield pd.DataFrame(
-                {
-                    "doc_id": frame["doc_id"],
-                    "ids": [[k for k, _ in p] for p in pairs],
-                    "counts": [[n for _, n in p] for p in pairs],
-                }
-            )
-
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(
-        run, f"doc_id {id_type}, ids array<int>, counts array<long>"
-    )
+def known(text: object, numbers: dict[str, int]) -> Vector:
+    """Numbers and counts of the known terms of a whole text, by ascending number."""
+    found = sorted((numbers[t], n) for t, n in terms(text).items() if t in numbers)
+    both = np.array(found, dtype=np.int64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
 
 
-def _frequencies(encoded: DataFrame, size: int) -> tuple[np.ndarray, int]:
+def _frequencies(docs: DataFrame, numbers: Broadcast) -> tuple[np.ndarray, int]:
     """In how many of all documents each term occurs, and the number of documents."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        size = len(numbers.value)
         total = np.zeros(size + 1, dtype=np.int64)
         for frame in frames:
-            total[size] += len(frame)
-            total[:size] += np.bincount(np.concatenate([_NONE, *frame["ids"]]), minlength=size)
+            for part in rows_of(iter([frame])):
+                total[size] += len(part)
+                for text in part["text"]:
+                    total[known(text, numbers.value)[0]] += 1
         present = np.flatnonzero(total)
         yield pd.DataFrame({"k": present, "n": total[present]})
 
-    sums = encoded.select("ids").mapInPandas(run, "k int, n long").groupBy("k").agg(F.sum("n").alias("n"))
+    sums = docs.select("text").mapInPandas(run, "k int, n long").groupBy("k").agg(F.sum("n").alias("n"))
     found = sums.toArrow()
+    size = len(numbers.value)
     total = np.zeros(size + 1, dtype=np.int64)
     total[found.column("k").to_numpy()] = found.column("n").to_numpy()
     return total[:size], int(total[size])
 
 
-def _vectors(held: DataFrame, model: Model) -> pa.Table:
+def _vectors(rows: DataFrame, numbers: Broadcast, model: Model) -> pa.Table:
     """(doc_id, toxic, ids, weights) of labelled texts, numbers packed (big-endian ids sort well)."""
-    model = model._replace(vocabulary=[])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            pairs = [
-                model.weighted(np.asarray(ids, dtype=np.int64), np.asarray(counts, dtype=np.int64))
-                for ids, counts in zip(frame["ids"], frame["counts"], strict=True)
-            ]
+        for frame in rows_of(frames):
+            pairs = [model.weighted(*known(t, numbers.value)) for t in frame["text"]]
             yield frame[["doc_id", "toxic"]].assign(
                 ids=[ids.astype(">i4").tobytes() for ids, _ in pairs],
                 weights=[w.astype("<f4").tobytes() for _, w in pairs],
             )
 
-    id_type = held.schema["doc_id"].dataType.simpleString()
-    return held.mapInPandas(run, f"doc_id {id_type}, toxic int, ids binary, weights binary").toArrow()
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    found = rows.select("doc_id", "toxic", "text").mapInPandas(
+        run, f"doc_id {id_type}, toxic int, ids binary, weights binary"
+    )
+    return found.toArrow()
 
 
 def _calibrated(votes: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
@@ -324,21 +309,31 @@ def _calibrated(votes: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
     return max(0.05, float(w[0])), float(w[1])
 
 
+class Fitted(NamedTuple):
+    """A model and the numbers of its terms, both held by the tasks, and the curve of its votes."""
+
+    model: Broadcast
+    numbers: Broadcast
+    slope: float = 1.0
+    shift: float = 0.0
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
     sample: int = SAMPLE,
     neighbours: int = NEIGHBOURS,
-) -> tuple[Model, DataFrame]:
+    calibrated: int = CALIBRATED,
+) -> Fitted:
     """Learn from rows (doc_id, toxic) and the texts (doc_id, text) they name.
 
-    The model, and the known terms of `docs` (see `encode`), written once: they give the document
-    frequencies and the labelled vectors, and `predict` takes them.
-
-    At most about `sample` labelled rows are used, spread by hash; what is gathered on the driver is
-    bounded by it. Where no labelled text has a term, or only one class is labelled, every score is
-    the share of toxic labels (0.5 without any label).
+    At most about `sample` labelled rows are used and `calibrated` of them calibrate the votes, spread
+    by hash; what is gathered on the driver is bounded by that and by the length of these texts.
+    Labels without id or value are left out; of repeated labels the greatest counts; repeated ids give
+    a labelled text each. Where no labelled text has a term, or only one class is labelled, or a table
+    has no rows, every score is the share of toxic labels (0.5 without any label).
     """
+    context = docs.sparkSession.sparkContext
     small_batches(docs.sparkSession)
     marked = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL")
     marked = marked.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -351,77 +346,68 @@ def fit(
     total0 = sum(n for t, n in totals.items() if not t)
     prior = total1 / (total1 + total0) if total1 + total0 else 0.5
     vocabulary, ratio = _vocabulary(_term_counts(rows), total1, total0)
-    model = Model([], np.empty(0), None, np.empty(0), np.empty(0), prior, 1.0, 0.0, neighbours)
-    encoded = encode(docs, vocabulary)
+    model = Model(np.empty(0), None, np.empty(0), np.empty(0), prior, neighbours)
+    numbers = context.broadcast({t: k for k, t in enumerate(vocabulary)})
     if not vocabulary:
-        return model, encoded
-    encoded = materialise(encoded, "toxic-encoded")
-    seen, n = _frequencies(encoded, len(vocabulary))
-    weight = (np.log((n + 1) / (seen + 1)) + 1.0) * (1.0 + ratio)
-    model = model._replace(vocabulary=vocabulary, weight=weight)
-    del ratio, weight, seen
-    held = encoded.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "ids", "counts")
-    found = _vectors(held, model)
+        return Fitted(context.broadcast(model), numbers)
+    seen, n = _frequencies(docs, numbers)
+    weight = (np.log((n + 1) / (seen + 1)) + 1.0) * (1.0 + np.log1p(ratio)) ** 2
+    model = model._replace(weight=weight)
+    found = _vectors(rows, numbers, model)
     # Similar texts side by side, so that bounds of blocks are tight; a fixed order.
-    rows = sorted(
+    held = sorted(
         zip(*[found.column(c).to_pylist() for c in ("ids", "weights", "toxic", "doc_id")], strict=True),
         key=lambda r: (*r[:3], str(r[3])),
     )
     del found
     points = [
-        (np.frombuffer(ids, ">i4").astype(np.int32), np.frombuffer(weights, "<f4")) for ids, weights, _, _ in rows
+        (np.frombuffer(ids, ">i4").astype(np.int32), np.frombuffer(weights, "<f4")) for ids, weights, _, _ in held
     ]
-    toxic = np.array([float(r[2] > 0) for r in rows])
-    model = model._replace(toxic=toxic, ids=np.array([r[3] for r in rows]))
-    del rows
+    toxic = np.array([float(r[2] > 0) for r in held])
+    model = model._replace(toxic=toxic, ids=np.array([r[3] for r in held]))
+    del held
     model = model._replace(index=Index(points, len(vocabulary)))
     del points
-    slope, shift = _calibrated(*_left_out(held, model))
-    return model._replace(slope=slope, shift=shift), encoded
+    sent = context.broadcast(model)
+    some = _sampled(rows, calibrated)
+    slope, shift = _calibrated(*_left_out(some, Fitted(sent, numbers)))
+    return Fitted(sent, numbers, slope, shift)
 
 
-def _left_out(held: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """The votes for the labelled texts, each without itself, and their labels."""
-    model = model._replace(vocabulary=[])
+def _left_out(rows: DataFrame, fitted: Fitted) -> tuple[np.ndarray, np.ndarray]:
+    """The votes for labelled texts, each without itself, and their labels."""
 
-    def vote(name: object, ids: np.ndarray, counts: np.ndarray) -> float:
-        found = model.index.nearest(model.weighted(ids, counts), model.neighbours + 1)
+    def vote(name: object, text: object) -> float:
+        model = fitted.model.value
+        vector = model.weighted(*known(text, fitted.numbers.value))
+        found = model.index.nearest(vector, model.neighbours + 1)
         # The text itself: among rows of one id, the most similar.
         own = np.flatnonzero(model.ids[found[0]] == name)
         return model.vote(*without(found, found[0][own[0]] if len(own) else -1, model.neighbours))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            found = [
-                vote(name, np.asarray(ids, dtype=np.int64), np.asarray(counts, dtype=np.int64))
-                for name, ids, counts in zip(frame["doc_id"], frame["ids"], frame["counts"], strict=True)
-            ]
+        for frame in rows_of(frames):
+            found = [vote(d, t) for d, t in zip(frame["doc_id"], frame["text"], strict=True)]
             yield pd.DataFrame({"vote": np.array(found, dtype=float), "toxic": frame["toxic"] > 0})
 
-    found = held.mapInPandas(run, "vote double, toxic boolean").toArrow()
+    found = rows.mapInPandas(run, "vote double, toxic boolean").toArrow()
     found = found.sort_by([("vote", "ascending"), ("toxic", "ascending")])
     return found.column("vote").to_numpy(), found.column("toxic").to_numpy().astype(float)
 
 
-def predict(encoded: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score, neighbours, similarities) of the rows of `encode`; row by row.
+def predict(docs: DataFrame, fitted: Fitted) -> DataFrame:
+    """(doc_id, score, neighbours, similarities) of rows (doc_id, text); row by row.
 
-    Rows of one batch with the same known terms are searched once.
+    Null and empty texts have no neighbours. Equal texts of one batch are searched once.
     """
-    small_batches(encoded.sparkSession)
-    id_type = encoded.schema["doc_id"].dataType.simpleString()
-    model = model._replace(vocabulary=[])
+    small_batches(docs.sparkSession)
+    id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            done: dict[bytes, tuple] = {}
-            found = []
-            for ids, counts in zip(frame["ids"], frame["counts"], strict=True):
-                ids, counts = np.asarray(ids, dtype=np.int64), np.asarray(counts, dtype=np.int64)
-                same = ids.tobytes() + counts.tobytes()
-                if same not in done:
-                    done[same] = model.score(ids, counts)
-                found.append(done[same])
+        model = fitted.model.value._replace(slope=fitted.slope, shift=fitted.shift)
+        for frame in rows_of(frames):
+            done = {t: model.score(*known(t, fitted.numbers.value)) for t in set(map(text_of, frame["text"]))}
+            found = [done[text_of(t)] for t in frame["text"]]
             yield pd.DataFrame(
                 {
                     "doc_id": frame["doc_id"],
@@ -431,7 +417,7 @@ def predict(encoded: DataFrame, model: Model) -> DataFrame:
                 }
             )
 
-    return encoded.mapInPandas(
+    return docs.select("doc_id", "text").mapInPandas(
         run, f"doc_id {id_type}, score double, neighbours array<{id_type}>, similarities array<double>"
     )
 
@@ -439,11 +425,14 @@ def predict(encoded: DataFrame, model: Model) -> DataFrame:
 def score(
     docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, sample: int = SAMPLE
 ) -> DataFrame:
-    """(doc_id, held_out, score, predicted, neighbours, similarities): one row per input row."""
+    """(doc_id, held_out, score, predicted, neighbours, similarities): one row per input row.
+
+    Null and empty texts count as without terms; repeated rows get equal scores; an id may be null;
+    a table without rows gives none.
+    """
     rows = pick(docs, doc_id="doc_id", text="text")
     marked = pick(labels, doc_id="doc_id", toxic="toxic").where(fold(F.col("doc_id"), folds) != held)
-    model, encoded = fit(rows, marked, sample)
-    found = predict(encoded, model)
+    found = predict(rows, fit(rows, marked, sample))
     return found.select(
         "doc_id",
         (fold(F.col("doc_id"), folds) == held).alias("held_out"),
