@@ -60,7 +60,11 @@ def units(text: Column) -> Column:
 
 
 def _lane_sums() -> list[Column]:
-    """The sum of the vectors of a group's units (columns `paragraph` and `sentence`)."""
+    """The sum of the vectors of a group's units (columns `paragraph` and `sentence`).
+
+    A packed lane is summed in two parts, the fields below the highest one and that one, so that
+    the sums of 2**40 units still fit 63 bits; `_reduced` puts them together.
+    """
     sums = []
     for half in range(WIDE // 2):
         # A single-column hash of a missing paragraph would be the seed: those add nothing.
@@ -69,18 +73,37 @@ def _lane_sums() -> list[Column]:
         high = F.when(F.col("paragraph").isNotNull(), F.shiftrightunsigned(value, 32))
         sums += [F.sum(low).alias(f"w{2 * half}"), F.sum(high).alias(f"w{2 * half + 1}")]
     for k in range(PACKED):
-        packed = None
+        packed = F.lit(0).cast("long")
+        highest = F.lit(0).cast("long")
         for j in range(FIELDS):
             lane = k * FIELDS + j
             if lane >= SKETCH:
                 break
             bit = F.shiftrightunsigned(F.col(f"h{lane // 64}"), lane % 64).bitwiseAND(F.lit(1))
-            field = F.shiftleft(bit, j * FIELD_BITS)
-            packed = field if packed is None else packed + field
-        sums.append(F.sum(packed).alias(f"s{k}"))
+            if j == FIELDS - 1:
+                highest = bit
+            else:
+                packed = packed + F.shiftleft(bit, j * FIELD_BITS)
+        sums += [F.sum(packed).alias(f"s{k}"), F.sum(highest).alias(f"top{k}")]
     return [*sums, F.count(F.lit(1)).alias("n")]
 
 
+def _reduced(sums: DataFrame, keys: list[str]) -> DataFrame:
+    """The lanes modulo their powers of two, from the sums."""
+    shift = (FIELDS - 1) * FIELD_BITS
+    lanes = {x: F.pmod(F.col(x), F.lit(_modulus(x))) for x in _LANES}
+    for k in range(PACKED):
+        top = F.pmod(F.col(f"top{k}"), F.lit(1 << FIELD_BITS))
+        whole = F.pmod(F.col(f"s{k}"), F.lit(_PACKED_MOD)) + F.shiftleft(top, shift)
+        lanes[f"s{k}"] = F.pmod(whole, F.lit(_PACKED_MOD))
+    return sums.select(*keys, *[lane.alias(x) for x, lane in lanes.items()])
+
+
+def _summed(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The lanes per `keys` of rows with `paragraph` and `sentence`."""
+    return _reduced(_hashed(rows).groupBy(*keys).agg(*_lane_sums()), keys)
+
+
 def _hashed(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {f"h{i}": F.xxhash64(F.lit(101 + i), F.col("sentence")) for i in range(SKETCH // 64)}
@@ -93,10 +116,7 @@ def lanes_of(df: DataFrame, keys: list[str], text: Column) -> DataFrame:
     The sums are partial sums per task before any shuffle, so a text of any length leaves one row.
     """
     rows = df.select(*keys, F.explode(units(text)).alias("unit")).select(*keys, "unit.*")
-    sums = _hashed(rows).groupBy(*keys).agg(*_lane_sums())
-    return sums.withColumns(
-        {x: F.pmod(F.col(x), F.lit(_modulus(x))) for x in _LANES if x.startswith("w")}
-    )
+    return _summed(rows, keys)
 
 
 def encode(lane: object = F.col) -> Column:

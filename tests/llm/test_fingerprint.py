@@ -71,3 +71,20 @@ def test_homomorphic(spark):
     ).first()
     assert row["both"] == prints[0] and row["less"] == prints[2]
     assert "Python" not in fingerprint.edited_neighbours(frame)._jdf.queryExecution().toString()
+
+
+def test_many_units_do_not_overflow(spark):
+    """Ten million paragraphs; the sum over parts equals the fingerprint of the whole."""
+
+    def fingerprint_of(n):
+        rows = spark.range(n).select(
+            F.lit(1).alias("key"), F.lit("").alias("paragraph"), F.lit("").alias("sentence")
+        )
+        return fingerprint._summed(rows, ["key"]).select(fingerprint.encode()).first()[0]
+
+    parts = fingerprint_of(9_000_000), fingerprint_of(1_000_000)
+    row = spark.range(1).select(
+        fingerprint.combine(F.lit(parts[0]), F.lit(parts[1])).alias("both"),
+    ).first()
+    assert row["both"] == fingerprint_of(10_000_000)
+    assert len(row["both"]) == len(parts[0])
