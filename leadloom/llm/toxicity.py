@@ -37,7 +37,7 @@ CALIBRATED = 4_000
 NEIGHBOURS = 16
 BLOCK = 64
 # Common terms that add at most this much to a similarity are left out of the first bound.
-SLACK = 0.08
+SLACK = 0.2
 _WORD = re.compile(r"\w+")
 _NONE = np.empty(0, dtype=np.int64)
 
@@ -82,6 +82,8 @@ class Index:
     def _fill(self, start: np.ndarray, text: np.ndarray, weight: np.ndarray) -> None:
         self.start, self.text, self.weight = start, text, weight
         self.seen = np.diff(start)
+        # The weights of the query at hand by term; all zero between queries.
+        self.query = np.zeros(self.n_terms)
         term = np.repeat(np.arange(self.n_terms, dtype=np.int32), self.seen)
         order = np.argsort(text, kind="stable")
         self.own_start = np.searchsorted(text[order], np.arange(self.n + 1))
@@ -137,26 +139,26 @@ class Index:
         more = weights[late][known] @ self.block_most[rows[known]]
         more = more + (weights[late] * self.most[ids[late]])[~known].sum()
         high = low + np.repeat(more, self.block)[: self.n] + 1e-6
-        query = np.zeros(self.n_terms)
-        query[ids] = weights
+        self.query[ids] = weights
         first = np.flatnonzero(high > 1e-6)
-        if len(first) > 4 * k:
-            first = first[np.argpartition(-low[first], 4 * k)[: 4 * k]]
-        values = self._compared(query, first)
+        if len(first) > 2 * k:
+            first = first[np.argpartition(-low[first], 2 * k)[: 2 * k]]
+        values = self._compared(first)
         least = np.partition(values, -k)[-k] if len(values) >= k else 0.0
         rest = np.flatnonzero((high >= least) & (high > 1e-6))
         rest = np.setdiff1d(rest, first, assume_unique=True)
         texts = np.concatenate([first, rest])
-        values = np.concatenate([values, self._compared(query, rest)])
+        values = np.concatenate([values, self._compared(rest)])
+        self.query[ids] = 0.0
         texts, values = texts[values > 0], values[values > 0]
         best = np.lexsort((texts, -values.round(12)))[:k]
         return texts[best], np.minimum(values[best], 1.0)
 
-    def _compared(self, query: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    def _compared(self, texts: np.ndarray) -> np.ndarray:
         """Similarities of the query to some texts, over all terms."""
         count = self.own_start[texts + 1] - self.own_start[texts]
         entries = _ranges(self.own_start[texts], count)
-        products = query[self.own_term[entries]] * self.own_weight[entries]
+        products = self.query[self.own_term[entries]] * self.own_weight[entries]
         return np.bincount(np.repeat(np.arange(len(texts)), count), products, minlength=len(texts))
 
 
