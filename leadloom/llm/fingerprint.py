@@ -7,12 +7,12 @@ not matter, and a paragraph is inserted or deleted by adding or subtracting its
 The vector of a paragraph has two parts:
 
 * eight lanes modulo 2**32, each from a hash of the whole paragraph: they decide equality;
-* 128 lanes that count bits of the hashes of the paragraph's sentences, three lanes packed into one
+* 128 lanes that count bits of the hashes of the paragraph's sentences, two lanes packed into one
   number modulo 2**60. They are a linear sketch of the multiset of sentences: with S a lane's count
   and n the number of sentences, the values 2S - n of two texts have a cosine that estimates how
   much the two multisets have in common (error about 1 / sqrt(128)).
 
-A last lane counts the sentences modulo 2**60. Lanes of the sketch hold up to 2**20 - 1 sentences;
+A last lane counts the sentences modulo 2**60. Lanes of the sketch hold up to 2**30 - 1 sentences;
 beyond that they run into each other, which leaves equality right and makes likeness less exact.
 """
 
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from leadloom.llm.shared import pick
 
 WIDE = 8
-FIELDS = 3
-FIELD_BITS = 20
+FIELDS = 2
+FIELD_BITS = 30
 SKETCH = 128
 PACKED = -(-SKETCH // FIELDS)
 _WIDE_MOD = 1 << 32
@@ -62,8 +62,7 @@ def units(text: Column) -> Column:
 def _lane_sums() -> list[Column]:
     """The sum of the vectors of a group's units (columns `paragraph` and `sentence`).
 
-    A packed lane is summed in two parts, the fields below the highest one and that one, so that
-    the sums of 2**40 units still fit 63 bits; `_reduced` puts them together.
+    A unit adds at most 2**30 + 1 to a packed lane, so the sums of 2**32 units fit 63 bits.
     """
     sums = []
     for half in range(WIDE // 2):
@@ -73,35 +72,22 @@ def _lane_sums() -> list[Column]:
         high = F.when(F.col("paragraph").isNotNull(), F.shiftrightunsigned(value, 32))
         sums += [F.sum(low).alias(f"w{2 * half}"), F.sum(high).alias(f"w{2 * half + 1}")]
     for k in range(PACKED):
-        packed = F.lit(0).cast("long")
-        highest = F.lit(0).cast("long")
+        packed = None
         for j in range(FIELDS):
             lane = k * FIELDS + j
             if lane >= SKETCH:
                 break
             bit = F.shiftrightunsigned(F.col(f"h{lane // 64}"), lane % 64).bitwiseAND(F.lit(1))
-            if j == FIELDS - 1:
-                highest = bit
-            else:
-                packed = packed + F.shiftleft(bit, j * FIELD_BITS)
-        sums += [F.sum(packed).alias(f"s{k}"), F.sum(highest).alias(f"top{k}")]
+            field = F.shiftleft(bit, j * FIELD_BITS)
+            packed = field if packed is None else packed + field
+        sums.append(F.sum(packed).alias(f"s{k}"))
     return [*sums, F.count(F.lit(1)).alias("n")]
 
 
-def _reduced(sums: DataFrame, keys: list[str]) -> DataFrame:
-    """The lanes modulo their powers of two, from the sums."""
-    shift = (FIELDS - 1) * FIELD_BITS
-    lanes = {x: F.pmod(F.col(x), F.lit(_modulus(x))) for x in _LANES}
-    for k in range(PACKED):
-        top = F.pmod(F.col(f"top{k}"), F.lit(1 << FIELD_BITS))
-        whole = F.pmod(F.col(f"s{k}"), F.lit(_PACKED_MOD)) + F.shiftleft(top, shift)
-        lanes[f"s{k}"] = F.pmod(whole, F.lit(_PACKED_MOD))
-    return sums.select(*keys, *[lane.alias(x) for x, lane in lanes.items()])
-
-
 def _summed(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The lanes per `keys` of rows with `paragraph` and `sentence`."""
-    return _reduced(_hashed(rows).groupBy(*keys).agg(*_lane_sums()), keys)
+    sums = _hashed(rows).groupBy(*keys).agg(*_lane_sums())
+    return sums.withColumns({x: F.pmod(F.col(x), F.lit(_modulus(x))) for x in _LANES})
 
 
 def _hashed(df: DataFrame) -> DataFrame:
