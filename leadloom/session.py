@@ -41,7 +41,7 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local["):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
 
