@@ -4,14 +4,15 @@ Terms are all words of the labelled texts. Texts are weighted by TF-IDF over the
 frequencies counted over all documents; a term whose presence differs between toxic and clean labelled
 texts weighs more, by the square of the damped (logarithmic) likelihood ratio.
 
-The labelled texts (a bounded sample) form a block-max inverted index: postings per term, blocks of
-texts, and the largest weight of each common term in each block. A query splits its terms: the most
-common ones, which together can add little to any similarity, are left out at first. The postings of
-the others give every text a lower bound, and with the block's largest weights of the terms left out an
-upper bound. The texts with the highest lower bounds are compared in full; then only those whose upper
-bound reaches the k-th best similarity found. So the neighbours are exact. They vote with weights that
-fall with their distance; the vote is calibrated by a logistic curve fitted to the leave-one-out votes
-of labelled texts. No text or vector but those of the labelled sample is written.
+The labelled texts (a bounded sample) form a block-max inverted index: postings per term for most terms;
+for common ones, blocks of texts with the weights of these terms side by side, and the largest weight of
+each term in each block. The postings of a query's other terms give every text a lower bound, and with
+the largest weights of its common terms every block has an upper bound. Queries are searched some at a
+time: the blocks with the highest bounds are opened, which gives a first value for the k-th best
+similarity of each query, then those that can reach it for any of them. The best are compared in full, so
+the neighbours are exact. They vote with weights that fall with their distance; the vote is calibrated by
+a logistic curve fitted to the leave-one-out votes of labelled texts.
+No text or vector but those of the labelled sample is written.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -36,8 +38,13 @@ SAMPLE = 20_000
 CALIBRATED = 4_000
 NEIGHBOURS = 16
 BLOCK = 64
-# Common terms that add at most this much to a similarity are left out of the first bound.
-SLACK = 0.2
+# A term is common if one of so many texts has it: its weights then take at most so many numbers a posting.
+COMMON = 8
+# Similarities are first summed with less precision; the best are summed again.
+_ROUNDING = 1e-5
+# So many texts are searched together, and so many blocks opened first for each.
+QUERIES = 64
+_FIRST_BLOCKS = 2
 _WORD = re.compile(r"\w+")
 _NONE = np.empty(0, dtype=np.int64)
 
@@ -88,18 +95,16 @@ class Index:
         order = np.argsort(text, kind="stable")
         self.own_start = np.searchsorted(text[order], np.arange(self.n + 1))
         self.own_term, self.own_weight = term[order], weight[order]
-        self.most = np.zeros(self.n_terms, np.float32)
-        np.maximum.at(self.most, term, weight)
-        # Terms with a posting in every block on average, by block.
-        blocks = -(-self.n // self.block)
-        self.common = np.flatnonzero(self.seen >= max(1, blocks))
+        # The weights of common terms: block, term, text within the block.
+        blocks = max(1, -(-self.n // self.block))
+        common = np.flatnonzero(self.seen >= max(1, self.n // COMMON))
         self.row = np.full(self.n_terms, -1, np.int32)
-        self.row[self.common] = np.arange(len(self.common))
-        self.block_most = np.zeros((len(self.common), max(1, blocks)), np.float32)
+        self.row[common] = np.arange(len(common))
         mine = self.row[term] >= 0
-        np.maximum.at(
-            self.block_most, (self.row[term[mine]], text[mine] // self.block), weight[mine]
-        )
+        self.cells = np.zeros((blocks, len(common), self.block), np.float32)
+        at = text[mine]
+        self.cells[at // self.block, self.row[term[mine]], at % self.block] = weight[mine]
+        self.block_most = np.ascontiguousarray(self.cells.max(axis=2).T)
 
     def __getstate__(self) -> dict:
         """Sent to tasks without what can be made again."""
@@ -120,39 +125,52 @@ class Index:
         """The `k` most similar texts (without `leave`), ties by position; similarity above 0."""
         if leave >= 0:
             return without(self.nearest(vector, k + 1), leave, k)
-        ids, weights = _vector(vector)
-        if not len(ids) or not self.n:
-            return np.empty(0, dtype=np.int64), np.empty(0)
-        seen = self.seen[ids]
-        by_seen = np.argsort(-seen, kind="stable")
-        added = np.cumsum((weights * self.most[ids])[by_seen])
-        few = int(np.searchsorted(added, SLACK, side="right"))
-        late, early = by_seen[:few], by_seen[few:]
-        post = _ranges(self.start[ids[early]], seen[early])
-        low = np.bincount(
-            self.text[post],
-            np.repeat(weights[early], seen[early]) * self.weight[post],
-            minlength=self.n,
-        )
-        rows = self.row[ids[late]]
-        known = rows >= 0
-        more = weights[late][known] @ self.block_most[rows[known]]
-        more = more + (weights[late] * self.most[ids[late]])[~known].sum()
-        high = low + np.repeat(more, self.block)[: self.n] + 1e-6
-        self.query[ids] = weights
-        first = np.flatnonzero(high > 1e-6)
-        if len(first) > 2 * k:
-            first = first[np.argpartition(-low[first], 2 * k)[: 2 * k]]
-        values = self._compared(first)
-        least = np.partition(values, -k)[-k] if len(values) >= k else 0.0
-        rest = np.flatnonzero((high >= least) & (high > 1e-6))
-        rest = np.setdiff1d(rest, first, assume_unique=True)
-        texts = np.concatenate([first, rest])
-        values = np.concatenate([values, self._compared(rest)])
-        self.query[ids] = 0.0
-        texts, values = texts[values > 0], values[values > 0]
-        best = np.lexsort((texts, -values.round(12)))[:k]
-        return texts[best], np.minimum(values[best], 1.0)
+        return next(self.search([_vector(vector)], k))
+
+    def search(self, vectors: list[Vector], k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The `k` most similar texts of every vector, in blocks of queries."""
+        for at in range(0, len(vectors), QUERIES):
+            yield from self._batch(vectors[at : at + QUERIES], k)
+
+    def _batch(self, vectors: list[Vector], k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        blocks, terms_, size = self.cells.shape
+        # Sums over the terms seen so far; with the common terms once a block is opened.
+        sums = np.zeros((len(vectors), blocks, size), np.float32)
+        shares = np.zeros((len(vectors), terms_), np.float32)
+        for q, (ids, weights) in enumerate(vectors):
+            rows = self.row[ids]
+            rare = rows < 0
+            seen = self.seen[ids[rare]]
+            post = _ranges(self.start[ids[rare]], seen)
+            products = np.repeat(weights[rare], seen) * self.weight[post]
+            sums[q].ravel()[:] = np.bincount(self.text[post], products, minlength=blocks * size)
+            shares[q, rows[~rare]] = weights[~rare]
+        best = sums.max(axis=2)
+        high = best + shares @ self.block_most + 2 * _ROUNDING
+        first = min(_FIRST_BLOCKS, blocks)
+        opened = np.unique(np.argpartition(-high, first - 1, axis=1)[:, :first])
+        closed = np.ones(blocks, dtype=bool)
+        while len(opened):
+            for b in opened:
+                sums[:, b] += shares @ self.cells[b]
+            closed[opened] = False
+            best[:, opened] = sums[:, opened].max(axis=2)
+            # The k-th best block maximum bounds the k-th best similarity.
+            least = np.zeros(len(vectors), np.float32)
+            if blocks >= k:
+                least = np.partition(best, -k, axis=1)[:, -k]
+            opened = np.flatnonzero(closed & (high >= least[:, None]).any(axis=0))
+        for (ids, weights), reached, low in zip(vectors, sums.reshape(len(vectors), -1), least, strict=True):
+            texts = np.flatnonzero((reached > 0) & (reached >= low - 2 * _ROUNDING))
+            if len(texts) > k:
+                found = reached[texts]
+                texts = texts[found >= np.partition(found, -k)[-k] - 2 * _ROUNDING]
+            self.query[ids] = weights
+            values = self._compared(texts)
+            self.query[ids] = 0.0
+            texts, values = texts[values > 0], values[values > 0]
+            order = np.lexsort((texts, -values.round(12)))[:k]
+            yield texts[order], np.minimum(values[order], 1.0)
 
     def _compared(self, texts: np.ndarray) -> np.ndarray:
         """Similarities of the query to some texts, over all terms."""
@@ -196,12 +214,14 @@ class Model(NamedTuple):
         share = np.clip(share, 1e-4, 1 - 1e-4)
         return float(np.log(share / (1 - share)))
 
-    def score(self, ids: np.ndarray, counts: np.ndarray) -> tuple[float, list, list]:
+    def scores(self, counted: list[Vector]) -> Iterator[tuple[float, list, list]]:
+        """Score, neighbours and similarities of texts given by numbers and counts of known terms."""
         if self.index is None:
-            return self.prior, [], []
-        texts, similarity = self.index.nearest(self.weighted(ids, counts), self.neighbours)
-        raw = self.slope * self.vote(texts, similarity) + self.shift
-        return float(1 / (1 + np.exp(-raw))), self.ids[texts].tolist(), similarity.tolist()
+            yield from [(self.prior, [], [])] * len(counted)
+            return
+        for texts, similarity in self.index.search([self.weighted(*c) for c in counted], self.neighbours):
+            raw = self.slope * self.vote(texts, similarity) + self.shift
+            yield float(1 / (1 + np.exp(-raw))), self.ids[texts].tolist(), similarity.tolist()
 
 
 def _sampled(labels: DataFrame, most: int) -> DataFrame:
@@ -250,9 +270,11 @@ def _vocabulary(counts: DataFrame, total1: int, total0: int) -> tuple[list[str],
 
 def known(text: object, numbers: dict[str, int]) -> Vector:
     """Numbers and counts of the known terms of a whole text, by ascending number."""
-    found = sorted((numbers[t], n) for t, n in terms(text).items() if t in numbers)
-    both = np.array(found, dtype=np.int64).reshape(-1, 2)
-    return both[:, 0], both[:, 1]
+    found = terms(text)
+    ids = np.fromiter(map(numbers.get, found, repeat(-1)), np.int64, len(found))
+    counts = np.fromiter(found.values(), np.int64, len(found))
+    order = np.argsort(ids)[np.count_nonzero(ids < 0) :]
+    return ids[order], counts[order]
 
 
 def _frequencies(docs: DataFrame, numbers: Broadcast) -> tuple[np.ndarray, int]:
@@ -265,7 +287,9 @@ def _frequencies(docs: DataFrame, numbers: Broadcast) -> tuple[np.ndarray, int]:
             for part in rows_of(iter([frame])):
                 total[size] += len(part)
                 for text in part["text"]:
-                    total[known(text, numbers.value)[0]] += 1
+                    words = set(_WORD.findall(text_of(text).lower()))
+                    found = np.fromiter(map(numbers.value.get, words, repeat(-1)), np.int64, len(words))
+                    total[found[found >= 0]] += 1
         present = np.flatnonzero(total)
         yield pd.DataFrame({"k": present, "n": total[present]})
 
@@ -379,17 +403,17 @@ def fit(
 def _left_out(rows: DataFrame, fitted: Fitted) -> tuple[np.ndarray, np.ndarray]:
     """The votes for labelled texts, each without itself, and their labels."""
 
-    def vote(name: object, text: object) -> float:
-        model = fitted.model.value
-        vector = model.weighted(*known(text, fitted.numbers.value))
-        found = model.index.nearest(vector, model.neighbours + 1)
-        # The text itself: among rows of one id, the most similar.
-        own = np.flatnonzero(model.ids[found[0]] == name)
-        return model.vote(*without(found, found[0][own[0]] if len(own) else -1, model.neighbours))
+    def votes(model: Model, frame: pd.DataFrame) -> Iterator[float]:
+        vectors = [model.weighted(*known(t, fitted.numbers.value)) for t in frame["text"]]
+        near = model.index.search(vectors, model.neighbours + 1)
+        for name, found in zip(frame["doc_id"], near, strict=True):
+            # The text itself: among rows of one id, the most similar.
+            own = np.flatnonzero(model.ids[found[0]] == name)
+            yield model.vote(*without(found, found[0][own[0]] if len(own) else -1, model.neighbours))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in rows_of(frames):
-            found = [vote(d, t) for d, t in zip(frame["doc_id"], frame["text"], strict=True)]
+            found = list(votes(fitted.model.value, frame))
             yield pd.DataFrame({"vote": np.array(found, dtype=float), "toxic": frame["toxic"] > 0})
 
     found = rows.mapInPandas(run, "vote double, toxic boolean").toArrow()
@@ -408,7 +432,9 @@ def predict(docs: DataFrame, fitted: Fitted) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = fitted.model.value._replace(slope=fitted.slope, shift=fitted.shift)
         for frame in rows_of(frames):
-            done = {t: model.score(*known(t, fitted.numbers.value)) for t in set(map(text_of, frame["text"]))}
+            texts = list(dict.fromkeys(map(text_of, frame["text"])))
+            counted = [known(t, fitted.numbers.value) for t in texts]
+            done = dict(zip(texts, model.scores(counted), strict=True))
             found = [done[text_of(t)] for t in frame["text"]]
             yield pd.DataFrame(
                 {

@@ -3,6 +3,7 @@ from __future__ import annotations
 import pickle
 
 import numpy as np
+import pytest
 
 from leadloom.llm import toxicity
 from leadloom.llm.shared import table
@@ -10,7 +11,8 @@ from tests.conftest import SF
 from tests.llm.cases import documents, empty
 
 
-def test_index_is_exact(monkeypatch):
+@pytest.mark.parametrize("common", [1, 12, 1000])
+def test_index_is_exact(monkeypatch, common):
     random = np.random.default_rng(2)
     vectors = []
     for _ in range(700):
@@ -18,13 +20,15 @@ def test_index_is_exact(monkeypatch):
         w = random.random(len(ids)) + 0.1
         vectors.append(dict(zip(ids.tolist(), (w / np.sqrt((w * w).sum())).tolist(), strict=True)) if len(ids) else {})
     vectors += vectors[:50]
+    # From all terms common to none.
+    monkeypatch.setattr(toxicity, "COMMON", common)
+    monkeypatch.setattr(toxicity, "_FIRST_BLOCKS", 2)
     index = toxicity.Index(vectors, 40, block=16)
     dense = np.zeros((len(vectors), 40))
     for k, v in enumerate(vectors):
         dense[k, list(v)] = list(v.values())
     for k in range(0, len(vectors), 7):
         for leave in (-1, k):
-            monkeypatch.setattr(toxicity, "SLACK", (0.0, 0.08, 0.6)[k % 3])
             texts, values = index.nearest(vectors[k], 9, leave=leave)
             score = dense @ dense[k]
             if leave >= 0:
