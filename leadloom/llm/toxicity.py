@@ -64,9 +64,10 @@ def _vector(found: Vector | dict[int, float]) -> Vector:
     return np.fromiter(found, np.int64, len(found)), np.fromiter(found.values(), float, len(found))
 
 
-def _ranges(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """The numbers of several stretches, one after the other."""
-    return np.arange(count.sum()) + np.repeat(begin - np.cumsum(count) + count, count)
+def _stretches(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Several stretches of an array, one after the other."""
+    pieces = [values[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+    return np.concatenate([values[:0], *pieces])
 
 
 class Index:
@@ -76,24 +77,38 @@ class Index:
     """
 
     def __init__(self, vectors: list[Vector] | list[dict[int, float]], n_terms: int, block: int = BLOCK):
-        self.n, self.block, self.n_terms = len(vectors), block, n_terms
         pairs = [_vector(v) for v in vectors]
         size = np.array([len(ids) for ids, _ in pairs], dtype=np.int64)
         term = np.concatenate([np.empty(0, np.int32), *[ids for ids, _ in pairs]])
-        order = np.argsort(term, kind="stable")
-        text = np.repeat(np.arange(self.n, dtype=np.int32), size)[order]
-        weight = np.concatenate([np.empty(0, np.float32), *[w for _, w in pairs]])[order]
-        starts = np.searchsorted(term[order], np.arange(n_terms + 1))
-        self._fill(starts, text, weight.astype(np.float32))
-
-    def _fill(self, start: np.ndarray, text: np.ndarray, weight: np.ndarray) -> None:
-        self.start, self.text, self.weight = start, text, weight
-        self.seen = np.diff(start)
+        weight = np.concatenate([np.empty(0, np.float32), *[w for _, w in pairs]])
+        self._post(size, term, weight, n_terms, block)
+
+    @classmethod
+    def of(cls, size: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int) -> Index:
+        """From the numbers of terms by text and all terms and weights, text after text."""
+        index = cls.__new__(cls)
+        index._post(size, term, weight, n_terms, BLOCK)
+        return index
+
+    def _post(
+        self, size: np.ndarray, term: np.ndarray, weight: np.ndarray, n_terms: int, block: int
+    ) -> None:
+        self.n, self.block, self.n_terms = len(size), block, n_terms
+        order = np.argsort(term, kind="stable").astype(np.int32 if len(term) < 1 << 31 else np.int64)
+        self.text = np.repeat(np.arange(self.n, dtype=np.int32), size)[order]
+        self.weight = weight.astype(np.float32)[order]
+        self.seen = np.bincount(term, minlength=n_terms)
+        self.start = np.r_[0, np.cumsum(self.seen)]
+        self.cells = None
+
+    def _open(self) -> None:
+        """What a search needs besides the postings; made where the first search runs."""
         # The weights of the query at hand by term; all zero between queries.
         self.query = np.zeros(self.n_terms)
+        text, weight = self.text, self.weight
         term = np.repeat(np.arange(self.n_terms, dtype=np.int32), self.seen)
         order = np.argsort(text, kind="stable")
-        self.own_start = np.searchsorted(text[order], np.arange(self.n + 1))
+        self.own_start = np.r_[0, np.cumsum(np.bincount(text, minlength=self.n))]
         self.own_term, self.own_weight = term[order], weight[order]
         # The weights of common terms: block, term, text within the block.
         blocks = max(1, -(-self.n // self.block))
@@ -116,8 +131,9 @@ class Index:
 
     def __setstate__(self, state: dict) -> None:
         self.n, self.block, self.n_terms = state["n"], state["block"], state["n_terms"]
-        start = np.r_[0, np.cumsum(state["seen"], dtype=np.int64)]
-        self._fill(start, state["text"].astype(np.int32), state["weight"])
+        self.seen = state["seen"].astype(np.int64)
+        self.start = np.r_[0, np.cumsum(self.seen)]
+        self.text, self.weight, self.cells = state["text"].astype(np.int32), state["weight"], None
 
     def nearest(
         self, vector: Vector | dict[int, float], k: int, leave: int = -1
@@ -129,6 +145,8 @@ class Index:
 
     def search(self, vectors: list[Vector], k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The `k` most similar texts of every vector, in blocks of queries."""
+        if self.cells is None:
+            self._open()
         for at in range(0, len(vectors), QUERIES):
             yield from self._batch(vectors[at : at + QUERIES], k)
 
@@ -140,10 +158,11 @@ class Index:
         for q, (ids, weights) in enumerate(vectors):
             rows = self.row[ids]
             rare = rows < 0
-            seen = self.seen[ids[rare]]
-            post = _ranges(self.start[ids[rare]], seen)
-            products = np.repeat(weights[rare], seen) * self.weight[post]
-            sums[q].ravel()[:] = np.bincount(self.text[post], products, minlength=blocks * size)
+            stretch = self.start[ids[rare]], self.start[ids[rare] + 1]
+            products = np.repeat(weights[rare], self.seen[ids[rare]])
+            products *= _stretches(self.weight, *stretch)
+            held = _stretches(self.text, *stretch)
+            sums[q].ravel()[:] = np.bincount(held, products, minlength=blocks * size)
             shares[q, rows[~rare]] = weights[~rare]
         best = sums.max(axis=2)
         high = best + shares @ self.block_most + 2 * _ROUNDING
@@ -174,10 +193,10 @@ class Index:
 
     def _compared(self, texts: np.ndarray) -> np.ndarray:
         """Similarities of the query to some texts, over all terms."""
-        count = self.own_start[texts + 1] - self.own_start[texts]
-        entries = _ranges(self.own_start[texts], count)
-        products = self.query[self.own_term[entries]] * self.own_weight[entries]
-        return np.bincount(np.repeat(np.arange(len(texts)), count), products, minlength=len(texts))
+        stretch = self.own_start[texts], self.own_start[texts + 1]
+        products = self.query[_stretches(self.own_term, *stretch)] * _stretches(self.own_weight, *stretch)
+        owner = np.repeat(np.arange(len(texts)), stretch[1] - stretch[0])
+        return np.bincount(owner, products, minlength=len(texts))
 
 
 def without(
@@ -249,10 +268,24 @@ def _term_counts(rows: DataFrame) -> DataFrame:
     return counted.groupBy("term").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
 
 
-def _vocabulary(counts: DataFrame, total1: int, total0: int) -> tuple[list[str], np.ndarray]:
+class _Numbered:
+    """A column of terms that reaches the tasks as the numbers of its terms."""
+
+    def __init__(self, names: pa.ChunkedArray):
+        self.names = names
+
+    def __reduce__(self) -> tuple:
+        return _numbers, (self.names,)
+
+
+def _numbers(names: pa.ChunkedArray) -> dict[str, int]:
+    return {t: k for k, t in enumerate(names.to_pylist())}
+
+
+def _vocabulary(counts: DataFrame, total1: int, total0: int) -> tuple[pa.ChunkedArray, np.ndarray]:
     """All terms, the most common first, and the log-likelihood ratio of each."""
     if not total1 or not total0:
-        return [], np.empty(0)
+        return pa.chunked_array([[]], pa.string()), np.empty(0)
     cell = lambda seen, expected: F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
     n = total1 + total0
     both = F.col("n1") + F.col("n0")
@@ -265,7 +298,7 @@ def _vocabulary(counts: DataFrame, total1: int, total0: int) -> tuple[list[str],
     )
     found = counts.select("term", both.alias("n"), ratio.alias("ratio")).toArrow()
     found = found.sort_by([("n", "descending"), ("term", "ascending")])
-    return found.column("term").to_pylist(), np.maximum(found.column("ratio").to_numpy(), 0.0)
+    return found.column("term"), np.maximum(found.column("ratio").to_numpy(), 0.0)
 
 
 def known(text: object, numbers: dict[str, int]) -> Vector:
@@ -277,11 +310,10 @@ def known(text: object, numbers: dict[str, int]) -> Vector:
     return ids[order], counts[order]
 
 
-def _frequencies(docs: DataFrame, numbers: Broadcast) -> tuple[np.ndarray, int]:
+def _frequencies(docs: DataFrame, numbers: Broadcast, size: int) -> tuple[np.ndarray, int]:
     """In how many of all documents each term occurs, and the number of documents."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        size = len(numbers.value)
         total = np.zeros(size + 1, dtype=np.int64)
         for frame in frames:
             for part in rows_of(iter([frame])):
@@ -295,7 +327,6 @@ def _frequencies(docs: DataFrame, numbers: Broadcast) -> tuple[np.ndarray, int]:
 
     sums = docs.select("text").mapInPandas(run, "k int, n long").groupBy("k").agg(F.sum("n").alias("n"))
     found = sums.toArrow()
-    size = len(numbers.value)
     total = np.zeros(size + 1, dtype=np.int64)
     total[found.column("k").to_numpy()] = found.column("n").to_numpy()
     return total[:size], int(total[size])
@@ -319,6 +350,13 @@ def _vectors(rows: DataFrame, numbers: Broadcast, model: Model) -> pa.Table:
     return found.toArrow()
 
 
+def _unpacked(column: pa.ChunkedArray, packed: str, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """How many values each cell of packed numbers holds, and all of them."""
+    pieces = [np.frombuffer(v.as_buffer(), packed) for part in column.chunks for v in part]
+    size = np.array([len(p) for p in pieces], dtype=np.int64)
+    return size, np.concatenate([np.empty(0, kind), *pieces]).astype(kind)
+
+
 def _calibrated(votes: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
     """Slope and shift of the logistic curve from votes to labels (a few Newton steps)."""
     target = np.where(toxic > 0, 1 - 1 / (toxic.sum() + 2), 1 / ((1 - toxic).sum() + 2))
@@ -373,27 +411,24 @@ def fit(
     prior = total1 / (total1 + total0) if total1 + total0 else 0.5
     vocabulary, ratio = _vocabulary(_term_counts(rows), total1, total0)
     model = Model(np.empty(0), None, np.empty(0), np.empty(0), prior, neighbours)
-    numbers = context.broadcast({t: k for k, t in enumerate(vocabulary)})
-    if not vocabulary:
+    numbers, n_terms = context.broadcast(_Numbered(vocabulary)), len(vocabulary)
+    if not n_terms:
         return Fitted(context.broadcast(model), numbers)
-    seen, n = _frequencies(docs, numbers)
+    del vocabulary
+    seen, n = _frequencies(docs, numbers, n_terms)
     weight = (np.log((n + 1) / (seen + 1)) + 1.0) * (1.0 + np.log1p(ratio)) ** 2
     model = model._replace(weight=weight)
     found = _vectors(rows, numbers, model)
     # Similar texts side by side, so that bounds of blocks are tight; a fixed order.
-    held = sorted(
-        zip(*[found.column(c).to_pylist() for c in ("ids", "weights", "toxic", "doc_id")], strict=True),
-        key=lambda r: (*r[:3], str(r[3])),
+    found = found.sort_by([(c, "ascending") for c in ("ids", "weights", "toxic", "doc_id")])
+    size, term = _unpacked(found.column("ids"), ">i4", np.int32)
+    _, share = _unpacked(found.column("weights"), "<f4", np.float32)
+    model = model._replace(
+        toxic=(found.column("toxic").to_numpy() > 0).astype(float),
+        ids=found.column("doc_id").to_numpy(),
+        index=Index.of(size, term, share, n_terms),
     )
-    del found
-    points = [
-        (np.frombuffer(ids, ">i4").astype(np.int32), np.frombuffer(weights, "<f4")) for ids, weights, _, _ in held
-    ]
-    toxic = np.array([float(r[2] > 0) for r in held])
-    model = model._replace(toxic=toxic, ids=np.array([r[3] for r in held]))
-    del held
-    model = model._replace(index=Index(points, len(vocabulary)))
-    del points
+    del found, term, share
     sent = context.broadcast(model)
     some = _sampled(rows, calibrated)
     slope, shift = _calibrated(*_left_out(some, Fitted(sent, numbers)))

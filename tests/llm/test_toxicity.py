@@ -43,6 +43,8 @@ def test_index_survives_sending():
     vectors = [{int(t): float(random.random()) for t in random.choice(30, 4, replace=False)} for _ in range(200)]
     for index in (toxicity.Index(vectors, 30, block=16), toxicity.Index([], 3)):
         sent = pickle.loads(pickle.dumps(index))
+        index._open()
+        sent._open()
         for name, value in vars(index).items():
             assert np.array_equal(getattr(sent, name), value), name
 
