@@ -38,8 +38,9 @@ RULES = (
     ("net/es/", "block"),
     ("net/fr/", "block"),
 )
+# Any two distinct soft terms reach this weight, so these always reject.
 LEAST_SOFT = 2
-LEAST_WEIGHT = 1.5
+LEAST_WEIGHT = 1.0
 
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _PARTS = re.compile(r"([^/?#]*)([^?#]*)", re.DOTALL)
@@ -112,8 +113,9 @@ def judge(
     """(page_id, host, path, rule, verdict, strict_terms, soft_terms): one row per input row.
 
     A missing URL, or one without `://`, has empty host and path, fits no rule and has its terms
-    counted all the same (none if missing). Rows are judged one by one; ties cannot occur between
-    different rules that fit one URL, as these are of different length.
+    counted all the same (none if missing). Rows are judged one by one, so repeated rows get equal verdicts,
+    an id may be null, and a table without rows gives none. Ties cannot occur between different
+    rules that fit one URL, as these are of different length.
     """
     small_batches(pages.sparkSession)
     by_host: dict[str, list[tuple[str, str, str]]] = {}

@@ -99,6 +99,20 @@ def test_urls(spark):
     assert got[10][2] is None
 
 
+def test_urls_soft_terms_and_edges(spark):
+    rows = [(1, "http://a.org/buy/click/"), (1, "http://a.org/buy/click/"), (2, "http://a.org/buy/buy"),
+            (None, "http://a.org/buyer/click"), (4, "http://a.org/" + "x" * 1_000_000 + "/hot-deal")]
+    frame = spark.createDataFrame(rows, "page_id long, url string")
+    got = sorted((str(r["page_id"]), r["verdict"], r["soft_terms"]) for r in urls.judge(frame).collect())
+    assert got == [
+        ("1", "block", ["buy", "click"]), ("1", "block", ["buy", "click"]), ("2", "allow", ["buy"]),
+        ("4", "block", ["deal", "hot"]), ("None", "allow", ["click"]),
+    ]
+    least = min(urls.SOFT.values())
+    assert urls.LEAST_SOFT * least >= urls.LEAST_WEIGHT
+    assert urls.judge(frame.limit(0)).count() == 0
+
+
 def test_language(spark):
     docs = table(spark, MID, "documents")
     found = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
