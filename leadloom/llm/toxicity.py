@@ -26,6 +26,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,9 +43,12 @@ BLOCK = 64
 COMMON = 8
 # Similarities are first summed with less precision; the best are summed again.
 _ROUNDING = 1e-5
+_ENTRY = np.dtype([("number", np.int32), ("weight", np.float32)])
 # So many texts are searched together, and so many blocks opened first for each.
 QUERIES = 64
 _FIRST_BLOCKS = 2
+# A task remembers the scores of about so many texts.
+_REMEMBERED = 20_000
 _WORD = re.compile(r"\w+")
 _NONE = np.empty(0, dtype=np.int64)
 
@@ -70,6 +74,13 @@ def _stretches(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.nda
     return np.concatenate([values[:0], *pieces])
 
 
+def _entries(numbers: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Numbers and weights side by side, one long value each (those are joined faster than records)."""
+    both = np.empty(len(numbers), _ENTRY)
+    both["number"], both["weight"] = numbers, weights
+    return both.view(np.int64)
+
+
 class Index:
     """Unit vectors of labelled texts as a block-max inverted index.
 
@@ -109,7 +120,8 @@ class Index:
         term = np.repeat(np.arange(self.n_terms, dtype=np.int32), self.seen)
         order = np.argsort(text, kind="stable")
         self.own_start = np.r_[0, np.cumsum(np.bincount(text, minlength=self.n))]
-        self.own_term, self.own_weight = term[order], weight[order]
+        self.own = _entries(term[order], weight[order])
+        self.posts = _entries(text, weight)
         # The weights of common terms: block, term, text within the block.
         blocks = max(1, -(-self.n // self.block))
         common = np.flatnonzero(self.seen >= max(1, self.n // COMMON))
@@ -160,9 +172,9 @@ class Index:
             rare = rows < 0
             stretch = self.start[ids[rare]], self.start[ids[rare] + 1]
             products = np.repeat(weights[rare], self.seen[ids[rare]])
-            products *= _stretches(self.weight, *stretch)
-            held = _stretches(self.text, *stretch)
-            sums[q].ravel()[:] = np.bincount(held, products, minlength=blocks * size)
+            held = _stretches(self.posts, *stretch).view(_ENTRY)
+            products *= held["weight"]
+            sums[q].ravel()[:] = np.bincount(held["number"], products, minlength=blocks * size)
             shares[q, rows[~rare]] = weights[~rare]
         best = sums.max(axis=2)
         high = best + shares @ self.block_most + 2 * _ROUNDING
@@ -180,7 +192,7 @@ class Index:
                 least = np.partition(best, -k, axis=1)[:, -k]
             opened = np.flatnonzero(closed & (high >= least[:, None]).any(axis=0))
         for (ids, weights), reached, low in zip(vectors, sums.reshape(len(vectors), -1), least, strict=True):
-            texts = np.flatnonzero((reached > 0) & (reached >= low - 2 * _ROUNDING))
+            texts = np.flatnonzero(reached >= max(low - 2 * _ROUNDING, np.float32(1e-30)))
             if len(texts) > k:
                 found = reached[texts]
                 texts = texts[found >= np.partition(found, -k)[-k] - 2 * _ROUNDING]
@@ -194,7 +206,8 @@ class Index:
     def _compared(self, texts: np.ndarray) -> np.ndarray:
         """Similarities of the query to some texts, over all terms."""
         stretch = self.own_start[texts], self.own_start[texts + 1]
-        products = self.query[_stretches(self.own_term, *stretch)] * _stretches(self.own_weight, *stretch)
+        held = _stretches(self.own, *stretch).view(_ENTRY)
+        products = self.query[held["number"]] * held["weight"]
         owner = np.repeat(np.arange(len(texts)), stretch[1] - stretch[0])
         return np.bincount(owner, products, minlength=len(texts))
 
@@ -459,18 +472,23 @@ def _left_out(rows: DataFrame, fitted: Fitted) -> tuple[np.ndarray, np.ndarray]:
 def predict(docs: DataFrame, fitted: Fitted) -> DataFrame:
     """(doc_id, score, neighbours, similarities) of rows (doc_id, text); row by row.
 
-    Null and empty texts have no neighbours. Equal texts of one batch are searched once.
+    Null and empty texts have no neighbours. Equal texts are searched once, as long as a task
+    remembers them (by hashes of 128 bits).
     """
     small_batches(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = fitted.model.value._replace(slope=fitted.slope, shift=fitted.shift)
+        done: dict[bytes, tuple] = {}
         for frame in rows_of(frames):
-            texts = list(dict.fromkeys(map(text_of, frame["text"])))
-            counted = [known(t, fitted.numbers.value) for t in texts]
-            done = dict(zip(texts, model.scores(counted), strict=True))
-            found = [done[text_of(t)] for t in frame["text"]]
+            if len(done) > _REMEMBERED:
+                done.clear()
+            keys = [xxhash.xxh128_digest(text_of(t).encode("utf-8", "surrogatepass")) for t in frame["text"]]
+            new = {key: t for key, t in zip(keys, frame["text"], strict=True) if key not in done}
+            counted = [known(t, fitted.numbers.value) for t in new.values()]
+            done.update(zip(new, model.scores(counted), strict=True))
+            found = [done[key] for key in keys]
             yield pd.DataFrame(
                 {
                     "doc_id": frame["doc_id"],
