@@ -13,7 +13,12 @@ from typing import NamedTuple
 import numpy as np
 
 HIDDEN = 24
+STREAMS = 256
+WINDOW = 32
 _CLIP = 1.0
+# Rows of a softmax worked on at a time (they stay in the cache), and the largest exponent that is safe in 32 bits.
+_ROWS = 256
+_EXPONENT = 80.0
 
 
 class Layout(NamedTuple):
@@ -77,15 +82,50 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
-def step(weights: Weights, tokens: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, tuple]:
-    """One step for a batch of tokens; what the way back needs comes along."""
+def _order(values: np.ndarray) -> np.ndarray:
+    """A stable order of small numbers, by their 16 bits where they have no more."""
+    small = len(values) and values.max() < 1 << 16
+    return np.argsort(values.astype(np.uint16) if small else values, kind="stable")
+
+
+def step(weights: Weights, entered: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
+    """One step for a batch of inputs (rows of `enter` with the bias): new state, gates, and parts of both."""
     n = state.shape[1]
-    x = weights.enter[tokens] + weights.bias
     u = state @ weights.recur
-    gates = _sigmoid(x[:, : 2 * n] + u[:, : 2 * n])
+    gates = _sigmoid(entered[:, : 2 * n] + u[:, : 2 * n])
     z, r = gates[:, :n], gates[:, n:]
-    new = np.tanh(x[:, 2 * n :] + r * u[:, 2 * n :])
-    return new + z * (state - new), (state, z, r, new, u[:, 2 * n :])
+    new = np.tanh(entered[:, 2 * n :] + r * u[:, 2 * n :])
+    return new + z * (state - new), gates, new, u[:, 2 * n :]
+
+
+def _bounded(matrix: np.ndarray, bias: np.ndarray) -> bool:
+    """Whether exponentials of all logits fit: states lie within -1 and 1."""
+    return bool((np.abs(matrix).sum(axis=0) + np.abs(bias)).max(initial=0) < _EXPONENT)
+
+
+def _softmax(
+    states: np.ndarray, matrix: np.ndarray, bias: np.ndarray, chosen: np.ndarray, bounded: bool
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log of the chosen share of each row, the exponentials, and their sums."""
+    logits = states @ matrix
+    logits += bias
+    if not bounded:
+        logits -= logits.max(axis=1, keepdims=True)
+    out = logits[np.arange(len(chosen)), chosen].astype(np.float64)
+    np.exp(logits, out=logits)
+    total = logits @ np.ones(logits.shape[1], dtype=logits.dtype)
+    return out - np.log(total), logits, total
+
+
+def _column_sums(x: np.ndarray) -> np.ndarray:
+    return np.ones(len(x), dtype=x.dtype) @ x
+
+
+def _slope(share: np.ndarray, total: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Gradient of the negative log of the chosen shares by the logits, in place."""
+    share *= (1 / total)[:, None]
+    share[np.arange(len(chosen)), chosen] -= 1
+    return share
 
 
 def log_likelihood(
@@ -94,41 +134,97 @@ def log_likelihood(
     """Natural log of P(class) and, for frequent words, P(word | class), per row.
 
     With `backward`, also the gradients of the summed negative log-likelihood: those by the states
-    and those by the output weights.
+    and those by the output weights. Rows are sorted by class, so that all work is on stretches.
     """
-    rows = np.arange(len(targets))
     kind = layout.classes(targets)
-    logits = states @ weights.to_class + weights.class_bias
-    logits -= logits.max(axis=1, keepdims=True)
-    likely = np.exp(logits)
-    total = likely.sum(axis=1)
-    out = (logits[rows, kind] - np.log(total)).astype(np.float64)
-    if backward:
-        likely /= total[:, None]
-        likely[rows, kind] -= 1
-        d_states = likely @ weights.to_class.T
-        d_word, d_word_bias = np.zeros_like(weights.to_word), np.zeros_like(weights.word_bias)
-        d_class, d_class_bias = states.T @ likely, likely.sum(axis=0)
-    order = np.argsort(kind, kind="stable")
-    edges = np.searchsorted(kind[order], np.arange(layout.frequent + 1))
-    for c in range(layout.frequent):
-        mine = order[edges[c] : edges[c + 1]]
-        if not len(mine):
-            continue
-        a, b = layout.begin[c], layout.begin[c + 1]
-        inner = states[mine] @ weights.to_word[a:b].T + weights.word_bias[a:b]
-        inner -= inner.max(axis=1, keepdims=True)
-        share = np.exp(inner)
-        sums = share.sum(axis=1)
-        at = np.arange(len(mine)), targets[mine] - a
-        out[mine] += inner[at] - np.log(sums)
+    order = _order(kind)
+    states, targets, kind = states[order], targets[order], kind[order]
+    out = np.empty(len(order))
+    grads = [np.zeros_like(w) for w in (states, *weights[3:])] if backward else None
+    bounded = _bounded(weights.to_class, weights.class_bias)
+    for a in range(0, len(order), _ROWS):
+        rows = slice(a, a + _ROWS)
+        value, share, total = _softmax(
+            states[rows], weights.to_class, weights.class_bias, kind[rows], bounded
+        )
+        out[rows] = value
         if backward:
-            share /= sums[:, None]
-            share[at] -= 1
-            d_states[mine] += share @ weights.to_word[a:b]
-            d_word[a:b] = share.T @ states[mine]
-            d_word_bias[a:b] = share.sum(axis=0)
-    return out, [d_states, d_class, d_class_bias, d_word, d_word_bias] if backward else None
+            slope = _slope(share, total, kind[rows])
+            np.matmul(slope, weights.to_class.T, out=grads[0][rows])
+            grads[1] += states[rows].T @ slope
+            grads[2] += _column_sums(slope)
+    bounded = _bounded(weights.to_word.T, weights.word_bias)
+    edges = np.searchsorted(kind, np.arange(layout.frequent + 1))
+    for c in np.flatnonzero(edges[1:] > edges[:-1]):
+        a, b = layout.begin[c], layout.begin[c + 1]
+        matrix, bias = weights.to_word[a:b], weights.word_bias[a:b]
+        for first in range(edges[c], edges[c + 1], _ROWS):
+            rows = slice(first, min(first + _ROWS, edges[c + 1]))
+            chosen = targets[rows] - a
+            value, share, total = _softmax(states[rows], matrix.T, bias, chosen, bounded)
+            out[rows] += value
+            if backward:
+                slope = _slope(share, total, chosen)
+                grads[0][rows] += slope @ matrix
+                grads[3][a:b] += slope.T @ states[rows]
+                grads[4][a:b] += _column_sums(slope)
+    values = np.empty_like(out)
+    values[order] = out
+    if backward:
+        by_state = np.empty_like(grads[0])
+        by_state[order] = grads[0]
+        grads[0] = by_state
+    return values, grads
+
+
+def gradients(
+    weights: Weights, layout: Layout, table: np.ndarray, state: np.ndarray, end: int
+) -> tuple[list[np.ndarray], np.ndarray]:
+    """Gradients of the summed negative log-likelihood of one window, and the state after it.
+
+    A row of `table` is a stream's stretch of words: each is an input and the next one its target.
+    The state before the window counts as given (truncated backpropagation).
+    """
+    inputs, targets = np.ascontiguousarray(table[:, :-1].T), table[:, 1:].T
+    window, streams = inputs.shape
+    n = state.shape[1]
+    entered = weights.enter[inputs] + weights.bias
+    # A document's end starts from an empty state.
+    goes_on = (inputs != end).astype(np.float32)[:, :, None]
+    old, states, kept = (np.empty((window, streams, n), dtype=np.float32) for _ in range(3))
+    # What one unit of the state's gradient gives to both gates and the new value.
+    by, by_u = (np.empty((window, streams, 3, n), dtype=np.float32) for _ in range(2))
+    for k in range(window):
+        np.multiply(state, goes_on[k], out=old[k])
+        state, gates, new, u_new = step(weights, entered[k], old[k])
+        states[k] = state
+        z, r = gates[:, :n], gates[:, n:]
+        one_less = 1 - z
+        d_new = one_less * (1 - new * new)
+        by[k, :, 0] = (old[k] - new) * z * one_less
+        by[k, :, 1] = d_new * u_new * r * (1 - r)
+        by[k, :, 2] = d_new
+        by_u[k] = by[k]
+        by_u[k, :, 2] *= r
+        np.multiply(z, goes_on[k], out=kept[k])
+    _, grads = log_likelihood(weights, layout, states.reshape(-1, n), targets.ravel(), backward=True)
+    d_states = grads[0].reshape(window, streams, n)
+    back = np.ascontiguousarray(weights.recur.T)
+    d = np.zeros((streams, n), dtype=np.float32)
+    for k in range(window - 1, -1, -1):
+        d += d_states[k]
+        by[k] *= d[:, None]
+        by_u[k] *= d[:, None]
+        d = d * kept[k] + (by_u[k].reshape(streams, 3 * n) @ back) * goes_on[k]
+    d_x, d_u = by.reshape(-1, 3 * n), by_u.reshape(-1, 3 * n)
+    # The same inputs side by side, summed by stretches.
+    of = inputs.ravel()
+    order = _order(of)
+    of = of[order]
+    at = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+    g_enter = np.zeros_like(weights.enter)
+    g_enter[of[at]] = np.add.reduceat(d_x[order], at, axis=0)
+    return [g_enter, old.reshape(-1, n).T @ d_u, _column_sums(d_x), *grads[1:]], state
 
 
 def train(
@@ -136,23 +232,21 @@ def train(
     layout: Layout,
     stream: np.ndarray,
     end: int,
-    streams: int = 64,
-    window: int = 16,
-    epochs: int = 1,
+    streams: int = STREAMS,
+    window: int = WINDOW,
     rate: float = 0.01,
-    least_steps: int = 0,
     done: tuple[float, float] = (0.0, 1.0),
+    steps: int | None = None,
 ) -> Weights:
     """Truncated backpropagation through time over one stream of documents, from given weights.
 
     The stream is cut into parallel parts of equal length, filled up from its beginning; the state
-    is carried from window to window and set back after each document's end. Every word is an input
-    and the next one its target. `done` is the share of the whole training before and after this
-    stream; the rate falls with it.
+    is carried from window to window and set back after each document's end. All parts are gone
+    through once, or, with `steps`, until so many windows are done. `done` is the share of the whole
+    training before and after this stream; the rate falls with it.
     """
     if len(stream) < 2:
         return weights
-    hidden = weights.recur.shape[0]
     streams = max(1, min(streams, len(stream) // (4 * window)))
     length = -(-len(stream) // streams)
     round_about = np.resize(stream, streams * length + 1)
@@ -160,59 +254,28 @@ def train(
     weights = Weights(*[w.copy() for w in weights])
     first = [np.zeros_like(w) for w in weights]
     second = [np.zeros_like(w) for w in weights]
-    per_epoch = -(-length // window)
-    epochs = max(epochs, min(20, -(-least_steps // per_epoch)))
-    t, total = 0, epochs * per_epoch
-    for _ in range(epochs):
-        state = np.zeros((streams, hidden), dtype=np.float32)
-        for begin in range(0, length, window):
-            t += 1
-            inputs = table[:, begin : begin + window + 1]
-            targets, inputs = inputs[:, 1:], inputs[:, :-1]
-            kept, states = [], []
-            for k in range(targets.shape[1]):
-                # A document's end starts from an empty state.
-                state = state * (inputs[:, k : k + 1] != end).astype(np.float32)
-                state, back = step(weights, inputs[:, k], state)
-                kept.append(back)
-                states.append(state)
-            flat = np.concatenate(states)
-            _, grads = log_likelihood(weights, layout, flat, targets.T.ravel(), backward=True)
-            d_states = grads[0].reshape(len(states), streams, hidden)
-            g_recur, g_bias = np.zeros_like(weights.recur), np.zeros_like(weights.bias)
-            d, by_input = np.zeros_like(state), []
-            for k in range(len(states) - 1, -1, -1):
-                d = d + d_states[k]
-                old, z, r, new, u_new = kept[k]
-                d_new = d * (1 - z) * (1 - new**2)
-                d_z = d * (old - new) * z * (1 - z)
-                d_r = d_new * u_new * r * (1 - r)
-                d_x = np.concatenate([d_z, d_r, d_new], axis=1)
-                d_u = np.concatenate([d_z, d_r, d_new * r], axis=1)
-                by_input.append(d_x)
-                g_bias += d_x.sum(axis=0)
-                g_recur += old.T @ d_u
-                d = (d * z + d_u @ weights.recur.T) * (inputs[:, k : k + 1] != end).astype(np.float32)
-            # The same inputs side by side, summed by stretches.
-            of = inputs.T[::-1].ravel()
-            order = np.argsort(of, kind="stable")
-            found, at = np.unique(of[order], return_index=True)
-            g_enter = np.zeros_like(weights.enter)
-            g_enter[found] = np.add.reduceat(np.concatenate(by_input)[order], at, axis=0)
-            gradients = [g_enter, g_recur, g_bias, *grads[1:]]
-            share = done[0] + (done[1] - done[0]) * t / (total + 1)
-            scale = rate * (1 - 0.9 * share) * np.sqrt(1 - 0.995**t) / (1 - 0.9**t)
-            for w, g, m, v in zip(weights, gradients, first, second, strict=True):
-                g *= np.float32(16 / targets.size)
-                np.clip(g, -_CLIP, _CLIP, out=g)
-                m += np.float32(0.1) * (g - m)
-                g *= g
-                v += np.float32(0.005) * (g - v)
-                np.sqrt(v, out=g)
-                g += np.float32(1e-6)
-                np.divide(m, g, out=g)
-                g *= np.float32(scale)
-                w -= g
+    each = -(-length // window)
+    total = each if steps is None else steps
+    for t in range(1, total + 1):
+        at = (t - 1) % each
+        if not at:
+            state = np.zeros((streams, weights.recur.shape[0]), dtype=np.float32)
+        part = table[:, at * window : (at + 1) * window + 1]
+        found, state = gradients(weights, layout, part, state, end)
+        words = part.shape[0] * (part.shape[1] - 1)
+        share = done[0] + (done[1] - done[0]) * t / (total + 1)
+        scale = rate * (1 - 0.9 * share) * np.sqrt(1 - 0.995**t) / (1 - 0.9**t)
+        for w, g, m, v in zip(weights, found, first, second, strict=True):
+            g *= np.float32(16 / words)
+            np.clip(g, -_CLIP, _CLIP, out=g)
+            m += np.float32(0.1) * (g - m)
+            g *= g
+            v += np.float32(0.005) * (g - v)
+            np.sqrt(v, out=g)
+            g += np.float32(1e-6)
+            np.divide(m, g, out=g)
+            g *= np.float32(scale)
+            w -= g
     return weights
 
 
@@ -242,7 +305,7 @@ def score(
             active = int(np.searchsorted(-sizes, -at, side="left"))
             if not active:
                 break
-            state, _ = step(weights, inputs[:active], state[:active])
+            state = step(weights, weights.enter[inputs[:active]] + weights.bias, state[:active])[0]
             inputs = flat[starts[:active] + at]
             states.append(state)
             targets.append(inputs)

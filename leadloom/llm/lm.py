@@ -10,7 +10,8 @@ stretches of the vocabulary sorted by its words read backwards, so a class stand
 ending and with it mostly for a language. An unknown word counts 0.1 in its class, as in the base
 model, so both models give probabilities to the same events.
 
-The network learns from all training documents in a few rounds. In a round every task runs the same
+The network makes a fixed number of first steps over a small sample of the training documents and then
+learns from all of them in a few rounds. In a round every task runs the same
 truncated backpropagation over its own documents of that round, from the weights all share; the mean
 of the tasks' weights, by their words, starts the next round.
 """
@@ -39,6 +40,7 @@ FREQUENT_CLASSES = 48
 RARE_CLASSES = 48
 TRAIN_TOKENS = 1_500_000
 ROUNDS = 4
+WARM_STEPS, WARM_STREAMS, WARM_WINDOW = 400, 64, 16
 ADDED = 0.1
 END = b" "
 _HELD_WORDS = 1_500_000
@@ -224,27 +226,35 @@ def encode(docs: DataFrame, known: Vocabulary) -> DataFrame:
 def fit(train: DataFrame, known: Vocabulary, tokens: int = TRAIN_TOKENS) -> gru.Weights:
     """The network, from all documents of `train` (rows of `encode`).
 
-    A task holds about `tokens` words at a time and goes on from its own weights until its documents
-    are through. Up to that many words are one task's and one round's work.
+    It starts warm: one task makes WARM_STEPS small steps over a sample of about as many words as
+    they take, gone through again where there are fewer. Then every document is learned from in one
+    of the rounds, where a task holds about `tokens` words at a time and goes on from its own weights
+    until its documents are through. Both parts run alike at every size.
     """
     small_batches(train.sparkSession)
-    parts = -(-known.tokens // tokens)
-    rounds = min(ROUNDS, parts)
     weights = gru.start(known.layout)
     rows = train.select("turn", "codes")
-    for r in range(rounds):
-        own = rows.where(F.pmod("turn", F.lit(rounds)) == r).coalesce(parts)
-        weights = _round(own, known, weights, tokens, r / rounds if parts > 1 else None)
+    share = int(min(1.0, WARM_STEPS * WARM_STREAMS * WARM_WINDOW / known.tokens) * (1 << 30))
+    few = rows.where(F.pmod(F.xxhash64("turn", F.lit("warm")), F.lit(1 << 30)) < share).coalesce(1)
+    weights = _round(few, known, weights, tokens, (0.0, 0.0), warm=True)
+    for r in range(ROUNDS):
+        own = rows.where(F.pmod("turn", F.lit(ROUNDS)) == r).coalesce(-(-known.tokens // tokens))
+        weights = _round(own, known, weights, tokens, (r / ROUNDS, (r + 1) / ROUNDS))
     return weights
 
 
 def _round(
-    rows: DataFrame, known: Vocabulary, weights: gru.Weights, tokens: int, done: float | None
+    rows: DataFrame,
+    known: Vocabulary,
+    weights: gru.Weights,
+    tokens: int,
+    done: tuple[float, float],
+    warm: bool = False,
 ) -> gru.Weights:
     """One round over all rows: the mean of what the tasks learn, by their words.
 
-    `done` is the share of the training before this round; without it this round is all, and a short
-    stream is gone through several times.
+    `done` is the share of the training before and after this round. The sample of a warm start is
+    learned from as a whole.
     """
 
     end = known.end
@@ -255,11 +265,11 @@ def _round(
         # A fixed order, whatever order the rows were written in.
         held.sort()
         stream = np.concatenate([decoded(codes, known)[0] for _, codes in held])
-        if done is None:
-            return gru.train(now, known.layout, stream, end, epochs=2, least_steps=300)
-        return gru.train(
-            now, known.layout, stream, end, streams=256, window=32, done=(done, done)
-        )
+        if warm:
+            return gru.train(
+                now, known.layout, stream, end, WARM_STREAMS, WARM_WINDOW, done=done, steps=WARM_STEPS
+            )
+        return gru.train(now, known.layout, stream, end, done=done)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now, held, size, total = weights, [], 0, 0
@@ -267,7 +277,7 @@ def _round(
             for turn, codes in zip(frame["turn"], frame["codes"], strict=True):
                 held.append((turn, codes))
                 size += len(codes) // 4
-                if size >= tokens and done is not None:
+                if size >= tokens and not warm:
                     now, total = learn(held, now), total + size
                     held, size = [], 0
         if held:
