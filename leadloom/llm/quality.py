@@ -8,8 +8,9 @@ unbiased risk: with class prior p, loss l and score f the risk is
 
 where a step that finds the second term negative goes against it instead. Labels for bad texts are
 not used. The prior is estimated first: a plain classifier of positives against unlabelled texts
-is trained on one half of the sample, and on the other half p is the smallest ratio of the shares of
-unlabelled and of positive texts above a threshold, with an allowance for their random error.
+is trained on one half of the sample; p is the smallest ratio of the shares of unlabelled and of
+positive texts above a threshold, with an allowance for their random error. The shares are counted
+over the other half of the positives and over all unlabelled texts but those it was trained on.
 
 The network sees statistics of the whole text only; nothing of a row but its text is an input.
 """
@@ -22,7 +23,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadloom.llm.shared import fold, pick, rows_of, small_batches, text_of
@@ -142,24 +143,28 @@ def features(text: object) -> np.ndarray:
 WIDTH = len(features(""))
 
 
-def _table(docs: DataFrame) -> np.ndarray:
-    """Features of the texts of a bounded sample, gathered on the driver."""
+def _table(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Features and half (column `_half`) of the texts of a bounded sample, gathered on the driver."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in rows_of(frames):
-            yield pd.DataFrame({"x": [features(t).tobytes() for t in frame["text"]]})
+            found = [features(t).tobytes() for t in frame["text"]]
+            yield pd.DataFrame({"x": found, "half": frame["_half"]})
 
-    rows = docs.select("text").mapInPandas(run, "x binary").collect()
-    return np.array([np.frombuffer(r["x"], dtype=np.float32) for r in rows]).reshape(-1, WIDTH)
+    rows = docs.select("text", "_half").mapInPandas(run, "x binary, half int").collect()
+    # A fixed order, whatever order the tasks returned.
+    rows.sort(key=lambda r: (r["x"], r["half"]))
+    table = np.array([np.frombuffer(r["x"], dtype=np.float32) for r in rows]).reshape(-1, WIDTH)
+    return table, np.array([r["half"] for r in rows], dtype=np.int64)
 
 
-def _sample(rows: DataFrame, key: str, most: int) -> DataFrame:
-    """About `most` rows, or all if there are fewer: those whose hashed key is smallest."""
+def _chosen(rows: DataFrame, most: int, *keys: str) -> Column:
+    """Whether a row is one of about `most`, or of all if there are fewer: by its hashed keys."""
     n = rows.count()
     if n <= most:
-        return rows
+        return F.lit(True)
     share = int(most / n * (1 << 30))
-    return rows.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30)) < share)
+    return F.pmod(F.xxhash64(*keys, F.lit("sample")), F.lit(1 << 30)) < share
 
 
 class Net(NamedTuple):
@@ -231,17 +236,41 @@ def _train(
     return net._replace(w1=weights[0], b1=weights[1], w2=weights[2], b2=weights[3])
 
 
-def class_prior(positive: np.ndarray, unlabelled: np.ndarray, seed: int = 3) -> float:
-    """Share of good texts among the unlabelled ones, within 0.05 and 0.98."""
-    half_p, half_u = len(positive) // 2, len(unlabelled) // 2
-    net = _train(positive[:half_p], unlabelled[:half_u], None, seed, 20, 150)
-    p, u = net.raw(positive[half_p:]), net.raw(unlabelled[half_u:])
+def _counts_above(docs: DataFrame, net: Net, thresholds: np.ndarray) -> tuple[np.ndarray, int]:
+    """How many of all texts the classifier puts at or above each threshold, and their number."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = np.zeros(len(thresholds) + 1, dtype=np.int64)
+        for frame in rows_of(frames):
+            values = net.raw(np.array([features(t) for t in frame["text"]]).reshape(-1, WIDTH))
+            counts[:-1] += (values[:, None] >= thresholds).sum(axis=0)
+            counts[-1] += len(frame)
+        yield pd.DataFrame({"k": np.arange(len(counts)), "n": counts})
+
+    sums = docs.select("text").mapInPandas(run, "k int, n long").groupBy("k").agg(F.sum("n").alias("n"))
+    counts = np.zeros(len(thresholds) + 1, dtype=np.int64)
+    for r in sums.collect():
+        counts[r["k"]] = r["n"]
+    return counts[:-1], int(counts[-1])
+
+
+def class_prior(
+    positive: np.ndarray, unlabelled: np.ndarray, others: DataFrame, seed: int = 3
+) -> float:
+    """Share of good texts among the unlabelled ones, within 0.05 and 0.98.
+
+    A classifier of half the positives against `unlabelled` is fitted; `others` are all unlabelled
+    texts that it has not seen.
+    """
+    half = len(positive) // 2
+    net = _train(positive[:half], unlabelled, None, seed, 20, 150)
+    p = net.raw(positive[half:])
     thresholds = np.quantile(p, np.linspace(0, 0.95, 96))
     above_p = np.array([(p >= t).mean() for t in thresholds])
-    above_u = np.array([(u >= t).mean() for t in thresholds])
-    error = np.sqrt(np.log(40) / 2 / len(u)) + np.sqrt(np.log(40) / 2 / len(p))
-    bound = (above_u + error) / above_p
-    best = int(bound.argmin())
+    counts, n = _counts_above(others, net, thresholds)
+    above_u = counts / max(1, n)
+    error = np.sqrt(np.log(40) / 2 / max(1, n)) + np.sqrt(np.log(40) / 2 / len(p))
+    best = int(((above_u + error) / above_p).argmin())
     return float(np.clip(above_u[best] / above_p[best], 0.05, 0.98))
 
 
@@ -258,20 +287,29 @@ class Model(NamedTuple):
 def fit(
     positives: DataFrame, unlabelled: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id"
 ) -> Model:
-    """Learn from (doc_id, text) rows of good and of unknown texts, about `sample` of each at most.
+    """Learn from (doc_id, text) rows of good and of unknown texts.
 
-    With fewer than four of either nothing can be learned, and all scores are 0.5.
+    Both networks are fitted on about `sample` of each at most; the class prior is counted over all
+    unknown texts. With fewer than four of either nothing can be learned, and all scores are 0.5.
+    Repeated rows count as often as they occur; missing texts are empty.
     """
     small_batches(positives.sparkSession)
-    good, unknown = _table(_sample(positives, id_col, sample)), _table(_sample(unlabelled, id_col, sample))
+    half = F.pmod(F.xxhash64(id_col, "text", F.lit("half")), F.lit(2)).cast("int")
+    positives, unlabelled = (rows.withColumn("_half", half) for rows in (positives, unlabelled))
+    few = _chosen(unlabelled, sample, id_col, "text")
+    good, _ = _table(positives.where(_chosen(positives, sample, id_col, "text")))
+    unknown, halves = _table(unlabelled.where(few))
     if len(good) < 4 or len(unknown) < 4:
         return Model(None, 0.5)
-    # A fixed order, whatever order the tasks returned.
-    good, unknown = good[np.lexsort(good.T)], unknown[np.lexsort(unknown.T)]
     random = np.random.default_rng(11)
     random.shuffle(good)
-    random.shuffle(unknown)
-    prior = class_prior(good, unknown)
+    order = random.permutation(len(unknown))
+    unknown, halves = unknown[order], halves[order]
+    if 0 < halves.sum() < len(halves):
+        prior = class_prior(good, unknown[halves == 0], unlabelled.where(~(few & (F.col("_half") == 0))))
+    else:
+        # All rows fell into one half, as repeats of one row do.
+        prior = 0.5
     return Model(_train(good, unknown, prior, 5, EPOCHS, LEAST_STEPS), prior)
 
 
@@ -283,7 +321,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, folds: int, held: int, sam
     rows = pick(docs, doc_id="doc_id", text="text").where(train)
     good = pick(labels, doc_id="doc_id", quality="quality").where("quality = 1").where(train)
     # The sample of ids is bounded, so it may be broadcast to the documents.
-    ids = _sample(good.select("doc_id").distinct(), "doc_id", sample)
+    ids = good.select("doc_id").distinct()
+    ids = ids.where(_chosen(ids, sample, "doc_id"))
     return rows.join(F.broadcast(ids), "doc_id", "left_semi"), rows
 
 

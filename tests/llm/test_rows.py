@@ -170,3 +170,26 @@ def test_network_learns_from_all_documents(spark, tokens):
     texts = [known.inputs[[known.number[w] for w in lm.words(r["text"])]] for r in docs.collect()]
     found = gru.score(weights, known.layout, texts, known.end).sum()
     assert found > gru.score(gru.start(known.layout), known.layout, texts, known.end).sum()
+
+
+def test_class_prior_counts_all_texts(spark):
+    """The shares above the thresholds are those over all texts, in any number of tasks."""
+    docs = table(spark, MID, "documents").select("doc_id", "text").repartition(5)
+    rng = np.random.default_rng(2)
+    net = quality.Net(
+        np.zeros(quality.WIDTH), np.ones(quality.WIDTH), rng.normal(0, 0.3, (quality.WIDTH, 3)),
+        np.zeros(3), rng.normal(0, 1, 3), np.zeros(1),
+    )
+    values = net.raw(np.array([quality.features(r["text"]) for r in docs.collect()]))
+    thresholds = np.quantile(values, [0.0, 0.33, 0.9])
+    counts, n = quality._counts_above(docs, net, thresholds)
+    assert n == len(values) and counts.tolist() == [(values >= t).sum() for t in thresholds]
+    assert quality._counts_above(docs.limit(0), net, thresholds)[1] == 0
+    # About three quarters of the given documents are good; a small sample finds the same.
+    labels = table(spark, MID, "labels")
+    share = labels.agg({"quality": "avg"}).first()[0]
+    for sample in (20_000, 200):
+        model = quality.fit(*quality.training_rows(docs, labels, 3, 1, sample), sample)
+        assert abs(model.prior - share) < 0.15, (model.prior, share, sample)
+    assert {r["score"] for r in quality.score(docs, labels.limit(0)).collect()} == {0.5}
+    assert quality.score(docs.limit(0), labels).count() == 0
