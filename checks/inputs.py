@@ -62,6 +62,20 @@ EXPORT_API = {
     "state": ("STATE", "case when acq.id_status = 10 then 'failed' else 'open' end"),
 }
 
+# Fields of an API whose masters are looked up as the catalogue says: member, code, stored lookup.
+LOOKUP_API = {
+    "province": (
+        "PROVINCE",
+        "SELECT name FROM districts WHERE name = @PROVINCE AND type = 'prv' AND is_active = '1'",
+    ),
+    "city": ("CITY", "select top 1 sub_zipcode from zipcodes where city = @city"),
+    "village": (
+        "SURVEY_VILLAGE",
+        "SELECT zipcode FROM zipcodes WHERE is_active = '0' AND kelurahan = @SURVEY_VILLAGE "
+        "AND kecamatan=@SURVEY_SUB_DISTRICT",
+    ),
+}
+
 
 def _values(rows: list[tuple], names: str) -> str:
     def text(value: object) -> str:
@@ -74,8 +88,8 @@ def _values(rows: list[tuple], names: str) -> str:
 
 
 def _catalogue() -> dict[str, str]:
-    """The four catalogue tables of the three APIs above."""
-    groups = [(1, "lead_api", 1), (2, "cust_api", 1), (3, "export_api", 1)]
+    """The four catalogue tables of the APIs above."""
+    groups = [(1, "lead_api", 1), (2, "cust_api", 1), (3, "export_api", 1), (4, "lookup_api", 1)]
     questions, lists, labels = [], [], []
 
     def ask(group: int, api_name: str, code: str, **rules: object) -> None:
@@ -117,6 +131,8 @@ def _catalogue() -> dict[str, str]:
     for name, (code, lov) in EXPORT_API.items():
         ask(3, name, code, lov=lov)
     ask(3, "hidden", "PO_NO", active=0)
+    for name, (code, lov) in LOOKUP_API.items():
+        ask(4, name, code, lov=lov)
     return {
         "question_group_h": _values(groups, "group_h_id, questiongroup_name, is_active"),
         "question_group_d": _values(

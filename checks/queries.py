@@ -19,6 +19,7 @@ from leadloom.operators import (
     enrich,
     export,
     ids,
+    lookups,
     replies,
     reports,
     requests,
@@ -310,6 +311,16 @@ def master_lookup(spark, sf_dir):
     )
 
 
+@query
+def catalogue_lookups(spark, sf_dir):
+    """Three fields by the lookups stored in the catalogue, the others by those in code."""
+    tables = {n: table(spark, sf_dir, n) for n in ("zipcodes", "districts")}
+    specs = lookups.catalogue_lookups(catalogue(spark, sf_dir, active_only=True), "lookup_api", tables)
+    return enrich.master_lookup(_wide_source(spark, sf_dir), tables, specs).select(
+        "request_id", *[f"{c}_found" for c in ADDRESS_COLUMNS]
+    )
+
+
 @query
 def check_masters(spark, sf_dir):
     looked_up = _looked_up(spark, sf_dir, F.col("flag_master") == 1)
