@@ -505,9 +505,16 @@ def lead_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lead batch: one JSON body per order."""
 
     def bodies() -> DataFrame:
-        # The small test file is one task; spread it as a real batch would be.
+        # The small test file is one task; spread it as a real batch would be, while its rows are
+        # narrow: the bodies of the lead source take many times the bytes of an order.
         tasks = spark.sparkContext.defaultParallelism
-        source = frame(spark, sf_dir, "lead_source").repartition(tasks, "request_id")
+        orders = frame(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+        source = spark.sql(
+            INPUTS["lead_source"],
+            orders=orders.repartition(tasks, "o_orderkey"),
+            customer=frame(spark, sf_dir, "customer"),
+            address=frame(spark, sf_dir, "address"),
+        )
         return source.select(
             "request_id",
             F.col("k").alias("arrival_seq"),
