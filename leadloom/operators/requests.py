@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from leadloom.constants import LEAD_CODES, NAME_REQUIRED, NAME_UNREGISTERED, SYSTEM_ERROR
 from leadloom.functions.joins import lookup
-from leadloom.functions.members import first_value, members
+from leadloom.functions.members import add_members, first_text, keys_of, numbers_of
 from leadloom.functions.text import is_blank, key, spread_key
 from leadloom.operators.catalogue import answer_rules
 from leadloom.session import materialise
@@ -25,21 +25,19 @@ def with_members(requests: DataFrame) -> DataFrame:
 
     Every request keeps its row; one without a readable JSON object has NULL members.
     """
-    parsed = requests.withColumn("members", members(F.col("body")))
-    return parsed.withColumns(
-        {
-            "id_name": first_value(F.col("members"), "idName"),
-            "order_id": F.coalesce(
-                first_value(F.col("members"), "orderIdDealer"),
-                first_value(F.col("members"), "orderId"),
-            ),
-        }
-    )
+    keyed = add_members(requests).withColumn("member_keys", keys_of(F.col("members")))
+
+    def first(name: str) -> Column:
+        return first_text(F.col("members"), F.col("member_keys"), name)
+
+    return keyed.withColumns(
+        {"id_name": first("idName"), "order_id": F.coalesce(first("orderIdDealer"), first("orderId"))}
+    ).drop("member_keys")
 
 
 def shred_requests(requests: DataFrame) -> DataFrame:
     """One row per top-level member of every body."""
-    return requests.select("request_id", F.inline(members(F.col("body"))))
+    return add_members(requests).select("request_id", F.inline("members"))
 
 
 def bind(frame: DataFrame, catalogue: DataFrame) -> DataFrame:
@@ -53,32 +51,36 @@ def bind(frame: DataFrame, catalogue: DataFrame) -> DataFrame:
     rules = lookup(materialise(answer_rules(catalogue), "rules"), "api_key")
     api = spread_key("id_name", "request_id")
     matched = frame.join(rules, api == F.col("api_key"), "left").drop("api_key")
-    answers = F.flatten(
-        F.transform(
-            F.filter(F.col("members"), lambda m: m["value_type"] != "object"),
-            lambda m: F.transform(
-                F.coalesce(F.try_element_at("questions", key(m["name"])), F.array()),
-                lambda q: F.struct(
-                    q["question_code"].alias("question_code"),
-                    q["question_api"].alias("name"),
-                    m["string_value"].alias("string_value"),
-                    q["is_mandatory"].alias("is_mandatory"),
-                    q["is_date"].alias("is_date"),
-                    q["is_numeric"].alias("is_numeric"),
-                    q["max_length"].alias("max_length"),
-                ),
-            ),
+    asked = F.filter(F.col("members"), lambda m: m["value_type"] != "object")
+    found = F.transform(
+        F.col("asked")["name"],
+        lambda name: F.coalesce(F.try_element_at("questions", key(name)), F.array()),
+    )
+    # The text of a member once per question of its name.
+    texts = F.flatten(
+        F.zip_with(
+            F.col("asked")["string_value"],
+            "found",
+            lambda text, questions: F.array_repeat(text, F.size(questions)),
         )
     )
-    numbered = F.transform(
-        F.col("answers"),
-        lambda a, i: F.struct((i + 1).alias("row_num"), *[a[c].alias(c) for c in _ANSWER]),
+    # Structs are put together from arrays: inside a lambda each would be built field by field.
+    answers = F.col("answers")
+    own = {"name": answers["question_api"], "string_value": F.col("texts")}
+    fields = [own[n] if n in own else answers[n] for n in _ANSWER]
+    bound = F.when(
+        answers.isNotNull(),
+        F.arrays_zip(
+            numbers_of(answers).alias("row_num"), *[field.alias(n) for n, field in zip(_ANSWER, fields, strict=True)]
+        ),
     )
     return (
         matched.withColumn("registered", F.col("questions").isNotNull())
-        .withColumn("answers", answers)
-        .withColumn("bound", numbered)
-        .drop("questions", "answers")
+        .withColumn("asked", asked)
+        .withColumn("found", found)
+        .withColumns({"answers": F.flatten("found"), "texts": texts})
+        .withColumn("bound", bound)
+        .drop("questions", "asked", "found", "answers", "texts")
     )
 
 
@@ -107,18 +109,12 @@ def bound_rows(frame: DataFrame) -> DataFrame:
 
 def with_params(frame: DataFrame) -> DataFrame:
     """Add `params`: question code -> greatest value bound to it in that request."""
-    pairs = F.sort_array(
-        F.transform(
-            F.col("bound"),
-            lambda b: F.struct(
-                F.upper(b["question_code"]).alias("code"), b["string_value"].alias("value")
-            ),
-        )
-    )
+    codes, values = F.col("codes"), F.col("bound")["string_value"]
+    pairs = F.sort_array(F.arrays_zip(codes.alias("code"), values.alias("value")))
     # Pairs are sorted by code and value: the last pair of a code holds its greatest value.
     marked = F.zip_with(
-        F.col("pairs"),
-        F.slice("pairs", 2, F.greatest(F.size("pairs"), F.lit(0))),
+        pairs,
+        F.slice(pairs, 2, F.greatest(F.size(pairs), F.lit(0))),
         lambda pair, following: F.struct(
             pair["code"].alias("code"),
             pair["value"].alias("value"),
@@ -128,10 +124,15 @@ def with_params(frame: DataFrame) -> DataFrame:
     entries = F.transform(
         F.filter(marked, lambda m: m["is_last"]), lambda m: F.struct(m["code"], m["value"])
     )
+    # Nearly always every code is bound once, and nothing need be sorted.
+    once = F.size(F.array_distinct(codes)) == F.size(codes)
     return (
-        frame.withColumn("pairs", pairs)
-        .withColumn("params", F.map_from_entries(entries))
-        .drop("pairs")
+        frame.withColumn("codes", F.transform(F.col("bound")["question_code"], F.upper))
+        .withColumn(
+            "params",
+            F.when(once, F.map_from_arrays(codes, values)).otherwise(F.map_from_entries(entries)),
+        )
+        .drop("codes")
     )
 
 
