@@ -51,16 +51,13 @@ def latest_counts(
     if of is not None:
         wanted = of.select(*[key(name).alias(k) for name, k in zip(NAMES, KEYS, strict=True)])
         rows = rows.join(wanted.dropna(), list(KEYS), "left_semi")
-    per_date = rows.groupBy(*KEYS, "status_dt").agg(
-        F.array(
-            *[
-                F.sum(F.when(F.col("id_status") == s, F.col("n")).otherwise(0)).cast("long")
-                for s in statuses
-            ]
-        ).alias("counts")
+    return _newest(
+        rows,
+        [
+            F.sum(F.when(F.col("id_status") == s, F.col("n")).otherwise(0)).cast("long")
+            for s in statuses
+        ],
     )
-    newest = per_date.groupBy(*KEYS).agg(F.max(F.struct("status_dt", "counts")).alias("newest"))
-    return newest.select(*KEYS, "newest.status_dt", "newest.counts")
 
 
 def latest_rows(history: DataFrame) -> DataFrame:
@@ -69,10 +66,13 @@ def latest_rows(history: DataFrame) -> DataFrame:
     Its columns are those of a history that reports need (the names hold the comparable form), so
     the result can take the place of the history it was made from, alone or together with newer rows.
     """
-    counted = _keyed(history).groupBy(*KEYS, "status_dt", "id_status").agg(F.sum("n").alias("n"))
-    newest = counted.groupBy(*KEYS).agg(F.max("status_dt").alias("newest"))
-    kept = counted.join(lookup(newest, *KEYS), list(KEYS)).where("status_dt = newest")
-    return kept.select(
+    keyed = _keyed(history)
+    found = keyed.select("id_status").distinct().limit(MOST_STATUSES + 1).collect()
+    if 0 < len(found) <= MOST_STATUSES:
+        rows = _of_statuses(keyed, [r["id_status"] for r in found])
+    else:
+        rows = _of_any_status(keyed)
+    return rows.select(
         *[F.col(k).alias(name) for name, k in zip(NAMES, KEYS, strict=True)],
         "status_dt",
         "id_status",
@@ -80,6 +80,30 @@ def latest_rows(history: DataFrame) -> DataFrame:
     )
 
 
+def _of_statuses(keyed: DataFrame, statuses: Sequence[int | None]) -> DataFrame:
+    """Latest rows by one count per status (NULL where a date has none): no join of the counts."""
+    ids = [F.lit(s).cast("int") for s in statuses]
+    newest = _newest(
+        keyed, [F.sum(F.when(F.col("id_status").eqNullSafe(s), F.col("n"))) for s in ids]
+    )
+    pairs = F.arrays_zip(F.array(*ids).alias("id_status"), F.col("counts").alias("n"))
+    return newest.select(*KEYS, "status_dt", F.inline(pairs)).where("n is not null")
+
+
+def _of_any_status(keyed: DataFrame) -> DataFrame:
+    """Latest rows of any number of statuses."""
+    counted = keyed.groupBy(*KEYS, "status_dt", "id_status").agg(F.sum("n").alias("n"))
+    newest = counted.groupBy(*KEYS).agg(F.max("status_dt").alias("newest"))
+    return counted.join(lookup(newest, *KEYS), list(KEYS)).where("status_dt = newest")
+
+
+def _newest(keyed: DataFrame, counts: Sequence[Column]) -> DataFrame:
+    """(keys, status_dt, counts) of the latest date per key; `counts` are aggregates of a date."""
+    per_date = keyed.groupBy(*KEYS, "status_dt").agg(F.array(*counts).alias("counts"))
+    newest = per_date.groupBy(*KEYS).agg(F.max(F.struct("status_dt", "counts")).alias("newest"))
+    return newest.select(*KEYS, "newest.status_dt", "newest.counts")
+
+
 def status_ids(status_master: DataFrame) -> list[int]:
     """The statuses of the master, in order."""
     found = status_master.select("id_status").dropna().distinct().limit(MOST_STATUSES + 1).collect()
