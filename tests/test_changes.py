@@ -146,3 +146,17 @@ def test_update_days_changes_rows_in_place(spark, root):
     found = read_table(spark, path, "lead_requests")
     assert found.count() == 41 and found.where("message = 'seen'").count() == 4
     assert store.conform(found, "lead_requests").columns == found.columns
+
+
+def test_days_are_written_without_a_sort(spark, tmp_path):
+    """Few days in a task are written side by side; beyond that the rest is sorted, and nothing is lost."""
+    spark.sql(f"CREATE TABLE by_day (n BIGINT, day DATE) USING parquet PARTITIONED BY (day) LOCATION '{tmp_path}/by_day'")
+    try:
+        days = "SELECT id AS n, date_add(DATE'2024-01-01', CAST(id % 40 AS INT)) AS day FROM range(0, 400, 1, 1)"
+        plan = spark.sql(f"EXPLAIN INSERT INTO by_day {days}").first()[0]
+        assert "WriteFiles" in plan and "Sort" not in plan
+        spark.sql(f"INSERT INTO by_day {days}")
+        read = spark.table("by_day")
+        assert read.count() == 400 and read.where("day = date_add(DATE'2024-01-01', CAST(n % 40 AS INT))").count() == 400
+    finally:
+        spark.sql("DROP TABLE by_day")
