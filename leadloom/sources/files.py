@@ -33,3 +33,12 @@ def mark(spark: SparkSession, path: str) -> bool:
     """Create an empty file; False if it was there already."""
     system, place = _at(spark, path)
     return system.createNewFile(place)
+
+
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Give a file another place on the same file system."""
+    system, place = _at(spark, path)
+    _, there = _at(spark, target)
+    system.mkdirs(there.getParent())
+    if not system.rename(place, there):
+        raise OSError(f"cannot move {path} to {target}")

@@ -2,8 +2,8 @@
 
 The days of the changed keys are found by a semi-join that reads only key columns. These days are read
 whole, changed, and written to a staging folder inside the table (hidden from readers by its leading
-underscore). Then each staged day replaces the stored one; a day that lost all rows is removed. Files of
-all other days stay as they are.
+underscore). Then the staged files of each day replace the stored ones: they are moved, not written again.
+A day that lost all rows is removed. Files of all other days stay as they are.
 
 A staged update is either complete (`_READY` is written last) or worthless. `recover` applies complete
 ones that broke off, which is the same as applying them once, and removes the others. One writer at a
@@ -65,12 +65,20 @@ def stage(rows: DataFrame, path: str, table: str, days: list[date | None]) -> st
 
 
 def apply(spark: SparkSession, path: str, table: str, folder: str) -> None:
-    """Let the staged days replace the stored ones. Doing it again changes nothing."""
-    names = files.children(spark, f"{folder}/rows")
-    if any(n.startswith("day=") for n in names):
-        rows = read_days(spark, f"{folder}/rows", table)
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("day").parquet(path)
+    """Let the staged days replace the stored ones. Doing it again changes nothing.
+
+    Moved files carry the name of their staging folder, so that a second run tells them from those
+    they replace; each file is moved by itself, after the old ones of its day are gone.
+    """
+    mark = f"{folder.rsplit('/', 1)[-1]}-"
+    for day in files.children(spark, f"{folder}/rows"):
+        if not day.startswith("day="):
+            continue
+        for name in files.children(spark, f"{path}/{day}"):
+            if not name.startswith(mark):
+                files.remove(spark, f"{path}/{day}/{name}")
+        for name in files.children(spark, f"{folder}/rows/{day}"):
+            files.move(spark, f"{folder}/rows/{day}/{name}", f"{path}/{day}/{mark}{name}")
     for name in files.children(spark, f"{folder}/_emptied"):
         files.remove(spark, f"{path}/{name}")
     files.remove(spark, folder)

@@ -148,6 +148,35 @@ def test_update_days_changes_rows_in_place(spark, root):
     assert store.conform(found, "lead_requests").columns == found.columns
 
 
+def test_staged_files_are_moved_also_by_a_second_run(spark, root, monkeypatch):
+    path = f"{root}/leads"
+    days = [FIRST.date() + timedelta(days=n) for n in (0, 1)]
+    part = updates.of_days(read_days(spark, path, "leads"), days).drop("day")
+    folder = updates.stage(part.repartition(4).withColumn("agrmnt_no", F.lit("new")), path, "leads", days)
+    written = {n.rsplit("-", 1)[-1] for d in data_files(f"{folder}/rows").values() for n, _ in d}
+    times = sorted(t for d in data_files(f"{folder}/rows").values() for _, t in d)
+    real, calls = files.move, []
+
+    def breaks(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return real(*args)
+
+    monkeypatch.setattr(files, "move", breaks)
+    with pytest.raises(RuntimeError, match="lost"):
+        updates.apply(spark, path, "leads", folder)
+    monkeypatch.undo()
+    assert updates.recover(spark, path, "leads") == 1
+    found = read_table(spark, path, "leads")
+    assert found.count() == 41 and found.where("agrmnt_no = 'new'").count() == 8
+    after = data_files(path)
+    moved = [f for d in days for f in after[stored_day(d)]]
+    # The same files with their times: nothing was written again.
+    assert sorted(t for _, t in moved) == times
+    assert {n.rsplit("-", 1)[-1] for n, _ in moved} == written
+
+
 def test_days_are_written_without_a_sort(spark, tmp_path):
     """Few days in a task are written side by side; beyond that the rest is sorted, and nothing is lost."""
     spark.sql(f"CREATE TABLE by_day (n BIGINT, day DATE) USING parquet PARTITIONED BY (day) LOCATION '{tmp_path}/by_day'")
