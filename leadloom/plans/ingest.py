@@ -190,6 +190,35 @@ def translate_requests(judged: DataFrame, masters: Masters) -> DataFrame:
     ).drop("is_mapped")
 
 
+ROW_ID = "row_id"
+
+# What the rules and lookups read of a request.
+_JUDGED = (
+    "request_id",
+    "arrival_seq",
+    "order_id",
+    "partner_id",
+    "id_no",
+    "early_code",
+    "is_unreadable",
+    "error_detail",
+    "blank_param",
+    "bad_date_param",
+    "bad_number_param",
+    "long_param",
+    *ADDRESS_COLUMNS,
+)
+# What batch duplicates and the numbering read of a judged one.
+_COUNTED = ("request_id", "arrival_seq", "order_id", "partner_id", "own_code", "is_unreadable")
+
+
+def numbered_rows(read: DataFrame) -> DataFrame:
+    """The wide requests, written once, with a number of its own for every row."""
+    if ROW_ID in read.columns:
+        return read
+    return materialise(read.withColumn(ROW_ID, F.monotonically_increasing_id()), "read")
+
+
 def validate_requests(
     batch: DataFrame,
     masters: Masters,
@@ -201,23 +230,35 @@ def validate_requests(
 ) -> DataFrame:
     """One row per request with outcome, message, ids, mapped addresses and sub zip codes.
 
-    The judged requests are written once: batch duplicates and the numbering each read a few of
-    their columns twice.
+    The joins of the rules take only the columns that they read, batch duplicates and the numbering
+    a few of these. The rest of the wide request is joined last and once, by the number of its row,
+    as request ids may repeat. The judged requests are written once, as several of these steps read them.
     """
+    wide = numbered_rows(read_requests(batch, masters, options) if read is None else read)
     judged = materialise(
-        translate_requests(judge_requests(batch, masters, leads, options, read), masters), "judged"
-    )
-    final = rules.check_batch_duplicates(judged).withColumn(
-        "error_detail", F.when(F.col("response_code") == F.col("own_code"), F.col("error_detail"))
+        translate_requests(
+            judge_requests(batch, masters, leads, options, wide.select(ROW_ID, *_JUDGED)), masters
+        ),
+        "judged",
     )
-    numbered = ids.allocate_ids(
+    final = rules.check_batch_duplicates(judged.select(ROW_ID, *_COUNTED))
+    counted = ids.allocate_ids(
         final,
         "arrival_seq",
         F.col("response_code") == SUCCESS,
         acq_start,
         transaction_start,
+    ).select(ROW_ID, "response_code", "acq_id", "transaction_id")
+    whole = (
+        wide.drop("body", "named_order", "echo", *_JUDGED)
+        .join(judged, ROW_ID)
+        .join(counted, ROW_ID)
+        .drop(ROW_ID)
+        .withColumn(
+            "error_detail", F.when(F.col("response_code") == F.col("own_code"), F.col("error_detail"))
+        )
     )
-    return rules.with_message(numbered, masters.response_codes)
+    return rules.with_message(whole, masters.response_codes)
 
 
 def ingest(
@@ -230,7 +271,7 @@ def ingest(
     options: IntakeOptions = IntakeOptions(),
 ) -> Intake:
     """Validate a batch and derive the seven outputs; the bodies are parsed once."""
-    read = materialise(read_requests(batch, masters, options), "read")
+    read = numbered_rows(read_requests(batch, masters, options))
     validated = materialise(
         validate_requests(batch, masters, leads, acq_start, transaction_start, options, read),
         "validated",

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from checks import inputs
+from pyspark.sql import functions as F
+
+from checks import inputs, queries
 from leadloom.functions.members import add_members
 from leadloom.operators import requests
+from leadloom.plans import ingest
 from leadloom.session import tune
+from tests.conftest import SF
 
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
@@ -59,3 +63,29 @@ def test_codes_bound_once_or_twice_and_mixed_kinds(spark):
 
 def test_generated_code_stays_small_enough_to_be_compiled(spark):
     assert tune(spark).conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_wide_requests_are_shuffled_once(spark):
+    """Rules, duplicates and numbers move narrow rows; the rest of a request is joined by its row."""
+    masters, batch = queries.masters(spark, SF), inputs.lead_requests(spark, SF)
+    leads = inputs.table(spark, SF, "stored_leads", "leads")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = ingest.validate_requests(batch, masters, leads)
+        assert "full_name" in rows.columns
+        judged = [spark.read.parquet(f).columns for f in rows.inputFiles() if "/judged-" in f]
+        assert judged and not any("full_name" in columns for columns in judged)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_repeated_and_missing_request_ids_keep_their_rows(spark):
+    masters = queries.masters(spark, SF)
+    some = inputs.lead_requests(spark, SF).where("arrival_seq < 30")
+    twice = some.unionAll(some.withColumn("arrival_seq", F.col("arrival_seq") + 1000)).withColumn(
+        "request_id", F.when(F.col("arrival_seq") % 7 > 0, F.col("request_id"))
+    )
+    leads = inputs.table(spark, SF, "stored_leads", "leads")
+    found = ingest.validate_requests(twice, masters, leads)
+    assert found.count() == twice.count() == found.select("acq_id").distinct().count()
+    assert ingest.ROW_ID not in found.columns
