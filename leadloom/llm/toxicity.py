@@ -20,7 +20,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -50,12 +50,20 @@ _FIRST_BLOCKS = 2
 # A task remembers the scores of about so many texts.
 _REMEMBERED = 20_000
 _WORD = re.compile(r"\w+")
+# The words of a text of ASCII only are what these leave between blanks.
+_ASCII = {c: chr(c).lower() if chr(c).isalnum() or chr(c) == "_" else " " for c in range(128)}
 _NONE = np.empty(0, dtype=np.int64)
 
 
+def words(text: object) -> list[str]:
+    """The words of the whole text in lower case, one after the other."""
+    text = text_of(text)
+    return text.translate(_ASCII).split() if text.isascii() else _WORD.findall(text.lower())
+
+
 def terms(text: object) -> Counter:
     """The words of the whole text with counts."""
-    return Counter(_WORD.findall(text_of(text).lower()))
+    return Counter(words(text))
 
 
 Vector = tuple[np.ndarray, np.ndarray]
@@ -328,13 +336,13 @@ def _frequencies(docs: DataFrame, numbers: Broadcast, size: int) -> tuple[np.nda
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(size + 1, dtype=np.int64)
-        for frame in frames:
-            for part in rows_of(iter([frame])):
-                total[size] += len(part)
-                for text in part["text"]:
-                    words = set(_WORD.findall(text_of(text).lower()))
-                    found = np.fromiter(map(numbers.value.get, words, repeat(-1)), np.int64, len(words))
-                    total[found[found >= 0]] += 1
+        for frame in rows_of(frames):
+            total[size] += len(frame)
+            # Counted by word first: the numbers of a frame's words are looked up once each.
+            found = Counter(chain.from_iterable(set(words(text)) for text in frame["text"]))
+            ids = np.fromiter(map(numbers.value.get, found, repeat(-1)), np.int64, len(found))
+            texts = np.fromiter(found.values(), np.int64, len(found))
+            total[ids[ids >= 0]] += texts[ids >= 0]
         present = np.flatnonzero(total)
         yield pd.DataFrame({"k": present, "n": total[present]})
 

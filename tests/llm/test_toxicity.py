@@ -78,3 +78,21 @@ def test_every_term_of_the_labelled_texts_counts(spark):
     found = {r["doc_id"]: r for r in toxicity.predict(docs, fitted).collect()}
     assert all(found[k + 1]["neighbours"][0] == k for k in range(0, 12, 2))
     assert found[1]["score"] > max(found[k]["score"] for k in range(3, 12, 2))
+
+
+def test_words_of_ascii_and_other_texts():
+    random = np.random.default_rng(4)
+    every = [chr(c) for c in (*range(128), 0xAA, 0xE9, 0x130, 0x3B1, 0x660, 0x2028, 0x1F600)]
+    for n in (0, 1, 300):
+        for most in (128, len(every)):
+            text = "".join(every[k] for k in random.integers(0, most, n))
+            assert toxicity.words(text) == toxicity._WORD.findall(text.lower())
+    assert toxicity.words(None) == []
+
+
+def test_frequencies_count_each_text_once(spark):
+    texts = ["b b a", "A-b", None, "", "é b", "zz"]
+    docs = documents(spark, [(k, t, "en", "a", 1) for k, t in enumerate(texts)])
+    numbers = spark.sparkContext.broadcast({"b": 0, "a": 1, "é": 2, "none": 3})
+    seen, n = toxicity._frequencies(docs, numbers, 4)
+    assert seen.tolist() == [3, 2, 1, 0] and n == 6
