@@ -78,6 +78,17 @@ def master_lookup(
     specs = list(specs if specs is not None else address_lookups())
     if not specs:
         return requests
+    found = found_in_masters(requests, tables, specs, only_when)
+    return requests.join(found, "request_id", "left")
+
+
+def found_in_masters(
+    requests: DataFrame,
+    tables: dict[str, DataFrame],
+    specs: Sequence[LookupSpec],
+    only_when: Column | None = None,
+) -> DataFrame:
+    """`request_id, <output>_found …` of the requests for which the masters have a value."""
     needed = F.lit(True) if only_when is None else flag(only_when)
     # Specs that read the same columns of the same rows share one master.
     sources = list(dict.fromkeys(_source(s) for s in specs))
@@ -102,7 +113,7 @@ def master_lookup(
             for s in specs
         ]
     )
-    found = (
+    return (
         requests.filter(needed)
         .select("request_id", F.inline(asked))
         .dropna(subset=keys)
@@ -117,7 +128,6 @@ def master_lookup(
             ]
         )
     )
-    return requests.join(found, "request_id", "left")
 
 
 def _source(spec: LookupSpec) -> tuple[str, str | None, tuple[str, ...], str]:
@@ -139,6 +149,20 @@ def map_codes(requests: DataFrame, code_map: DataFrame, only_when: Column) -> Da
     that do not need it keep their own values.
     """
     needed = flag(only_when)
+    joined = requests.join(mapped_codes(requests, code_map, needed), "request_id", "left")
+    return joined.withColumns(
+        {
+            **{
+                f"{field}_mapped": F.when(needed, F.col(f"{field}_mapped")).otherwise(F.col(field))
+                for field in ADDRESS_COLUMNS
+            },
+            "is_ambiguous": flag(F.col("is_ambiguous")),
+        }
+    )
+
+
+def mapped_codes(requests: DataFrame, code_map: DataFrame, needed: Column) -> DataFrame:
+    """`request_id, <field>_mapped …, is_ambiguous` of the requests with a mapped field."""
     mappings = (
         code_map.select(
             key("partner_id").alias("partner_key"),
@@ -163,7 +187,7 @@ def map_codes(requests: DataFrame, code_map: DataFrame, only_when: Column) -> Da
     asked = requests.filter(needed).select(
         "request_id", key("partner_id").alias("partner_key"), F.inline(fields)
     )
-    translated = (
+    return (
         asked.dropna(subset=["value_key", "partner_key"])
         .join(
             lookup(mappings, "partner_key", "mapping_key", "value_key"),
@@ -178,16 +202,6 @@ def map_codes(requests: DataFrame, code_map: DataFrame, only_when: Column) -> Da
             F.max(F.col("matches") > 1).alias("is_ambiguous"),
         )
     )
-    joined = requests.join(translated, "request_id", "left")
-    return joined.withColumns(
-        {
-            **{
-                f"{field}_mapped": F.when(needed, F.col(f"{field}_mapped")).otherwise(F.col(field))
-                for field in ADDRESS_COLUMNS
-            },
-            "is_ambiguous": flag(F.col("is_ambiguous")),
-        }
-    )
 
 
 def active_sub_zips(zipcodes: DataFrame, districts: DataFrame) -> DataFrame:
@@ -208,50 +222,53 @@ def active_sub_zips(zipcodes: DataFrame, districts: DataFrame) -> DataFrame:
     )
 
 
+# Key of a sub zip code -> column of an address.
+_SUB_ZIP_KEYS = {
+    "village_key": "village",
+    "sub_district_key": "sub_district",
+    "city_key": "city",
+    "zip_key": "city_id",
+}
+
+
 def resolve_sub_zips(
-    requests: DataFrame,
-    sub_zips: DataFrame,
-    addresses: dict[str, tuple[str, str]],
-    only_when: dict[str, Column] | None = None,
+    requests: DataFrame, sub_zips: DataFrame, addresses: dict[str, tuple[str, str]]
 ) -> DataFrame:
     """Add one sub zip code per address, all through one join of narrow rows.
 
     `addresses` maps an output to the `(prefix, suffix)` of the columns `<prefix>village<suffix>`
-    and so on; `only_when` limits an output to some requests. `sub_zips` comes from
-    `active_sub_zips`.
+    and so on. `sub_zips` comes from `active_sub_zips`.
     """
-    parts = {
-        "village_key": "village",
-        "sub_district_key": "sub_district",
-        "city_key": "city",
-        "zip_key": "city_id",
-    }
-    only_when = only_when or {}
+    found = found_sub_zips(asked_sub_zips(requests, addresses), sub_zips, list(addresses))
+    return requests.join(found, "request_id", "left")
+
+
+def asked_sub_zips(requests: DataFrame, addresses: dict[str, tuple[str, str]]) -> DataFrame:
+    """One narrow row per request and whole address; `addresses` as in `resolve_sub_zips`."""
     asked = F.array(
         *[
-            F.when(
-                only_when.get(output, F.lit(True)),
-                F.struct(
-                    F.lit(output).alias("output"),
-                    *[key(f"{prefix}{c}{suffix}").alias(k) for k, c in parts.items()],
-                ),
+            F.struct(
+                F.lit(output).alias("output"),
+                *[key(f"{prefix}{c}{suffix}").alias(k) for k, c in _SUB_ZIP_KEYS.items()],
             )
             for output, (prefix, suffix) in addresses.items()
         ]
     )
-    found = (
-        requests.select("request_id", F.inline(asked))
-        .dropna(subset=list(parts))
-        .join(lookup(sub_zips, *parts), list(parts))
+    return requests.select("request_id", F.inline(asked)).dropna(subset=list(_SUB_ZIP_KEYS))
+
+
+def found_sub_zips(asked: DataFrame, sub_zips: DataFrame, outputs: Sequence[str]) -> DataFrame:
+    """`request_id` and one column per output, for the requests with a sub zip code."""
+    return (
+        asked.join(lookup(sub_zips, *_SUB_ZIP_KEYS), list(_SUB_ZIP_KEYS))
         .groupBy("request_id")
         .agg(
             *[
                 F.max(F.when(F.col("output") == output, F.col("sub_zip_code"))).alias(output)
-                for output in addresses
+                for output in outputs
             ]
         )
     )
-    return requests.join(found, "request_id", "left")
 
 
 def resolve_sub_zip_code(

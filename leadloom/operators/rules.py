@@ -188,8 +188,8 @@ def first_failure(requests: DataFrame, response_codes: DataFrame) -> DataFrame:
     return with_message(requests.withColumn("response_code", failure_code()), response_codes)
 
 
-def failure_code() -> Column:
-    """Code of the first failing rule, `00` when none fails."""
+def failure_code(master_code: Column | str = "master_code") -> Column:
+    """Code of the first failing rule, `00` when none fails; `master_code` is that of the masters."""
     return F.coalesce(
         F.when(F.col("blank_param").isNotNull(), MANDATORY),
         F.when(F.col("is_stored"), DUPLICATE_ORDER),
@@ -198,7 +198,7 @@ def failure_code() -> Column:
         F.when(F.col("bad_date_param").isNotNull(), NOT_A_DATE),
         F.when(F.col("bad_number_param").isNotNull(), NOT_NUMERIC),
         F.when(F.col("long_param").isNotNull(), TOO_LONG),
-        F.col("master_code"),
+        F.col(master_code) if isinstance(master_code, str) else master_code,
         F.lit(SUCCESS),
     )
 

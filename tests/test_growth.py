@@ -8,7 +8,7 @@ from checks import inputs, queries
 from leadloom.functions.members import add_members
 from leadloom.operators import requests
 from leadloom.plans import ingest
-from leadloom.session import tune
+from leadloom.session import materialise, tune
 from tests.conftest import SF
 
 def _plan(df):
@@ -89,3 +89,71 @@ def test_repeated_and_missing_request_ids_keep_their_rows(spark):
     found = ingest.validate_requests(twice, masters, leads)
     assert found.count() == twice.count() == found.select("acq_id").distinct().count()
     assert ingest.ROW_ID not in found.columns
+
+
+def _block_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = blocks.getAllFiles()
+    return {files.apply(i).getName() for i in range(files.length())}
+
+
+def test_shuffle_files_go_with_their_action(spark, tmp_path):
+    tune(spark)
+    before = _block_files(spark)
+    spark.range(1000).groupBy(F.col("id") % 7).count().write.parquet(f"{tmp_path}/counts")
+    left = {f for f in _block_files(spark) - before if f.startswith("shuffle_")}
+    assert not left and spark.read.parquet(f"{tmp_path}/counts").count() == 7
+
+
+def test_a_frame_can_be_read_again_after_its_shuffle_files_went(spark):
+    tune(spark)
+    counted = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    assert sorted(counted.collect()) == sorted(counted.collect())
+    assert counted.count() == 7 == counted.count()
+
+
+def test_cuts_are_written_with_zstd(spark):
+    cut = materialise(spark.range(10), "test-cut")
+    assert cut.count() == 10 and all(f.endswith(".zstd.parquet") for f in cut.inputFiles())
+
+
+def test_answers_of_the_echo_row_are_kept_once(spark):
+    """Only an answer that is no lead column has a column for the echo row."""
+    masters, batch = queries.masters(spark, SF), inputs.lead_requests(spark, SF)
+    options = ingest.IntakeOptions(echo={"name": "full_name", "no": "ORDER_ID", "other": "SEGMENT"})
+    read = ingest.read_requests(batch, masters, options)
+    assert [c for c in read.columns if "echo" in c] == ["echoed_order_id", "echoed_segment"]
+    echoes = ingest.echo_rows(read, options)
+    assert echoes.columns == ["request_id", "name", "no", "other"]
+    found = echoes.join(read.select("request_id", "full_name"), "request_id")
+    assert found.where(~F.col("name").eqNullSafe(F.col("full_name"))).count() == 0
+    assert found.where("name is not null and other is null").count() > 0
+
+
+def test_replies_and_first_status_need_no_wide_rows(spark):
+    masters, batch = queries.masters(spark, SF), inputs.lead_requests(spark, SF)
+    leads = inputs.table(spark, SF, "stored_leads", "leads")
+    result = ingest.ingest(batch, masters, leads, queries.AS_OF)
+    for narrow in (result.replies, result.response_log, result.status_log):
+        assert all("/outcome-" in f for f in narrow.inputFiles())
+    assert "full_name" not in spark.read.parquet(*result.replies.inputFiles()).columns
+    assert any("/read-" in f for f in result.leads.inputFiles())
+
+
+def test_requests_are_joined_once_with_all_their_lookups(spark):
+    """Masters, code map and sub zip codes come in one step; their joins move no address column."""
+    masters, batch = queries.masters(spark, SF), inputs.lead_requests(spark, SF)
+    leads = inputs.table(spark, SF, "stored_leads", "leads")
+    wide = ingest.numbered_rows(ingest.read_requests(batch, masters))
+    checked = materialise(ingest.check_requests(wide.drop("body"), masters, leads), "checked")
+    judged = ingest.judge_requests(checked, masters)
+    assert not {"survey_village", "city_id"} & set(judged.columns)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        moved = [
+            line for line in _plan(judged).splitlines() if "Exchange hashpartitioning(request_id" in line
+        ]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The requests once; masters and sub zip codes once each; the mapped codes lie at rest.
+    assert 1 <= len(moved) <= 4
