@@ -112,9 +112,10 @@ def test_a_frame_can_be_read_again_after_its_shuffle_files_went(spark):
     assert counted.count() == 7 == counted.count()
 
 
-def test_cuts_are_written_with_zstd(spark):
-    cut = materialise(spark.range(10), "test-cut")
-    assert cut.count() == 10 and all(f.endswith(".zstd.parquet") for f in cut.inputFiles())
+def test_cuts_of_the_intake_are_written_with_zstd(spark):
+    masters, batch = queries.masters(spark, SF), inputs.lead_requests(spark, SF)
+    read = ingest.numbered_rows(ingest.read_requests(batch, masters))
+    assert read.inputFiles() and all(f.endswith(".zstd.parquet") for f in read.inputFiles())
 
 
 def test_answers_of_the_echo_row_are_kept_once(spark):
